@@ -1,0 +1,8 @@
+"""Streaming.
+
+The reference has no stream processing (no watermark, window or state
+operator); every input is a finished table.  Nothing is added here so the
+library stays a faithful rebuild.  Batch operators in ``riskframe.operators``
+run unchanged on the micro-batches of a ``foreachBatch`` sink if a caller
+needs incremental scoring audits.
+"""
