@@ -92,3 +92,38 @@ def average_ranks(df: DataFrame, keys: Sequence[str], value: str, out: str = "ra
     ranks = cum.select(*keys, (-F.col("score")).alias(value),
                        (F.col("tp_above") + (F.col("pos") + 1) / 2.0).alias(out))
     return df.join(ranks, [*keys, value], "left")
+
+
+def exact_quantiles(df: DataFrame, cols: Sequence[str], qs: Sequence[float],
+                    keys: Sequence[str] = (), n_buckets: int = 64) -> DataFrame:
+    """Exact linear-interpolated quantiles (numpy / ``quantile_cont`` rule) of
+    many columns at once, without holding a column's values in one task.
+
+    Values are unpivoted to ``(keys, column, value)``, counted per distinct
+    value (map-side combined), and the rows strictly below each value come from
+    the distributed prefix sums.  Output: ``(keys, column, q, value)``.
+    """
+    keys = list(keys)
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v"))
+                      for c in cols])
+    long = df.select(*keys, F.inline(pairs)).filter(F.col("v").isNotNull() & ~F.isnan("v"))
+    counts = (long.groupBy(*keys, "column", (-F.col("v")).alias("score"))
+              .agg(F.count(F.lit(1)).alias("pos")).withColumn("neg", F.lit(0)))
+    cum = with_cumulative(counts, [*keys, "column"], n_buckets)
+    # tp_above on the negated value = rows strictly below v; P = non-missing count
+    below, c, n = F.col("tp_above"), F.col("pos"), F.col("P")
+    v = -F.col("score")
+    out = []
+    for q in qs:
+        pos = F.lit(float(q)) * (n - 1)
+        k1, k2 = F.floor(pos), F.ceil(pos)
+        frac = pos - k1
+        out.append(F.struct(
+            F.lit(float(q)).alias("q"),
+            F.max(F.when((below <= k1) & (k1 < below + c), v)).alias("v1"),
+            F.max(F.when((below <= k2) & (k2 < below + c), v)).alias("v2"),
+            F.first(frac).alias("frac")))
+    agg = cum.groupBy(*keys, "column").agg(F.array(*out).alias("_qs"))
+    res = agg.select(*keys, "column", F.inline("_qs"))
+    return res.select(*keys, "column", "q",
+                      (F.col("v1") + (F.col("v2") - F.col("v1")) * F.col("frac")).alias("value"))

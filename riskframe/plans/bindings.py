@@ -362,3 +362,44 @@ def with_roles(*roles: str, extra: str = "") -> str:
     if extra:
         items.append(extra)
     return "WITH " + ",\n".join(items) + "\n"
+
+
+# ------------------------------------------------------------------ path A: deterministic table
+
+def deterministic(spark: SparkSession, d: str) -> DataFrame:
+    """Application rows after the deterministic stage: supported gender only,
+    sensitive code (F=0, M=1), missing flags + null count, employment sentinel,
+    positive years, Y/N flag mapped."""
+    from riskframe.operators import rows as D
+    app = D.filter_supported(application(spark, d), "CODE_GENDER", ["F", "M"])
+    app = D.map_binary(app, {"CODE_GENDER": {"F": 0, "M": 1}, "FLAG_OWN_CAR": {"N": 0, "Y": 1}})
+    app = app.withColumnRenamed("CODE_GENDER", "SENSITIVE")
+    app = D.missing_flags(app, ["EXT_SOURCE_1", "EXT_SOURCE_2", "EXT_SOURCE_3"],
+                          count_name="EXT_NULL_COUNT", flag_suffix="_WAS_MISSING")
+    app = D.sentinel_to_null(app, ["DAYS_EMPLOYED"])
+    app = app.withColumns({"AGE_YEARS": F.col("DAYS_BIRTH") / F.lit(-365.25),
+                           "EMPLOYED_YEARS": F.col("DAYS_EMPLOYED") / F.lit(-365.25)})
+    return app.select("SK_ID_CURR", "TARGET", "SENSITIVE", "FLAG_OWN_CAR", "NAME_SEGMENT",
+                      "REGION_CODE", "AMT_INCOME_TOTAL", "AMT_CREDIT", "AMT_ANNUITY",
+                      "AMT_GOODS_PRICE", "CNT_CHILDREN", "EXT_SOURCE_1", "EXT_SOURCE_2",
+                      "EXT_SOURCE_3", "EXT_SOURCE_1_WAS_MISSING", "EXT_SOURCE_2_WAS_MISSING",
+                      "EXT_SOURCE_3_WAS_MISSING", "EXT_NULL_COUNT", "DAYS_EMPLOYED_ANOM",
+                      "AGE_YEARS", "EMPLOYED_YEARS")
+
+
+DETERMINISTIC_SQL = """
+SELECT SK_ID_CURR, TARGET, CASE CODE_GENDER WHEN 'F' THEN 0 WHEN 'M' THEN 1 END AS SENSITIVE,
+  CASE FLAG_OWN_CAR WHEN 'N' THEN 0 WHEN 'Y' THEN 1 END AS FLAG_OWN_CAR, NAME_SEGMENT, REGION_CODE,
+  AMT_INCOME_TOTAL, AMT_CREDIT, AMT_ANNUITY, AMT_GOODS_PRICE, CNT_CHILDREN,
+  EXT_SOURCE_1, EXT_SOURCE_2, EXT_SOURCE_3,
+  CAST(EXT_SOURCE_1 IS NULL AS INTEGER) AS EXT_SOURCE_1_WAS_MISSING,
+  CAST(EXT_SOURCE_2 IS NULL AS INTEGER) AS EXT_SOURCE_2_WAS_MISSING,
+  CAST(EXT_SOURCE_3 IS NULL AS INTEGER) AS EXT_SOURCE_3_WAS_MISSING,
+  CAST(EXT_SOURCE_1 IS NULL AS INTEGER) + CAST(EXT_SOURCE_2 IS NULL AS INTEGER) + CAST(EXT_SOURCE_3 IS NULL AS INTEGER) AS EXT_NULL_COUNT,
+  CAST(coalesce(DAYS_EMPLOYED = 365243, false) AS INTEGER) AS DAYS_EMPLOYED_ANOM,
+  DAYS_BIRTH / CAST(-365.25 AS DOUBLE) AS AGE_YEARS,
+  CASE WHEN DAYS_EMPLOYED <> 365243 THEN DAYS_EMPLOYED END / CAST(-365.25 AS DOUBLE) AS EMPLOYED_YEARS
+FROM application WHERE CODE_GENDER IN ('F', 'M')"""
+
+ROLE_SQL["deterministic"] = DETERMINISTIC_SQL
+ROLE_DEPS["deterministic"] = ["application"]
