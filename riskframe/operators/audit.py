@@ -19,10 +19,10 @@ EPS_RHO = 1e-8
 
 
 def roc_auc(df: DataFrame, keys: Sequence[str] = (), score: str = "p", label: str = "y",
-            weight: str | Column | None = None) -> DataFrame:
+            weight: str | Column | None = None, n_buckets: int = 64) -> DataFrame:
     """M1: tie-aware ROC-AUC = sum_i neg_i (pos_above_i + pos_i / 2) / (P N);
     NULL when a key has one class.  Integer numerator so the value is exact."""
-    cum = cumulative(df, keys, score, label, weight)
+    cum = cumulative(df, keys, score, label, weight, n_buckets)
     num2 = 2 * F.col("neg") * F.col("tp_above") + F.col("neg") * F.col("pos")
     agg = cum.groupBy(*keys).agg(F.sum(num2).alias("_num2"), F.first("P").alias("P"),
                                  F.first("N").alias("N"))

@@ -94,11 +94,11 @@ def fit_categories(df: DataFrame, cols: Sequence[str], split: str | None = "spli
                                F.coalesce(F.col(c).cast("string"), F.lit(fill)).alias("v"))
                       for c in cols])
     vocab = _train(df, split).select(F.inline(pairs)).distinct()
-    n = vocab.limit(max_categories * len(cols) + 1).count()
-    if n > max_categories * len(cols):
+    rows = vocab.limit(max_categories * len(cols) + 1).collect()  # bounded by the check
+    if len(rows) > max_categories * len(cols):
         raise FitError("too many categories for one-hot columns; use label codes instead")
     out: dict[str, list[str]] = {c: [] for c in cols}
-    for r in vocab.collect():
+    for r in rows:
         out[r["column"]].append(r["v"])
     return {c: sorted(v) for c, v in out.items()}
 

@@ -45,12 +45,16 @@ def with_cumulative(counts: DataFrame, keys: Sequence[str], n_buckets: int = 64,
     if drop_all:  # a single global ordering: use one constant key
         counts = counts.withColumn("_all", F.lit(0))
         keys = ["_all"]
-    fracs = [i / n_buckets for i in range(1, n_buckets)]
-    splits = counts.groupBy(*keys).agg(
-        F.percentile_approx("score", fracs, accuracy).alias("_splits"))
-    # one row per key (models x replicates): bounded by the caller's parameter grid
-    b = counts.join(F.broadcast(splits), keys, "inner")
-    b = b.withColumn("_bucket", F.size(F.filter("_splits", lambda s: s < F.col("score")))).drop("_splits")
+    if n_buckets <= 1:
+        # many keys (e.g. bootstrap replicates): the key alone spreads the work
+        b = counts.withColumn("_bucket", F.lit(0))
+    else:
+        fracs = [i / n_buckets for i in range(1, n_buckets)]
+        splits = counts.groupBy(*keys).agg(
+            F.percentile_approx("score", fracs, accuracy).alias("_splits"))
+        # one row per key (models x replicates): bounded by the caller's parameter grid
+        b = counts.join(F.broadcast(splits), keys, "inner")
+        b = b.withColumn("_bucket", F.size(F.filter("_splits", lambda s: s < F.col("score")))).drop("_splits")
     totals = b.groupBy(*keys, "_bucket").agg(F.sum("pos").alias("_bp"), F.sum("neg").alias("_bn"))
     wk = Window.partitionBy(*keys)
     above = wk.orderBy(F.col("_bucket").desc()).rowsBetween(Window.unboundedPreceding, -1)

@@ -42,6 +42,13 @@ class RelationalError(ValueError):
     pass
 
 
+def _group(frame: DataFrame, exprs: list) -> DataFrame:
+    """One row per key; a source without any usable column yields only its ids."""
+    if not exprs:
+        return frame.select(KEY).distinct()
+    return frame.groupBy(KEY).agg(*exprs)
+
+
 def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
     ex = set(exclude)
     return [f.name for f in df.schema.fields
@@ -115,16 +122,18 @@ def bureau_features(bureau: DataFrame, balance: DataFrame | None = None, *,
     """R3 + R4: bureau credits joined with their status history, aggregated for
     all / active / closed credits in a single pass, plus named totals."""
     frame = bureau
-    if balance is not None and "SK_ID_BUREAU" in bureau.columns:
-        frame = frame.join(status_history(balance), "SK_ID_BUREAU", "left")
     has_active = "CREDIT_ACTIVE" in frame.columns
     if has_active:
         frame = frame.withColumn("CREDIT_ACTIVE_BIN", F.coalesce(
             F.col("CREDIT_ACTIVE") == "Active", F.lit(False)).cast("int"))
+    # strings come from the bureau table only: fit the codes on that scan, not on the join
+    strings = string_columns(bureau)
     if encode:
-        frame = label_encode(frame, string_columns(frame))
+        frame = label_encode(frame, strings, fit_on=[bureau])
     else:
-        frame = frame.drop(*string_columns(frame))
+        frame = frame.drop(*strings)
+    if balance is not None and "SK_ID_BUREAU" in bureau.columns:
+        frame = frame.join(status_history(balance), "SK_ID_BUREAU", "left")
     cols = numeric_columns(frame, [KEY, "SK_ID_BUREAU", "CREDIT_ACTIVE_BIN"])
     stats = ("mean", "max", "min", "sum", "count")
     exprs = numeric_block("BUR", cols, stats)
@@ -223,7 +232,7 @@ def previous_features(prev: DataFrame, *, encode: bool = True) -> DataFrame:
                     ("PREV_ANNUITY_RATIO_MEAN", "PREV_ANNUITY_RATIO", F.avg),
                     ("PREV_PAYMENT_LEN_MEAN", "PREV_PAYMENT_LENGTH", F.avg))
         exprs += [fn(src).alias(name) for name, src, fn in optional if src in frame.columns]
-    return frame.groupBy(KEY).agg(*exprs)
+    return _group(frame, exprs)
 
 
 # ---------------------------------------------------------------- R7 / R8
@@ -276,7 +285,7 @@ def instalment_features(inst: DataFrame, *, recent_days: int = 365) -> DataFrame
     if "DAYS_INSTALMENT" in frame.columns:
         recent = F.col("DAYS_INSTALMENT") >= -recent_days
         exprs += _instalment_block(frame, "INST_REC", recent)
-    return frame.groupBy(KEY).agg(*exprs)
+    return _group(frame, exprs)
 
 
 # ---------------------------------------------------------------- R9 / R10
@@ -332,7 +341,7 @@ def pos_features(pos: DataFrame, *, recent_months: int = 12, encode: bool = True
     if "MONTHS_BALANCE" in frame.columns:
         recent = F.col("MONTHS_BALANCE") >= -recent_months
         exprs += _monthly_block(frame, "POS_REC", recent, named)
-    out = frame.groupBy(KEY).agg(*exprs)
+    out = _group(frame, exprs)
     if "NAME_CONTRACT_STATUS" in frame.columns:
         share = modal_share(frame, "NAME_CONTRACT_STATUS", "POS", recent=recent,
                             recent_prefix="POS_REC")
@@ -359,7 +368,7 @@ def card_features(card: DataFrame, *, recent_months: int = 12, encode: bool = Tr
     if "MONTHS_BALANCE" in frame.columns:
         recent = F.col("MONTHS_BALANCE") >= -recent_months
         exprs += _monthly_block(frame, "CC_REC", recent, named)
-    return frame.groupBy(KEY).agg(*exprs)
+    return _group(frame, exprs)
 
 
 # ---------------------------------------------------------------- R11 - R15
