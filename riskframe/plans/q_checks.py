@@ -109,12 +109,3 @@ def q_importance_by_source(spark, d):
     feats = [c for c, t in m.dtypes if c not in ("SK_ID_CURR", "TARGET") and t in ("int", "bigint", "double")]
     imp = E.pearson_target(m, feats, "TARGET").select("feature", F.abs("pearson").alias("importance"))
     return W.importance_by_source(imp)
-
-
-@register("feature_catalog")
-def q_feature_catalog(spark, d):
-    """Family counts of the compact and extended feature sets."""
-    rows = [("12", f) for f in D.FEATURES_12] + [("42", f) for f in D.FEATURES_42]
-    names = spark.createDataFrame(rows, "feature_set string, feature string")
-    return (names.select("feature_set", D.feature_family(F.col("feature")).alias("family"))
-            .groupBy("feature_set", "family").agg(F.count(F.lit(1)).alias("n_features")))
