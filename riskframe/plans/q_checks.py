@@ -109,3 +109,19 @@ def q_importance_by_source(spark, d):
     feats = [c for c, t in m.dtypes if c not in ("SK_ID_CURR", "TARGET") and t in ("int", "bigint", "double")]
     imp = E.pearson_target(m, feats, "TARGET").select("feature", F.abs("pearson").alias("importance"))
     return W.importance_by_source(imp)
+
+
+@register("score_logit")
+def q_score_logit(spark, d):
+    """Balanced-weight logistic scorer fitted on the preprocessed training
+    rows, scored on the test rows and audited (AUC, |rho|) per split."""
+    from riskframe.operators import fit as FT
+    from riskframe.operators import learners as L
+    from riskframe.plans.q_prep import SPEC, _det_split
+    df = _det_split(spark, d)
+    prep = FT.apply_preprocess(df, FT.fit_preprocess(df, SPEC))
+    feats = [c for c in prep.columns if c not in ("SK_ID_CURR", "TARGET", "SENSITIVE", "split")]
+    fitted = L.fit_weighted_logit(prep.filter(F.col("split") == "train"), feats, "TARGET")
+    scored = L.score(prep, fitted).select(F.col("SK_ID_CURR").alias("id"), F.col("TARGET").alias("y"),
+                                          F.col("SENSITIVE").alias("s"), "p", "split")
+    return A.roc_auc(scored, ["split"]).join(A.abs_rho(scored, ["split"]), "split")

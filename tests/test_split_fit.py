@@ -74,3 +74,9 @@ def test_target_encode_and_class_weights(spark):
 def test_mode_tie_smallest(spark):
     df = spark.createDataFrame([(1,), (0,), (None,)], "f int").withColumn("split", F.lit("train"))
     assert FT.fit_modes(df, ["f"])["f"] == 0.0
+
+
+def test_weighted_logit_learns_signal(spark):
+    import __spark_entry__ as E
+    rows = {r["split"]: r for r in E.queries()["score_logit"](spark, "/root/testdata/sf0.001").collect()}
+    assert rows["train"]["auc"] > 0.5
