@@ -441,3 +441,27 @@ BOX = ["EXT_SOURCE_1", "EXT_SOURCE_2", "EXT_SOURCE_3"]
 def q_box_stats(spark, d):
     """Unpivoted scores by target with exact box statistics."""
     return E.box_stats(B.deterministic(spark, d), BOX, "TARGET")
+
+
+WIN = ["AMT_INCOME_TOTAL", "AMT_CREDIT", "AMT_ANNUITY"]
+
+
+@register("winsor_long", B.with_roles("deterministic", extra="cap AS (SELECT " + ", ".join(
+    f"quantile_cont({c}, 0.99) AS c_{c}" for c in WIN) + " FROM deterministic)")
+          + "SELECT * FROM (" + " UNION ALL ".join(
+              f"SELECT TARGET, '{c}' AS feature, CAST(CASE WHEN {c} > c_{c} THEN c_{c} ELSE {c} END AS DOUBLE) AS value "
+              f"FROM deterministic, cap" for c in WIN) + ") WHERE value IS NOT NULL")
+def q_winsor_long(spark, d):
+    """Money columns capped at their exact p99, unpivoted to long form."""
+    return E.winsor_long(B.deterministic(spark, d), WIN, 0.99, keep=["TARGET"])
+
+
+@register("histogram_by_class", B.with_roles("deterministic", extra="""h AS (SELECT ln(1 + AMT_CREDIT) AS x, TARGET AS cls
+          FROM deterministic WHERE AMT_CREDIT IS NOT NULL),
+        mm AS (SELECT min(x) AS lo, max(x) AS hi FROM h)""")
+          + """SELECT cls, CAST(least(floor((x - lo) / (hi - lo) * 80), 79) AS INTEGER) AS bin, count(*) AS n,
+                 lo + CAST(least(floor((x - lo) / (hi - lo) * 80), 79) AS INTEGER) * ((hi - lo) / 80) AS bin_lo
+               FROM h, mm GROUP BY cls, bin, lo, hi""")
+def q_histogram_by_class(spark, d):
+    """80-bin histogram of log1p(credit) per target class."""
+    return E.histogram_by_class(B.deterministic(spark, d), "AMT_CREDIT", "TARGET", 80, log1p=True)
