@@ -2,16 +2,36 @@
 
 from __future__ import annotations
 
-from riskframe.llm import fingerprint, mixing, shards, token_files, toxicity, url_filter
+from collections.abc import Callable
 
-QUERIES = {
+from pyspark.sql import DataFrame, SparkSession
+
+from riskframe.llm import embed_dedup, fingerprint, mixing, near_dedup, shards, token_files, toxicity, url_filter
+from riskframe.llm.common import package_on_workers
+
+OPERATORS = {
+    "op2_embedding_dedup": embed_dedup.op2,
     "op3_url_filter": url_filter.op3,
     "op4_token_files": token_files.op4,
     "op5_toxicity": toxicity.op5,
     "op7_fingerprints": fingerprint.op7,
     "op8_byte_shards": shards.op8,
     "op9_mixing": mixing.op9,
+    "op10_near_dedup": near_dedup.op10,
 }
+
+
+def _query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        package_on_workers(spark)
+        return run(spark, sf_dir)
+
+    return query
+
+
+QUERIES = {name: _query(run) for name, run in OPERATORS.items()}
 ORACLE = {
+    "op2_embedding_dedup": embed_dedup.op2_sql(),
     "op9_mixing": mixing.op9_sql(),
+    "op10_near_dedup": near_dedup.op10_sql(),
 }
