@@ -20,11 +20,10 @@ from pyspark.sql import DataFrame
 
 from riskframe.llm.common import byte_slices, text_buffer
 from riskframe.llm.shingles import BASE
+from riskframe.llm.span_cache import SpanCache
 
 U = np.uint64
 SPACE = "▁"
-#: Words whose ids a worker keeps before it starts anew.
-CACHE_WORDS = 400_000
 #: Words of one batch in the lattice.
 BATCH = 1 << 15
 
@@ -194,36 +193,29 @@ def lattice(m: Model, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             ids.append(np.where(m.keys[i] == h, m.key_ids[i], m.other if size == 1 else -1))
     last, back = np.full((rows, n + 1), -1), np.zeros((rows, n + 1), np.int64)
     for i in range(1, n + 1):
+        reach = min(i, top)
+        piece = np.stack([ids[size - 1][:, i - size] for size in range(1, reach + 1)], axis=1)
+        row, size = np.nonzero(piece >= 0)
+        piece, size = piece[row, size], size + 1
+        ok = size == i
+        inner = np.flatnonzero(~ok)
+        ok[inner] = stays_apart(m, last[row[inner], i - size[inner]], piece[inner])
         best = np.zeros(rows, np.int64)
-        for size in range(min(i, top), 0, -1):
-            piece = ids[size - 1][:, i - size]
-            may = np.flatnonzero((piece >= 0) & (best == 0))
-            if i > size and len(may):
-                may = may[stays_apart(m, last[may, i - size], piece[may])]
-            best[may] = np.maximum(best[may], size)
-            last[may, i] = piece[may]
+        np.maximum.at(best, row[ok], size[ok])
+        chosen = ok & (size == best[row])
+        last[row[chosen], i] = piece[chosen]
         back[:, i] = best
     return last, back
 
 
-def split_words(m: Model, text: str) -> list[str]:
-    """Parts that no piece spans: each begins with its white space (as U+2581)."""
-    if not text:
-        return []
-    text = text.replace(" ", SPACE)
-    if m.dummy_prefix:
-        text = SPACE + text
-    parts = text.split(SPACE)
-    # an empty part stands between two marks: runs of marks lead the next word
-    if "" not in parts[1:]:
-        return ([parts[0]] if parts[0] else []) + [SPACE + p for p in parts[1:]]
-    out, run = ([parts[0]] if parts[0] else []), ""
-    for p in parts[1:]:
-        run += SPACE
-        if p:
-            out.append(run + p)
-            run = ""
-    return out + ([run] if run else [])
+def word_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Starts of parts that no piece spans: each begins with its run of spaces (each text starts one)."""
+    n = len(data)
+    cut = data == 0x20
+    b1, b2, b3 = (np.concatenate((np.zeros(j, np.uint8), data[:-j]))[:n] for j in (1, 2, 3))
+    cut &= (b1 != 0x20) & ~((b3 == 0xE2) & (b2 == 0x96) & (b1 == 0x81))  # U+2581 itself stands for a space
+    cut[offsets[:-1][np.diff(offsets) > 0]] = True
+    return np.flatnonzero(cut)
 
 
 class WordEncoder:
@@ -231,31 +223,17 @@ class WordEncoder:
 
     def __init__(self, model: Model):
         self.model = model
-        self.reset()
-
-    def reset(self) -> None:
-        self.code: dict[str, int] = {}
-        self.sizes, self.starts, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
-
-    def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(offsets, ids) of each text's pieces."""
-        if len(self.code) > CACHE_WORDS:
-            self.reset()
-        split = [split_words(self.model, t) for t in texts]
-        words = [w for s in split for w in s]
-        new = sorted(set(words) - self.code.keys())
-        if new:
-            sizes, ids = encode_words(self.model, new)
-            self.starts = np.concatenate((self.starts, len(self.flat) + np.cumsum(sizes) - sizes))
-            self.sizes = np.concatenate((self.sizes, sizes))
-            self.flat = np.concatenate((self.flat, ids.astype(np.int32)))
-            self.code.update(zip(new, range(len(self.code), len(self.code) + len(new))))
-        code = np.fromiter(map(self.code.__getitem__, words), np.int64, len(words))
-        size = self.sizes[code]
-        ends = np.concatenate(([0], np.cumsum(size)))
-        pick = np.arange(ends[-1]) + np.repeat(self.starts[code] - ends[:-1], size)
-        cut = np.concatenate(([0], np.cumsum([len(s) for s in split]))).astype(np.int64)
-        return ends[cut], self.flat[pick]
+        self.cache = SpanCache(lambda new: encode_words(model, [w.replace(" ", SPACE) for w in new]))
+
+    def __call__(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(offsets, ids) of each text's pieces; an empty text has none."""
+        if self.model.dummy_prefix:
+            filled = np.diff(offsets) > 0
+            data = np.insert(data, offsets[:-1][filled], 0x20)
+            offsets = offsets + np.concatenate(([0], np.cumsum(filled)))
+        start = word_starts(data, offsets)
+        ends, ids = self.cache(data, start, np.append(start[1:], len(data)))
+        return ends[np.searchsorted(start, offsets)], ids
 
 
 def decode(m: Model, offsets: np.ndarray, ids: np.ndarray) -> list[bytes]:
@@ -286,14 +264,12 @@ def encode_texts(docs: DataFrame, model: Model, name: str, carry: list[str],
             _encoders[name] = WordEncoder(model)
         enc = _encoders[name]
         for batch in batches:
-            texts = batch.column(len(carry))
-            _, off = text_buffer(texts)
-            for lo, hi in byte_slices(off, 2 << 20):
-                part = [t or "" for t in texts.slice(lo, hi - lo).to_pylist()]
-                o, ids = enc(part)
+            data, off = text_buffer(batch.column(len(carry)))
+            for lo, hi in byte_slices(off, 8 << 20):
+                part, o = data[off[lo]:off[hi]], off[lo:hi + 1] - off[lo]
+                raw = [part[a:b].tobytes() for a, b in zip(o[:-1], o[1:])]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(i).slice(lo, hi - lo) for i in range(len(carry))]
-                    + make(enc.model, [t.encode() for t in part], o, ids), fields)
+                    [batch.column(i).slice(lo, hi - lo) for i in range(len(carry))] + make(enc.model, raw, *enc(part, o)), fields)
 
     return docs.select(*carry, "text").mapInArrow(run, schema)
 

@@ -21,87 +21,84 @@ from pyspark.sql import functions as F
 
 from riskframe.llm.common import (byte_slices, cell_of, delete_path, id_splits, partitions, running_totals, shared_path,
                                   text_buffer)
+from riskframe.llm.span_cache import SpanCache
 
 #: Appended to every document.
 END_ID = 2
 #: Ids of a block, about (a longer document is a block of its own).
 BLOCK_IDS = 1 << 18
-#: Pieces whose ids a worker keeps before it starts anew.
-CACHE_PIECES = 500_000
 
-# A space behind a letter, digit or ASCII punctuation always starts a new pre-token of byte-level BPE.
-_cut = re.compile(r"(?<=[\w!-/:-@\[-`{-~]) ")
-_odd = "\t\n\v\f\r\x1c\x1d\x1e\x1f\x00"
 
+def piece_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Starts of parts that byte-level BPE encodes independently (each text starts one).
 
-def split_pieces(text: str) -> list[str]:
-    """Parts that encode independently; each but the first stands for itself with a space before."""
-    if text.isascii() and not text.startswith(" ") and "  " not in text and not any(
-            c in text and c + " " in text for c in _odd):
-        return text.split(" ")
-    return _cut.split(text)
+    A space behind visible ASCII, or behind a letter of two bytes, always starts a new pre-token.
+    """
+    n = len(data)
+    cut = data == 0x20
+    b1 = np.concatenate(([0], data[:-1]))[:n]
+    b2 = np.concatenate(([0, 0], data[:-2]))[:n]
+    safe = (b1 > 0x20) & (b1 < 0x7F) | (b1 >= 0x80) & (b2 > 0xC2) & (b2 < 0xE0)
+    cut &= safe
+    cut[offsets[:-1][np.diff(offsets) > 0]] = True
+    return np.flatnonzero(cut)
 
 
 class PieceEncoder:
     """Byte-level BPE ids of many texts; each distinct piece goes to the library once per worker."""
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.reset()
-
-    def reset(self) -> None:
-        self.first: dict[str, int] = {}
-        self.later: dict[str, int] = {}
-        self.flat = np.empty(1 << 20, np.uint32)
-        self.flat[0] = END_ID
-        self.used = 1
-        self.starts, self.sizes = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
-        self.sizes[0], self.codes = 1, 1
-
-    def learn(self, known: dict[str, int], new: list[str], prefix: str) -> None:
-        fast = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
-        for lo in range(0, len(new), 4096):
-            part = new[lo:lo + 4096]
-            ids = [e.ids for e in fast([prefix + p for p in part], add_special_tokens=False)]
-            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-            flat = np.fromiter((i for x in ids for i in x), np.uint32, int(sizes.sum()))
-            if self.used + len(flat) > len(self.flat):
-                self.flat = np.concatenate((self.flat, np.empty(max(len(self.flat), len(flat)), np.uint32)))
-            if self.codes + len(part) > len(self.sizes):
-                self.starts = np.concatenate((self.starts, np.zeros_like(self.starts)))
-                self.sizes = np.concatenate((self.sizes, np.zeros_like(self.sizes)))
-            self.flat[self.used:self.used + len(flat)] = flat
-            at = slice(self.codes, self.codes + len(part))
-            self.sizes[at] = sizes
-            self.starts[at] = self.used + np.concatenate(([0], np.cumsum(sizes)[:-1]))
-            known.update(zip(part, range(self.codes, self.codes + len(part))))
-            self.used += len(flat)
-            self.codes += len(part)
-
-    def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        size = self.tokenizer.get_vocab_size()
+        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(added) or r"(?!)").search
+        self.opens = np.array([(self.tokenizer.id_to_token(i) or "").startswith("\u0120") for i in range(size)])
+        self.wide = size > 1 << 16
+        self.cache = SpanCache(self.learn)
+
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        run = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
+        return [e.ids for e in run(texts, add_special_tokens=False)]
+
+    def learn(self, new: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Pieces of one leading space and visible characters are encoded side by side: ids that begin with
+        a space tell them apart.  All others go to the library one by one."""
+        plain = np.array([p.isprintable() and p.rfind(" ") == 0 and not self.special(p) for p in new])
+        sizes = np.zeros(len(new), np.int64)
+        rows, parts = np.flatnonzero(plain), [np.zeros(0, np.int64)]
+        for lo in range(0, len(rows), 512):
+            some = rows[lo:lo + 512]
+            ids = np.array(self.encode(["".join([new[i] for i in some])])[0])
+            at = np.flatnonzero(self.opens[ids])
+            if len(at) != len(some):
+                raise ValueError("pieces can't be told apart in their ids")
+            sizes[some] = np.diff(np.append(at, len(ids)))
+            parts.append(ids)
+        rest = np.flatnonzero(~plain)
+        others = self.encode([new[i] for i in rest])
+        sizes[rest] = [len(x) for x in others]
+        ids = np.concatenate(parts + [np.array(x, np.int64) for x in others])
+        order = np.concatenate((rows, rest))
+        begin = np.cumsum(sizes) - sizes
+        out = np.empty(len(ids), np.int64)
+        size = sizes[order]
+        out[np.arange(len(ids)) + np.repeat(begin[order] - (np.cumsum(size) - size), size)] = ids
+        return sizes, out
+
+    def __call__(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(offsets, ids): all ids of each text and the end id."""
-        if self.codes > CACHE_PIECES:
-            self.reset()
-        split = [split_pieces(t) if t else [] for t in texts]
-        heads = [p[0] for p in split if p]
-        tails = [x for p in split for x in p[1:]]
-        self.learn(self.first, sorted(set(heads) - self.first.keys()), "")
-        self.learn(self.later, sorted(set(tails) - self.later.keys()), " ")
-        count = np.fromiter(map(len, split), np.int64, len(split))
-        codes = np.zeros(int(count.sum()) + len(texts), np.int64)  # code 0: the end id
-        begin = np.concatenate(([0], np.cumsum(count + 1)[:-1]))
-        is_tail = np.ones(len(codes), bool)
-        is_tail[begin + count] = False
-        is_tail[begin[count > 0]] = False
-        codes[begin[count > 0]] = np.fromiter(map(self.first.__getitem__, heads), np.int64, len(heads))
-        codes[is_tail] = np.fromiter(map(self.later.__getitem__, tails), np.int64, len(tails))
-        size = self.sizes[codes]
-        ends = np.cumsum(size)
-        pick = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(self.starts[codes] - (ends - size), size)
-        return np.concatenate(([0], ends[begin + count])), self.flat[pick]
+        start = piece_starts(data, offsets)
+        ends, ids = self.cache(data, start, np.append(start[1:], len(data)))
+        cut = ends[np.searchsorted(start, offsets)]  # where each text's ids begin
+        m = len(offsets) - 1
+        out = np.full(len(ids) + m, END_ID, np.int32)
+        own = np.ones(len(out), bool)
+        own[cut[1:] + np.arange(m)] = False
+        out[own] = ids
+        return cut + np.arange(m + 1), out
 
 
 _encoders: dict[str, PieceEncoder] = {}
@@ -141,21 +138,24 @@ def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
 
 
 def encode_docs(docs: DataFrame, tokenizer_path: str) -> DataFrame:
-    """doc_id and the document's ids with the end id, as little-endian 32-bit binary."""
+    """doc_id and the document's ids with the end id, as little-endian binary.
+
+    Ids take two bytes where the vocabulary allows it, else four; ``wide`` tells.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer_path)
         for batch in batches:
-            texts = batch.column(1)
-            _, off = text_buffer(texts)
-            for lo, hi in byte_slices(off, 2 << 20):
-                o, ids = enc([t or "" for t in texts.slice(lo, hi - lo).to_pylist()])
-                raw = ids.astype("<u4").tobytes()
+            data, off = text_buffer(batch.column(1))
+            for lo, hi in byte_slices(off, 4 << 20):
+                o, ids = enc(data[off[lo]:off[hi]], off[lo:hi + 1] - off[lo])
+                width = 4 if enc.wide else 2
+                raw = ids.astype(f"<u{width}").tobytes()
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, hi - lo),
-                     pa.array([raw[4 * a:4 * b] for a, b in zip(o[:-1], o[1:])], pa.binary())], ["doc_id", "ids"])
+                    [batch.column(0).slice(lo, hi - lo), pa.array(np.full(hi - lo, enc.wide)),
+                     pa.array([raw[width * a:width * b] for a, b in zip(o[:-1], o[1:])], pa.binary())], ["doc_id", "wide", "ids"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, ids binary")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, wide boolean, ids binary")
 
 
 def rank_table(encoded: DataFrame) -> DataFrame:
@@ -164,16 +164,17 @@ def rank_table(encoded: DataFrame) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
-            data, _ = text_buffer(batch.column(0))
-            if len(data):
-                got = np.bincount(data.copy().view("<u4"))
+            data, off = text_buffer(batch.column(1))
+            for lo, hi in byte_slices(off, 4 << 20):
+                wide = bool(batch.column(0)[lo].as_py())
+                got = np.bincount(data[off[lo]:off[hi]].copy().view("<u4" if wide else "<u2"))
                 if len(got) > len(total):
                     total = np.concatenate((total, np.zeros(len(got) - len(total), np.int64)))
                 total[:len(got)] += got
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["id", "n"])
 
-    counts = encoded.select("ids").mapInArrow(count, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
+    counts = encoded.select("wide", "ids").mapInArrow(count, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
     return counts.select((F.row_number().over(Window.orderBy(F.desc("n"), "id")) - 1).alias("rank"), "id", "n")
 
 
@@ -212,7 +213,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, path: str) -> None:
                             ("data", pa.binary())])
         size = 0
         for batch in batches:
-            for cell, doc_id, raw in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            for cell, doc_id, wide, raw in zip(*(batch.column(i).to_pylist() for i in range(4))):
                 if cell != at or size > BLOCK_IDS:
                     if held:
                         yield flush()
@@ -220,12 +221,12 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, path: str) -> None:
                     if cell != at:
                         at, number = cell, 0
                 names.append(doc_id)
-                held.append(np.frombuffer(raw, "<u4"))
+                held.append(np.frombuffer(raw, "<u4" if wide else "<u2"))
                 size += len(held[-1])
         if held:
             yield flush()
 
-    (encoded.withColumn("cell", cell_of(F.col("doc_id"), splits)).select("cell", "doc_id", "ids")
+    (encoded.withColumn("cell", cell_of(F.col("doc_id"), splits)).select("cell", "doc_id", "wide", "ids")
      .repartition(partitions(spark), "cell").sortWithinPartitions("cell", F.asc_nulls_first("doc_id"), "ids")
      .mapInArrow(blocks, "cell int, block int, doc_ids array<bigint>, counts array<bigint>, n_ids bigint, "
                          "control binary, data binary")
