@@ -97,7 +97,7 @@ def link_vectors(vectors: DataFrame, cosine: float = COSINE, miss: float = MISS)
     n_tasks = max(partitions(spark), -(-found.count() // TASK_ROWS))
     cell = F.pmod(F.xxhash64("t", "key", "i", "j"), F.lit(n_tasks)).cast("int")
 
-    def compare(_, frame: pd.DataFrame) -> pd.DataFrame:
+    def compare(_, frame):
         frame = frame.sort_values(["t", "key", "i", "j", "node"], kind="stable").reset_index(drop=True)
         k = frame[["t", "key", "i", "j"]].to_numpy()
         starts = np.flatnonzero(np.concatenate(([True], (k[1:] != k[:-1]).any(axis=1))))

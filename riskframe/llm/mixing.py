@@ -80,7 +80,7 @@ def schedule(spark: SparkSession, sources: DataFrame, n_slots: int, block_words:
 
 def mix(docs: DataFrame, weights=WEIGHTS, block_words: int = BLOCK_WORDS, max_epochs: int = MAX_EPOCHS,
         seed: int = SEED) -> DataFrame:
-    """One row per document: doc_id, source, size, source_size, target, taken, copies.
+    """One row per document: doc_id, source, size, source_size, target, taken, copies, text_hash.
 
     ``taken`` counts the words of the document's part in every scheduled block (repeats counted);
     ``copies`` is how often the block that holds its first word is scheduled (0 for a text without
@@ -91,7 +91,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, block_words: int = BLOCK_WORDS, max_ep
     spark = docs.sparkSession
     key = F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit(str(seed))))
     sized = cut(docs.select(
-        "doc_id", "source",
+        "doc_id", "source", F.xxhash64("text").alias("text_hash"),
         F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit(WORD)).cast("bigint").alias("size"),
         key.alias("key")))
     n_rows, total = sized.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).head()
@@ -102,7 +102,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, block_words: int = BLOCK_WORDS, max_ep
     laid = laid.withColumn("cell", F.expr(f"(conv(substr(key, 1, 6), 16, 10) * {cells}L) div {1 << 24}L"))
     laid = running_totals(laid, "cell", [F.col("key"), F.col("doc_id"), F.col("size")],
                           {"size": "a", "1": "row_no"}, by=["pos"])
-    laid = cut(laid.select("doc_id", "source", "size", "source_size", "target", "pos", "a", "row_no"))
+    laid = cut(laid.select("doc_id", "source", "text_hash", "size", "source_size", "target", "pos", "a", "row_no"))
     plan = schedule(spark, sources, -(-int(total) // block_words), block_words, max_epochs)
     uses = plan.groupBy("pos", "block").agg(F.count(F.lit(1)).alias("uses"))
     pieces = laid.where("size > 0").select(
@@ -118,7 +118,21 @@ def mix(docs: DataFrame, weights=WEIGHTS, block_words: int = BLOCK_WORDS, max_ep
     return out.select("doc_id", "source", "size", "source_size",
                       F.coalesce("target", F.lit(0.0)).alias("target"),
                       F.coalesce("taken", F.lit(0).cast("bigint")).alias("taken"),
-                      F.coalesce("copies", F.lit(0).cast("bigint")).alias("copies"))
+                      F.coalesce("copies", F.lit(0).cast("bigint")).alias("copies"), "text_hash")
+
+
+def apply_mix(docs: DataFrame, **options) -> DataFrame:
+    """``docs`` (all columns), each row as often as the schedule takes the block of its first word.
+
+    Documents that the mix does not take are left out; equal rows of an id stand equally often.
+    """
+    plan = cut(mix(docs, **options).groupBy("doc_id", "source", "text_hash").agg(F.max("copies").alias("_copies"))
+               .where("_copies > 0")
+               .select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("text_hash").alias("_hash"), "_copies"))
+    hit = (F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source"))
+           & (F.xxhash64("text") == F.col("_hash")))
+    rows = docs.join(plan, hit).select(*docs.columns, "_copies")
+    return rows.withColumn("_copies", F.explode(F.sequence(F.lit(1).cast("bigint"), "_copies"))).drop("_copies")
 
 
 def op9(spark, sf_dir: str) -> DataFrame:

@@ -33,7 +33,7 @@ SLAB = 4096
 
 
 def signatures(docs: DataFrame, k: int = SKETCH_K) -> DataFrame:
-    """doc_id, n_shingles, h1, h2 (a 128-bit digest of the shingle set) and sketch of every row."""
+    """doc_id, text_hash, n_shingles, h1, h2 (a 128-bit digest of the shingle set) and sketch of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -44,12 +44,12 @@ def signatures(docs: DataFrame, k: int = SKETCH_K) -> DataFrame:
                 sets = [raw[8 * a:8 * b] for a, b in zip(o[:-1], o[1:])]
                 keys = np.frombuffer(b"".join(hashlib.blake2b(s, digest_size=16).digest() for s in sets), "<i8").reshape(-1, 2)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, hi - lo), pa.array(np.diff(o)), pa.array(keys[:, 0].copy()),
+                    [batch.column(0).slice(lo, hi - lo), batch.column(2).slice(lo, hi - lo), pa.array(np.diff(o)), pa.array(keys[:, 0].copy()),
                      pa.array(keys[:, 1].copy()), pa.array([s[:8 * k] for s in sets], pa.binary())],
-                    ["doc_id", "n_shingles", "h1", "h2", "sketch"])
+                    ["doc_id", "text_hash", "n_shingles", "h1", "h2", "sketch"])
 
-    return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id bigint, n_shingles bigint, h1 bigint, h2 bigint, sketch binary")
+    return docs.select("doc_id", "text", F.xxhash64("text")).mapInArrow(
+        run, "doc_id bigint, text_hash bigint, n_shingles bigint, h1 bigint, h2 bigint, sketch binary")
 
 
 def wanted(size, n, k: int = SKETCH_K):
@@ -152,7 +152,7 @@ def _empty(**kinds: str) -> pd.DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept.
+    """One row per document: doc_id, n_shingles, component_id, kept, text_hash (xxhash64 of the text).
 
     A document's set: the distinct 5-word shingles of its whole text (A-Z lower-cased, words
     ``[^\\x20\\x09-\\x0D]+``); with fewer words the whole sequence; none without words, which links
@@ -167,7 +167,6 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     Null ids take part (a set that only null ids have is a node without links); repeated rows of an
     id have the same component if their texts do.  An empty table gives an empty result.
     """
-    spark = docs.sparkSession
     rows = cut(signatures(docs))
     nodes = cut(rows.where("n_shingles > 0").groupBy("h1", "h2").agg(
         F.min("doc_id").alias("low"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"))
@@ -176,10 +175,24 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     root = nodes.select("node", "h1", "h2", "low").join(links, "node", "left").withColumn("root", F.coalesce("root", "node"))
     lowest = root.groupBy("root").agg(F.min("low").alias("component_id"))
     named = root.join(lowest, "root").select(F.col("h1").alias("_1"), F.col("h2").alias("_2"), "component_id")
-    out = rows.select("doc_id", "n_shingles", "h1", "h2").join(
+    out = rows.select("doc_id", "text_hash", "n_shingles", "h1", "h2").join(
         named, (F.col("n_shingles") > 0) & (F.col("h1") == F.col("_1")) & (F.col("h2") == F.col("_2")), "left")
     comp = F.coalesce("component_id", "doc_id")
-    return out.select("doc_id", "n_shingles", comp.alias("component_id"), F.col("doc_id").eqNullSafe(comp).alias("kept"))
+    return out.select("doc_id", "n_shingles", comp.alias("component_id"), F.col("doc_id").eqNullSafe(comp).alias("kept"), "text_hash")
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` (all columns) with one document of each group of near-duplicates.
+
+    Of equal rows (id and text), one stays.  Only the rows to leave are joined by id and text hash.
+    """
+    judged = cut(near_duplicates(docs).groupBy("doc_id", "text_hash").agg(
+        F.max("kept").alias("kept"), F.count(F.lit(1)).alias("rows")).where("not kept or rows > 1")
+                 .select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_text"), F.col("kept").alias("_kept")))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_text"))
+    once = docs.join(judged, same, "left_anti")
+    again = docs.join(judged.where("_kept"), same, "left_semi").withColumn("_hash", F.xxhash64("text"))
+    return once.unionByName(again.dropDuplicates(["doc_id", "_hash"]).drop("_hash"))
 
 
 def link_nodes(docs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -211,7 +224,7 @@ def link_nodes(docs: DataFrame, nodes: DataFrame) -> DataFrame:
         F.col("node") == F.col("pivot"), F.sequence(F.lit(0), F.col("groups") - 1)).otherwise(F.array(own))))
     cell = F.pmod(F.xxhash64("cluster", "group"), F.lit(n_tasks)).cast("int")
 
-    def against_pivot(_, frame: pd.DataFrame) -> pd.DataFrame:
+    def against_pivot(_, frame):
         got = []
         for (cluster, _), part in frame.groupby(["cluster", "group"], sort=False):
             node = part["node"].to_numpy()
@@ -239,7 +252,7 @@ def link_nodes(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     rest = rest.select("cluster", "node", "set", "near", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
     cell = F.pmod(F.xxhash64("cluster", "i", "j"), F.lit(n_tasks)).cast("int")
 
-    def all_pairs(_, frame: pd.DataFrame) -> pd.DataFrame:
+    def all_pairs(_, frame):
         out_n, out_r = [], []
         for (_, i, j), part in frame.groupby(["cluster", "i", "j"], sort=False):
             node, own, near = part["node"].to_numpy(), part["own"].to_numpy(), part["near"].to_numpy()
@@ -283,7 +296,8 @@ def _digest():
 
 
 def op10(spark, sf_dir: str) -> DataFrame:
-    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    return near_duplicates(docs).drop("text_hash")
 
 
 def op10_sql() -> str:

@@ -6,14 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskframe.llm import embed_dedup, fingerprint, mixing, near_dedup, shards, token_files, toxicity, url_filter
+from riskframe.llm import (embed_dedup, fingerprint, mixing, near_dedup, pieces, shards, suffix_dedup, token_files, toxicity,
+                           url_filter)
 from riskframe.llm.common import package_on_workers
 
 OPERATORS = {
+    "op1_suffix_dedup": suffix_dedup.op1,
     "op2_embedding_dedup": embed_dedup.op2,
     "op3_url_filter": url_filter.op3,
     "op4_token_files": token_files.op4,
     "op5_toxicity": toxicity.op5,
+    "op6_sentencepiece": pieces.op6,
     "op7_fingerprints": fingerprint.op7,
     "op8_byte_shards": shards.op8,
     "op9_mixing": mixing.op9,

@@ -17,6 +17,7 @@ from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -410,3 +411,53 @@ def removed_bytes(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", "n_bytes", F.coalesce(removed, F.lit(0).cast("bigint")).alias("n_removed"),
                       F.coalesce(F.size("spans").cast("bigint"), F.lit(0).cast("bigint")).alias("n_spans"),
                       F.coalesce("kept_sha256", "sha256").alias("kept_sha256"), "spans")
+
+
+def whole_characters(raw: bytes, spans) -> list[dict]:
+    """Spans without the bytes of characters that they cover in part."""
+    out = []
+    for x in spans:
+        a, b = x["s"], x["e"]
+        while a < b and raw[a] & 0xC0 == 0x80:
+            a += 1
+        while b > a and b < len(raw) and raw[b] & 0xC0 == 0x80:
+            b -= 1
+        out.append({"s": a, "e": b})
+    return out
+
+
+def remove_repeated(docs: DataFrame) -> DataFrame:
+    """``docs`` (all columns) with repeated strings taken out of ``text``, and ``n_chars`` adjusted.
+
+    A character that a span covers only in part stays.  Documents stay even if nothing is left.
+    """
+    spans, _ = repeated_spans(docs, cut(identify(docs)))
+    kind = docs.schema
+    at = docs.columns.index("text")
+    marked = "struct<t1:bigint,t2:bigint>"
+
+    @F.pandas_udf(marked)
+    def ids(texts: pd.Series) -> pd.DataFrame:
+        got = text_ids([t.encode() for t in texts])
+        return pd.DataFrame({"t1": got[:, 0], "t2": got[:, 1]})
+
+    def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = batch.column(batch.num_columns - 1).to_pylist()
+            texts = batch.column(at).to_pylist()
+            size = [None if t is None else len(t) for t in texts]
+            for i, s in enumerate(found):
+                if s and texts[i] is not None:
+                    raw = texts[i].encode()
+                    texts[i] = without_spans(raw, whole_characters(raw, s)).decode()
+            columns = [pa.array(texts, pa.string()) if i == at else batch.column(i) for i in range(batch.num_columns - 1)]
+            if "n_chars" in kind.names:
+                j = kind.names.index("n_chars")
+                now = [n if t is None or len(t) == m else len(t) for n, t, m in zip(batch.column(j).to_pylist(), texts, size)]
+                columns[j] = pa.array(now, batch.column(j).type)
+            yield pa.RecordBatch.from_arrays(columns, kind.names)
+
+    named = docs.withColumn("_id", ids(F.coalesce("text", F.lit(""))))
+    found = spans.select(F.col("t1").alias("_1"), F.col("t2").alias("_2"), F.col("spans").alias("_spans"))
+    joined = named.join(found, (F.col("_id.t1") == F.col("_1")) & (F.col("_id.t2") == F.col("_2")), "left")
+    return joined.select(*(F.col(c) for c in docs.columns), "_spans").mapInArrow(strip, kind)

@@ -150,6 +150,15 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_TRAIN_DOCS) ->
     return np.frombuffer(got[0]["w"], "<f4"), got[0]["b"]
 
 
+def document_scores(data: np.ndarray, offsets: np.ndarray, weights: np.ndarray, bias: float):
+    """(score of each text; text, start, end and score of each sentence)."""
+    f, s, d, a, e = sentences(data, offsets)
+    z = np.bincount(s, weights=weights[f], minlength=len(d)) + bias if len(d) else np.zeros(0)
+    p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+    none = np.bincount(d, weights=np.log1p(-np.minimum(p, 1 - 1e-12)), minlength=len(offsets) - 1)
+    return -np.expm1(none), d, a, e, p
+
+
 def score(docs: DataFrame, weights: np.ndarray, bias: float) -> DataFrame:
     """doc_id, score, n_sentences, and the worst sentence (byte span and its own score) of every row.
 
@@ -161,10 +170,7 @@ def score(docs: DataFrame, weights: np.ndarray, bias: float) -> DataFrame:
             data, off = text_buffer(batch.column(1))
             for lo, hi in byte_slices(off):
                 m = hi - lo
-                f, s, d, a, e = sentences(data[off[lo]:off[hi]], off[lo:hi + 1] - off[lo])
-                z = np.bincount(s, weights=weights[f], minlength=len(d)) + bias if len(d) else np.zeros(0)
-                p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-                total = -np.expm1(np.bincount(d, weights=np.log1p(-np.minimum(p, 1 - 1e-12)), minlength=m))
+                total, d, a, e, p = document_scores(data[off[lo]:off[hi]], off[lo:hi + 1] - off[lo], weights, bias)
                 worst = np.full(m, -1)
                 order = np.lexsort((-np.arange(len(d)), p, d))
                 worst[d[order]] = order
@@ -180,6 +186,20 @@ def score(docs: DataFrame, weights: np.ndarray, bias: float) -> DataFrame:
         run, "doc_id bigint, score double, n_sentences bigint, worst_start bigint, worst_end bigint, worst_score double")
 
 
+def keep_clean(docs: DataFrame, weights: np.ndarray, bias: float, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` (all columns) whose text scores below ``threshold``."""
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, off = text_buffer(batch.column(at))
+            for lo, hi in byte_slices(off):
+                total = document_scores(data[off[lo]:off[hi]], off[lo:hi + 1] - off[lo], weights, bias)[0]
+                yield batch.slice(lo, hi - lo).filter(pa.array(total < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op5(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
