@@ -43,7 +43,7 @@ def source_targets(sized: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOC
     level = F.col("w") * F.col("left_words") / F.nullif(F.col("left_w"), F.lit(0.0))
     s = s.withColumn("target", F.when(F.col("capped"), F.col("cap").cast("double")).otherwise(level))
     line = Window.orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    edge = F.floor(F.sum("target").over(line) / F.col("total") * SPAN + 0.5).cast("bigint")
+    edge = F.floor(F.sum("target").over(line) / F.nullif(F.col("total"), F.lit(0)) * SPAN + 0.5).cast("bigint")
     s = s.withColumn("hi", F.coalesce(F.least(edge, F.lit(SPAN)), F.lit(0).cast("bigint")))
     last = F.row_number().over(Window.orderBy(F.desc("pos"))) == 1
     s = s.withColumn("hi", F.when(last & (F.col("total") > 0), F.lit(SPAN)).otherwise(F.col("hi")))
