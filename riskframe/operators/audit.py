@@ -21,13 +21,14 @@ EPS_RHO = 1e-8
 def roc_auc(df: DataFrame, keys: Sequence[str] = (), score: str = "p", label: str = "y",
             weight: str | Column | None = None, n_buckets: int = 64) -> DataFrame:
     """M1: tie-aware ROC-AUC = sum_i neg_i (pos_above_i + pos_i / 2) / (P N);
-    NULL when a key has one class.  Integer numerator so the value is exact."""
+    NULL when a key has one class.  Decimal numerator: exact, and wide enough for 5e9 x 5e9 rows."""
     cum = cumulative(df, keys, score, label, weight, n_buckets)
-    num2 = 2 * F.col("neg") * F.col("tp_above") + F.col("neg") * F.col("pos")
+    neg, wide = F.col("neg").cast("decimal(19,0)"), "decimal(19,0)"
+    num2 = neg * (F.col("tp_above") * 2 + F.col("pos")).cast(wide)
     agg = cum.groupBy(*keys).agg(F.sum(num2).alias("_num2"), F.first("P").alias("P"),
                                  F.first("N").alias("N"))
     return agg.select(*keys, F.when((F.col("P") > 0) & (F.col("N") > 0),
-                                    F.col("_num2").cast("double") / (2.0 * F.col("P") * F.col("N")))
+                                    F.col("_num2").cast("double") / (2.0 * F.col("P").cast("double") * F.col("N")))
                       .alias("auc"))
 
 
@@ -49,12 +50,13 @@ def youden(df: DataFrame, keys: Sequence[str] = (), score: str = "p", label: str
     cum = cumulative(df, keys, score, label)
     tp = F.col("tp_above") + F.col("pos")
     fp = F.col("fp_above") + F.col("neg")
-    jint = tp * F.col("N") - fp * F.col("P")
+    wide = "decimal(19,0)"
+    jint = tp.cast(wide) * F.col("N").cast(wide) - fp.cast(wide) * F.col("P").cast(wide)
     best = cum.groupBy(*keys).agg(
         F.max_by(F.struct(jint.alias("j"), F.col("score").alias("t")),
                  F.struct(jint, F.col("score"))).alias("b"),
         F.first("P").alias("P"), F.first("N").alias("N"))
-    j = F.col("b.j").cast("double") / (F.col("P") * F.col("N"))
+    j = F.col("b.j").cast("double") / (F.col("P").cast("double") * F.col("N"))
     pos_j = F.col("b.j") > 0
     return best.select(
         *keys,

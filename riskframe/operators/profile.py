@@ -159,21 +159,37 @@ def spearman_target(df: DataFrame, cols: Sequence[str], target: str = "TARGET",
 
 
 def cohens_d(df: DataFrame, cols: Sequence[str], target: str = "TARGET", min_n: int = 1000,
-             eps: float = 1e-9) -> DataFrame:
-    """|m1 - m0| / (pooled sample std + eps) on non-null rows, with the
-    column's null rate; rows below ``min_n`` non-null values get NULL."""
+             eps: float = 1e-9, null_pct: tuple[float, float] | None = (20.0, 70.0)) -> DataFrame:
+    """|m1 - m0| / (sample std of all of them + eps) on rows with value and
+    target.  Only columns with more than ``null_pct[0]`` and at most
+    ``null_pct[1]`` % nulls (None: all columns), and ``min_n`` such rows."""
     long = long_form(df, cols, [F.col(target).alias("_y")])
     y, v = F.col("_y"), F.col("value")
     agg = long.groupBy("feature").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.count(v).alias("n"),
+        F.count(F.lit(1)).alias("n_rows"), F.count(v).alias("n_values"), F.count(F.when(y.isNotNull(), v)).alias("n"),
         F.avg(F.when(y == 1, v)).alias("m1"), F.avg(F.when(y == 0, v)).alias("m0"),
-        F.var_samp(F.when(y == 1, v)).alias("v1"), F.var_samp(F.when(y == 0, v)).alias("v0"),
-        F.count(F.when(y == 1, v)).alias("n1"), F.count(F.when(y == 0, v)).alias("n0"))
-    pooled = F.sqrt(((F.col("n1") - 1) * F.col("v1") + (F.col("n0") - 1) * F.col("v0"))
-                    / (F.col("n1") + F.col("n0") - 2))
-    d = F.abs(F.col("m1") - F.col("m0")) / (pooled + F.lit(eps))
-    return agg.select("feature", "n", (100.0 * (F.col("n_rows") - F.col("n")) / F.col("n_rows")).alias("null_pct"),
-                      F.when(F.col("n") >= min_n, d).alias("cohens_d"))
+        F.stddev_samp(F.when(y.isNotNull(), v)).alias("sd"))
+    d = F.abs(F.col("m1") - F.col("m0")) / (F.col("sd") + F.lit(eps))
+    out = agg.select("feature", "n", (100.0 * (F.col("n_rows") - F.col("n_values")) / F.col("n_rows")).alias("null_pct"),
+                     d.alias("cohens_d")).where(F.col("n") >= min_n)
+    return out if null_pct is None else out.where((F.col("null_pct") > null_pct[0]) & (F.col("null_pct") <= null_pct[1]))
+
+
+def fast_abs_corr(df: DataFrame, cols: Sequence[str], target: str = "TARGET", min_n: int = 1000) -> DataFrame:
+    """|sum (x - mean x)(y - mean of all y)| / (n sd(x) sd(all y)) over the
+    finite values of each column; the target's moments are those of all rows.
+    Columns with fewer values, or next to no spread, are left out."""
+    y = F.col(target).cast("double")
+    long = long_form(df, cols, [y.alias("_y")])
+    fine = F.col("value").isNotNull() & ~F.isnan("value") & (F.abs("value") != float("inf"))
+    x, yy = F.when(fine, F.col("value")), F.col("_y")
+    agg = long.groupBy("feature").agg(
+        F.count(x).alias("n"), F.avg(x).alias("mx"), F.stddev_pop(x).alias("sx"), F.sum(x * yy).alias("sxy"),
+        F.sum(F.when(fine, yy)).alias("sy"), F.avg(yy).alias("my"), F.stddev_pop(yy).alias("sdy"))
+    # sum (x - mx)(y - my) = sum xy - mx * sum y, as the deviations of x add up to 0
+    corr = F.abs(F.col("sxy") - F.col("mx") * F.col("sy")) / (F.col("n") * F.col("sx") * F.col("sdy"))
+    return (agg.where((F.col("n") >= min_n) & (F.col("sx") * F.col("sdy") > 1e-9))
+            .select("feature", corr.alias("abs_corr_target")))
 
 
 def feature_pick(spearman: DataFrame, d: DataFrame, rho_min: float = 0.04, d_min: float = 0.10) -> DataFrame:

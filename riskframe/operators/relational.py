@@ -374,16 +374,31 @@ def card_features(card: DataFrame, *, recent_months: int = 12, encode: bool = Tr
 # ---------------------------------------------------------------- R11 - R15
 
 def merge_blocks(blocks: Sequence[DataFrame], key: str = KEY) -> DataFrame:
-    """Full outer join of per-key blocks (each already unique per key)."""
+    """Full outer join of per-key blocks.
+
+    A block with a key that stands twice fails the job.  The check is one count per key on the
+    block's own partitioning, which the join needs anyway.
+    """
     blocks = [b for b in blocks if b is not None]
     if not blocks:
         raise RelationalError("no feature block to merge")
-    out = blocks[0]
+    if any(key not in b.columns for b in blocks):
+        raise RelationalError(f"missing id column: {key}")
+    out = unique_by(blocks[0], key)
     for b in blocks[1:]:
-        out = out.join(b, key, "full_outer")
+        out = out.join(unique_by(b, key), key, "full_outer")
     return out
 
 
+def unique_by(block: DataFrame, key: str = KEY) -> DataFrame:
+    """The block itself; running it raises if a key stands twice."""
+    others = [c for c in block.columns if c != key]
+    rows = block.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), *(F.first(c).alias(c) for c in others))
+    checked = F.when(F.col("_n") == 1, F.col(key)).otherwise(
+        F.raise_error(F.concat(F.lit(f"duplicated {key}: "), F.col(key).cast("string"))).cast(block.schema[key].dataType))
+    return rows.select(checked.alias(key), *others)
+
+
 def relational_matrix(application: DataFrame, blocks: Sequence[DataFrame],
                       key: str = KEY) -> DataFrame:
     """Application rows LEFT JOIN every block.  Blocks leave their

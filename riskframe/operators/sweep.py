@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from riskframe.operators.relational import source_of
 
 AUC_TOLERANCE = 0.02
+# Status of a sweep row, as other tools read it.
+BASE, COLLAPSED, FAIR = "base_cuadratica", "colapsado", "fair_cuadratico"
 # Collapse limits of a fair model (AUC, threshold, score std).
 COLLAPSE_AUC, COLLAPSE_THRESHOLD, COLLAPSE_STD = 0.55, 0.99, 1e-4
 
@@ -42,16 +44,18 @@ def pareto_select(sweep: DataFrame, *, lam: str = "lam", auc: str = "auc", rho:
                   tolerance: float = AUC_TOLERANCE, status: str | None = None) -> DataFrame:
     """Baseline (lambda 0) always kept; among lambda != 0 rows with
     AUC >= base - tolerance pick the smallest |rho|, then the largest AUC; when
-    none is viable all lambda != 0 rows compete.  With ``status`` the collapsed
-    rows are excluded first and a missing AUC is not viable (W2); without it a
-    missing AUC counts as viable (W1)."""
+    none is viable all lambda != 0 rows compete.  With ``status`` collapsed rows
+    compete only if all have collapsed, and a missing AUC is not viable (W2);
+    without it a missing AUC, of the row or of the baseline, counts as viable
+    (W1).  A sweep without a baseline row fails when it is run."""
     base_auc = F.max(F.when(F.col(lam) == 0, F.col(auc))).over(_all())
     nonbase = F.col(lam) != 0
     if status is None:
         ok = nonbase
-        viable = ok & (_nan(F.col(auc)) | (F.col(auc) >= base_auc - tolerance))
+        viable = ok & (_nan(base_auc) | _nan(F.col(auc)) | (F.col(auc) >= base_auc - tolerance))
     else:
-        ok = nonbase & (F.col(status) != "collapsed")
+        stands = nonbase & (F.col(status) != COLLAPSED)
+        ok = nonbase & (stands | (F.max(stands.cast("int")).over(_all()) == 0))
         viable = ok & ~_nan(F.col(auc)) & (F.col(auc) >= base_auc - tolerance)
     marked = sweep.withColumn("viable", F.coalesce(viable, F.lit(False)))
     any_viable = F.max(F.col("viable").cast("int")).over(_all()) == 1
@@ -60,28 +64,31 @@ def pareto_select(sweep: DataFrame, *, lam: str = "lam", auc: str = "auc", rho:
     order = Window.partitionBy("_cand").orderBy(F.col(rho).asc_nulls_last(), F.col(auc).desc_nulls_last(),
                                                 F.col(lam).asc())
     marked = marked.withColumn("_rk", F.row_number().over(order))
-    if marked.filter(F.col(lam) == 0).limit(1).count() == 0:
-        raise SweepError("baseline row (lambda = 0) is mandatory")
-    return marked.withColumn("selected", (F.col(lam) == 0) | (F.col("_cand") & (F.col("_rk") == 1))) \
-                 .drop("_cand", "_rk")
+    has_base = F.max((F.col(lam) == 0).cast("int")).over(_all()) == 1
+    selected = F.when(has_base, (F.col(lam) == 0) | (F.col("_cand") & (F.col("_rk") == 1))).otherwise(
+        F.raise_error(F.lit("baseline row (lambda = 0) is mandatory")).cast("boolean"))
+    return marked.withColumn("selected", selected).drop("_cand", "_rk")
 
 
 def collapse_status(sweep: DataFrame, *, lam: str = "lam", auc: str = "auc",
                     threshold: str = "threshold", score_std: str = "score_std") -> DataFrame:
-    """Baseline / collapsed / ok classification of every sweep row."""
+    """Baseline / collapsed / fair classification of every sweep row."""
     collapsed = ((F.col(auc) <= COLLAPSE_AUC) | (F.col(threshold) >= COLLAPSE_THRESHOLD)
                  | (F.col(score_std) <= COLLAPSE_STD))
-    return sweep.withColumn("status", F.when(F.col(lam) == 0, "base")
-                            .when(F.coalesce(collapsed, F.lit(False)), "collapsed").otherwise("ok"))
+    return sweep.withColumn("status", F.when(F.col(lam) == 0, BASE)
+                            .when(F.coalesce(collapsed, F.lit(False)), COLLAPSED).otherwise(FAIR))
 
 
 def comparison_table(rows: DataFrame, *, reference_filter: Column, auc: str = "auc",
-                     rho: str = "abs_rho") -> DataFrame:
-    """Every row beside the reference row: AUC loss and |rho| reduction."""
-    ref_auc = F.max(F.when(reference_filter, F.col(auc))).over(_all())
-    ref_rho = F.max(F.when(reference_filter, F.col(rho))).over(_all())
-    return rows.select("*", (ref_auc - F.col(auc)).alias("auc_loss"),
-                       F.try_divide(ref_rho - F.col(rho), ref_rho).alias("rho_reduction"))
+                     rho: str = "abs_rho", dpd: str = "dpd") -> DataFrame:
+    """Every row beside the reference row: AUC loss, and by how much
+    |rho| and the parity difference are below the reference's."""
+    def ref(c: str) -> Column:
+        return F.max(F.when(reference_filter, F.col(c))).over(_all())
+
+    return rows.select("*", (ref(auc) - F.col(auc)).alias("auc_loss"),
+                       (ref(rho) - F.col(rho)).alias("rho_improvement"),
+                       (ref(dpd) - F.col(dpd)).alias("dpd_improvement"))
 
 
 def sweep_over_seeds(per_seed: DataFrame, *, lam: str = "lam", auc: str = "auc",

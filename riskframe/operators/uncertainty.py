@@ -1,9 +1,9 @@
 """Error-based uncertainty.
 
-The error model of the reference (a regressor of |p - y| trained on the
-validation rows) is offered two ways: a binned regressor (mean absolute error
-of the validation rows in the same score bin; one aggregate, SQL-expressible)
-and a Spark ML gradient-boosted regressor in :mod:`riskframe.operators.learners`.
+The error model (a regressor of |p - y| trained on the validation rows) is
+offered two ways: a binned regressor (mean absolute error of the validation
+rows in the same score bin; one aggregate, SQL-expressible) and Spark ML's
+gradient-boosted regressor in :mod:`riskframe.operators.learners`.
 """
 
 from __future__ import annotations
@@ -34,15 +34,16 @@ def fit_binned_error(train: DataFrame, score: str = "p", label: str = "y", n_bin
     """U2 (binned): mean absolute error per score bin on the fitting rows."""
     return (error_target(train, score, label)
             .groupBy(score_bin(score, n_bins).alias("_bin"))
-            .agg(F.avg("abs_error").alias("_u")))
+            .agg(F.avg("abs_error").alias("_u"), F.count(F.lit(1)).alias("_n")))
 
 
 def apply_binned_error(df: DataFrame, model: DataFrame, score: str = "p", n_bins: int = 20,
-                       fallback: float | None = None, out: str = "uncertainty") -> DataFrame:
-    """Uncertainty of each row = its bin's fitted error (bins x 1 table, broadcast)."""
-    j = df.withColumn("_bin", score_bin(score, n_bins)).join(F.broadcast(model), "_bin", "left")
-    u = F.col("_u") if fallback is None else F.coalesce(F.col("_u"), F.lit(fallback))
-    return j.withColumn(out, u).drop("_bin", "_u")
+                       out: str = "uncertainty") -> DataFrame:
+    """Uncertainty of each row = its bin's fitted error; a bin without fitting
+    rows takes the mean error of all of them."""
+    whole = model.agg((F.sum(F.col("_u") * F.col("_n")) / F.sum("_n")).alias("_all"))
+    j = df.withColumn("_bin", score_bin(score, n_bins)).join(model, "_bin", "left").crossJoin(whole)
+    return j.withColumn(out, F.coalesce("_u", "_all")).drop("_bin", "_u", "_n", "_all")
 
 
 def clip_check(df: DataFrame, col: str = "uncertainty", digits: int = 8) -> DataFrame:
@@ -100,6 +101,13 @@ def variance_by_class(var: DataFrame, label: str = "y", value: str = "var_p") ->
     return s.select(label, "n", "mean", "median")
 
 
+def class_variance_ratio(var: DataFrame, label: str = "y", value: str = "var_p") -> DataFrame:
+    """Mean variance of class 1 over that of class 0."""
+    m1, m0 = (F.avg(F.when(F.col(label) == c, F.col(value))) for c in (1, 0))
+    return var.agg(m1.alias("mean_1"), m0.alias("mean_0")).select(
+        "mean_0", "mean_1", F.try_divide("mean_1", "mean_0").alias("ratio"))
+
+
 def variance_by_missing(var: DataFrame, null_count: str = "ext_null_count", value: str = "var_p",
                         max_missing: int = 3) -> DataFrame:
     """Mean variance per missing count 0..max (zero-filled keys) with a

@@ -18,7 +18,8 @@ from riskframe.sources.tables import read_table
 # The date every relative day count is measured from.
 REFERENCE_DATE = "2002-01-01"
 # Sweep grid lambda -> integer score shift for the s = 1 group.
-LAMBDA_SHIFTS = ((0.0, 0), (0.05, 4), (0.1, 7), (0.25, 16), (0.5, 27), (1.0, 40), (2.0, 53), (5.0, 67))
+LAMBDA_SHIFTS = ((0.0, 0), (0.05, 4), (0.1, 7), (0.25, 16), (0.5, 27), (1.0, 40), (2.0, 53), (5.0, 67),
+                 (10.0, 76))
 
 
 def _days(c: str) -> Column:

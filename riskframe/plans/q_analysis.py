@@ -37,20 +37,22 @@ sw AS (SELECT e.*, m.lam, m.score_std FROM eval_t e JOIN
 
 def pareto_sql(src: str, status: bool) -> str:
     if status:
-        ok = "lam <> 0 AND status <> 'collapsed'"
+        ok = "lam <> 0 AND (status <> 'colapsado' OR all_collapsed)"
         viable = f"coalesce({ok} AND NOT (auc IS NULL OR isnan(auc)) AND auc >= base_auc - 0.02, false)"
     else:
         ok = "lam <> 0"
-        viable = f"coalesce({ok} AND (auc IS NULL OR isnan(auc) OR auc >= base_auc - 0.02), false)"
-    return f"""pb AS (SELECT *, max(CASE WHEN lam = 0 THEN auc END) OVER () AS base_auc FROM {src}),
+        viable = (f"coalesce({ok} AND (base_auc IS NULL OR isnan(base_auc) OR auc IS NULL OR isnan(auc) "
+                  "OR auc >= base_auc - 0.02), false)")
+    collapsed = ", count_if(lam <> 0 AND status <> 'colapsado') OVER () = 0 AS all_collapsed" if status else ""
+    return f"""pb AS (SELECT *, max(CASE WHEN lam = 0 THEN auc END) OVER () AS base_auc{collapsed} FROM {src}),
 pv AS (SELECT *, {viable} AS viable FROM pb),
 pc AS (SELECT *, CASE WHEN max(CAST(viable AS INTEGER)) OVER () = 1 THEN viable ELSE coalesce({ok}, false) END AS cand FROM pv),
 pr AS (SELECT *, row_number() OVER (PARTITION BY cand ORDER BY abs_rho ASC NULLS LAST, auc DESC NULLS LAST, lam ASC) AS rk FROM pc),
 pareto AS (SELECT *, (lam = 0) OR (cand AND rk = 1) AS selected FROM pr)"""
 
 
-STATUS_SQL = """st AS (SELECT *, CASE WHEN lam = 0 THEN 'base'
-    WHEN coalesce(auc <= 0.55 OR threshold >= 0.99 OR score_std <= 0.0001, false) THEN 'collapsed' ELSE 'ok' END AS status FROM sw)"""
+STATUS_SQL = """st AS (SELECT *, CASE WHEN lam = 0 THEN 'base_cuadratica'
+    WHEN coalesce(auc <= 0.55 OR threshold >= 0.99 OR score_std <= 0.0001, false) THEN 'colapsado' ELSE 'fair_cuadratico' END AS status FROM sw)"""
 
 
 @register("pareto_select", B.with_roles("scored_models", extra=SWEEP_CTES + ",\n" + pareto_sql("sw", False))
@@ -77,15 +79,16 @@ def q_pareto_select_status(spark, d):
                                                        "viable", "selected")
 
 
-@register("comparison_table", B.with_roles("scored_models", extra=SWEEP_CTES)
-          + """SELECT model_id, lam, auc, abs_rho, dpd, eod,
+@register("comparison_table", B.with_roles("scored_models", extra=SWEEP_CTES + ",\n" + STATUS_SQL + ",\n" + pareto_sql("st", True))
+          + """SELECT model_id, lam, status, auc, abs_rho, dpd, eod,
                  max(CASE WHEN lam = 0 THEN auc END) OVER () - auc AS auc_loss,
-                 (max(CASE WHEN lam = 0 THEN abs_rho END) OVER () - abs_rho)
-                   / NULLIF(max(CASE WHEN lam = 0 THEN abs_rho END) OVER (), 0) AS rho_reduction FROM sw""")
+                 max(CASE WHEN lam = 0 THEN abs_rho END) OVER () - abs_rho AS rho_improvement,
+                 max(CASE WHEN lam = 0 THEN dpd END) OVER () - dpd AS dpd_improvement FROM pareto WHERE selected""")
 def q_comparison_table(spark, d):
-    """Every sweep row against the baseline row."""
-    sw = sweep_table(spark, d).select("model_id", "lam", "auc", "abs_rho", "dpd", "eod")
-    return W.comparison_table(sw, reference_filter=F.col("lam") == 0)
+    """The selected sweep rows against the baseline row."""
+    st = W.pareto_select(W.collapse_status(sweep_table(spark, d)), status="status").where("selected")
+    return W.comparison_table(st.select("model_id", "lam", "status", "auc", "abs_rho", "dpd", "eod"),
+                              reference_filter=F.col("lam") == 0)
 
 
 @register("model_ladder", B.with_roles("scored_models", extra=SWEEP_CTES)
@@ -187,7 +190,7 @@ val AS (SELECT *, 'v' AS k FROM ssp WHERE split = 'validation'),
 binerr AS (SELECT CAST(least(floor(p * {N_BINS}), {N_BINS - 1}) AS INTEGER) AS b, avg(abs(p - CAST(y AS DOUBLE))) AS u
            FROM val GROUP BY 1),
 pred AS (SELECT t.id, t.y AS y_true, t.p AS y_proba, CAST(t.p >= yt.threshold AS INTEGER) AS y_pred, t.s AS sensitive,
-           yt.threshold, be.u AS uncertainty
+           yt.threshold, coalesce(be.u, (SELECT avg(abs(p - CAST(y AS DOUBLE))) FROM val)) AS uncertainty
          FROM (SELECT * FROM ssp WHERE split = 'test') t CROSS JOIN youden_t yt
          LEFT JOIN binerr be ON CAST(least(floor(t.p * {N_BINS}), {N_BINS - 1}) AS INTEGER) = be.b)"""
 
@@ -250,6 +253,9 @@ def _ensemble(spark, d):
     return var.join(labels, "id")
 
 
+EXT = ("EXT_SOURCE_1", "EXT_SOURCE_2", "EXT_SOURCE_3")
+NULLS_CTE = "nulls AS (SELECT o_orderkey AS id, " + " + ".join(f"CAST({c} IS NULL AS INTEGER)" for c in EXT) + """ AS ext_null_count
+              FROM orders JOIN application ON o_custkey = SK_ID_CURR)"""
 ENS_CTE = """ens AS (SELECT id, avg(p) AS mean_p, var_pop(p) AS var_p, count(*) AS n_passes, max(y) AS y
                 FROM scored_models GROUP BY id)"""
 
@@ -268,15 +274,22 @@ def q_variance_by_class(spark, d):
 
 
 def _nulls_per_order(spark, d):
+    """Null count of the customer of every order, of whatever gender code."""
     o = B.read_table(spark, d, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_custkey"))
-    det = B.deterministic(spark, d).select(F.col("SK_ID_CURR").alias("o_custkey"),
-                                           F.col("EXT_NULL_COUNT").alias("ext_null_count"))
-    return o.join(det, "o_custkey").select("id", "ext_null_count")
+    app = B.application(spark, d)
+    nulls = sum((F.col(c).isNull().cast("int") for c in EXT), F.lit(0))
+    app = app.select(F.col("SK_ID_CURR").alias("o_custkey"), nulls.alias("ext_null_count"))
+    return o.join(app, "o_custkey").select("id", "ext_null_count")
 
 
-@register("variance_by_missing", B.with_roles("scored_models", "deterministic", extra=ENS_CTE + """,
-    nulls AS (SELECT o_orderkey AS id, EXT_NULL_COUNT AS ext_null_count FROM orders
-              JOIN deterministic ON o_custkey = SK_ID_CURR),
+@register("class_variance_ratio", B.with_roles("scored_models", extra=ENS_CTE) + """SELECT mean_0, mean_1, mean_1 / nullif(mean_0, 0) AS ratio
+          FROM (SELECT avg(CASE WHEN y = 0 THEN var_p END) AS mean_0, avg(CASE WHEN y = 1 THEN var_p END) AS mean_1 FROM ens)""")
+def q_class_variance_ratio(spark, d):
+    """Mean variance of class 1 over class 0."""
+    return U.class_variance_ratio(_ensemble(spark, d), "y")
+
+
+@register("variance_by_missing", B.with_roles("scored_models", "application", extra=ENS_CTE + ",\n" + NULLS_CTE + """,
     agg AS (SELECT CAST(ext_null_count AS INTEGER) AS ext_null_count, count(*) AS n, avg(var_p) AS mean,
                    stddev_pop(var_p) AS sd FROM ens JOIN nulls USING (id) GROUP BY 1)""")
           + """SELECT k.ext_null_count, coalesce(n, 0) AS n, mean, 1.96 * sd / sqrt(n) AS ci95
@@ -286,9 +299,7 @@ def q_variance_by_missing(spark, d):
     return U.variance_by_missing(_ensemble(spark, d).join(_nulls_per_order(spark, d), "id"))
 
 
-@register("uncert_by_nulls", B.with_roles("scored", "deterministic", extra=UNC_CTES + """,
-    nulls AS (SELECT o_orderkey AS id, EXT_NULL_COUNT AS ext_null_count FROM orders
-              JOIN deterministic ON o_custkey = SK_ID_CURR),
+@register("uncert_by_nulls", B.with_roles("scored", "application", extra=UNC_CTES + ",\n" + NULLS_CTE + """,
     predn AS (SELECT * FROM pred JOIN nulls USING (id))""") + _summary_sql("predn", "ext_null_count", "uncertainty"))
 def q_uncert_by_nulls(spark, d):
     """Uncertainty summary per customer null count."""
@@ -387,32 +398,61 @@ def q_corr_matrix(spark, d):
     return E.corr_matrix(B.deterministic(spark, d), CM)
 
 
-@register("spearman_target", B.with_roles("deterministic", extra="l AS (" + _long_sql(NUM) + """),
+SPEAR_CTES = "l AS (" + _long_sql(NUM) + """),
         r AS (SELECT feature, value, CAST(TARGET AS DOUBLE) AS y,
                 rank() OVER (PARTITION BY feature ORDER BY value) + (count(*) OVER (PARTITION BY feature, value) - 1) / 2.0 AS rx,
                 rank() OVER (PARTITION BY feature ORDER BY TARGET) + (count(*) OVER (PARTITION BY feature, TARGET) - 1) / 2.0 AS ry
-              FROM l WHERE value IS NOT NULL AND TARGET IS NOT NULL)""")
-          + f"""SELECT feature, spearman, pearson, spearman - pearson AS gap FROM (
+              FROM l WHERE value IS NOT NULL AND TARGET IS NOT NULL)"""
+SPEAR_SQL = f"""SELECT feature, spearman, pearson, spearman - pearson AS gap FROM (
                  SELECT feature, {_pearson_sql('CAST(rx AS DOUBLE)', 'CAST(ry AS DOUBLE)')} AS spearman,
-                   {_pearson_sql('value', 'y')} AS pearson FROM r GROUP BY feature)""")
+                   {_pearson_sql('value', 'y')} AS pearson FROM r GROUP BY feature)"""
+
+
+@register("spearman_target", B.with_roles("deterministic", extra=SPEAR_CTES) + SPEAR_SQL)
 def q_spearman_target(spark, d):
     """Spearman (average ranks, distributed) vs Pearson per feature."""
     return E.spearman_target(B.deterministic(spark, d), NUM)
 
 
+COHEN_SQL = """SELECT feature, n, null_pct, cohens_d FROM (
+    SELECT feature, count(CASE WHEN TARGET IS NOT NULL THEN value END) AS n, 100.0 * (count(*) - count(value)) / count(*) AS null_pct,
+      abs(avg(CASE WHEN TARGET = 1 THEN value END) - avg(CASE WHEN TARGET = 0 THEN value END))
+        / (stddev_samp(CASE WHEN TARGET IS NOT NULL THEN value END) + 1e-9) AS cohens_d
+    FROM l GROUP BY feature)"""
+
+
 @register("cohens_d", B.with_roles("deterministic", extra="l AS (" + _long_sql(NUM) + ")")
-          + """SELECT feature, n, 100.0 * (n_rows - n) / n_rows AS null_pct,
-                 CASE WHEN n >= 1000 THEN abs(m1 - m0) / (sqrt(((n1 - 1) * v1 + (n0 - 1) * v0) / (n1 + n0 - 2)) + 1e-9) END AS cohens_d
-               FROM (SELECT feature, count(*) AS n_rows, count(value) AS n,
-                   avg(CASE WHEN TARGET = 1 THEN value END) AS m1, avg(CASE WHEN TARGET = 0 THEN value END) AS m0,
-                   var_samp(CASE WHEN TARGET = 1 THEN value END) AS v1, var_samp(CASE WHEN TARGET = 0 THEN value END) AS v0,
-                   count(CASE WHEN TARGET = 1 THEN value END) AS n1, count(CASE WHEN TARGET = 0 THEN value END) AS n0
-                 FROM l GROUP BY feature)""")
+          + COHEN_SQL + " WHERE n >= 1000 AND null_pct > 20 AND null_pct <= 70")
 def q_cohens_d(spark, d):
-    """Cohen's d variant per feature."""
+    """Difference of the class means in standard deviations, for columns with 20-70 % nulls."""
     return E.cohens_d(B.deterministic(spark, d), NUM)
 
 
+@register("feature_pick", B.with_roles("deterministic", extra=SPEAR_CTES + ", c AS (" + COHEN_SQL + " WHERE n >= 1000)")
+          + f"""SELECT feature, spearman, cohens_d FROM ({SPEAR_SQL}) FULL OUTER JOIN c USING (feature)
+                WHERE abs(spearman) > 0.04 OR cohens_d > 0.10""")
+def q_feature_pick(spark, d):
+    """Columns with |Spearman| > 0.04 or a difference of means > 0.10."""
+    df = B.deterministic(spark, d)
+    return E.feature_pick(E.spearman_target(df, NUM), E.cohens_d(df, NUM, null_pct=None)).select("feature", "spearman", "cohens_d")
+
+
+@register("fast_abs_corr", B.with_roles("deterministic", extra="l AS (" + _long_sql(NUM) + """),
+        a AS (SELECT feature, count(value) AS n, avg(value) AS mx, stddev_pop(value) AS sx, sum(value * TARGET) AS sxy,
+                sum(CASE WHEN value IS NOT NULL THEN TARGET END) AS sy, stddev_pop(CAST(TARGET AS DOUBLE)) AS sdy FROM l GROUP BY feature)""")
+          + "SELECT feature, abs(sxy - mx * sy) / (n * sx * sdy) AS abs_corr_target FROM a WHERE n >= 1000 AND sx * sdy > 1e-9")
+def q_fast_abs_corr(spark, d):
+    """|correlation| with the target, its moments taken over all rows."""
+    return E.fast_abs_corr(B.deterministic(spark, d), NUM)
+
+
+@register("crosstab_rate", B.with_roles("deterministic") + """SELECT NAME_SEGMENT, count_if(TARGET = 0) / count(*) AS share_0,
+          count_if(TARGET = 1) / count(*) AS share_1 FROM deterministic WHERE TARGET IS NOT NULL GROUP BY 1""")
+def q_crosstab_rate(spark, d):
+    """Row-normalised crosstab of segment and target."""
+    return E.crosstab_rate(B.deterministic(spark, d).where("TARGET IS NOT NULL"), "NAME_SEGMENT", "TARGET", [0, 1])
+
+
 @register("group_share", B.with_roles("deterministic")
           + """SELECT NAME_SEGMENT, TARGET, count(*) AS n,
                  count(*) / sum(count(*)) OVER (PARTITION BY NAME_SEGMENT) AS share FROM deterministic GROUP BY 1, 2""")

@@ -1,5 +1,5 @@
 """Registered source checks (S5, S6, S9), bootstrap intervals (M10, M16) and
-name-table queries (R15, D21, W9)."""
+the importance table (W9)."""
 
 from __future__ import annotations
 
@@ -78,28 +78,6 @@ def q_final_results(spark, d):
     return point.join(wide, "model_id")
 
 
-def _feature_names(spark, d):
-    m = spark.createDataFrame([(c,) for c in
-                               R.feature_columns(B.application(spark, d).columns)], "feature string")
-    return m
-
-
-@register("source_summary", B.with_roles("application", "bureau", "bureau_balance", "previous", "instalments",
-                                         "pos_cash", "credit_card")
-          + """, cols AS (SELECT column_name AS feature FROM (DESCRIBE SELECT * FROM application))
-             SELECT s.source, CAST(count(c.feature) AS BIGINT) AS n_features FROM
-               (VALUES ('application'), ('bureau'), ('previous_application'), ('installments_payments'),
-                       ('pos_cash_balance'), ('credit_card_balance')) AS s(source)
-             LEFT JOIN (SELECT feature, CASE WHEN feature LIKE 'BUR%' THEN 'bureau' WHEN feature LIKE 'PREV%' THEN 'previous_application'
-                          WHEN feature LIKE 'INST%' THEN 'installments_payments' WHEN feature LIKE 'POS%' THEN 'pos_cash_balance'
-                          WHEN feature LIKE 'CC%' THEN 'credit_card_balance' ELSE 'application' END AS source
-                        FROM cols WHERE feature NOT IN ('SK_ID_CURR', 'TARGET', 'CODE_GENDER')) c USING (source)
-             GROUP BY s.source""")
-def q_source_summary(spark, d):
-    """R13 + R15: model feature list of the application table, counted per source."""
-    return R.source_summary(_feature_names(spark, d))
-
-
 @register("importance_by_source")
 def q_importance_by_source(spark, d):
     """|Pearson with target| of every relational-matrix feature as an

@@ -7,7 +7,6 @@ after the scan so Catalyst prunes it into the ``ReadSchema``.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,7 +23,7 @@ class MissingSourceError(FileNotFoundError):
 
 
 def table_path(d: str, name: str) -> str:
-    return os.path.join(d, f"{name}.parquet")
+    return f"{d.rstrip('/')}/{name}.parquet"
 
 
 def read_table(spark: SparkSession, d: str, name: str,
@@ -40,13 +39,19 @@ def read_csv(spark: SparkSession, path: str, schema, columns: Sequence[str] | No
     return df.select(*columns) if columns else df
 
 
-def missing_sources(paths: dict[str, str]) -> list[str]:
-    """Names whose path does not exist (driver-side listing, no data read)."""
-    return [name for name, p in paths.items() if not os.path.exists(p)]
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists in whatever store its scheme names."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
-def assert_sources_exist(paths: dict[str, str]) -> None:
-    missing = missing_sources(paths)
+def missing_sources(spark: SparkSession, paths: dict[str, str]) -> list[str]:
+    """Names whose path does not exist in its store (a listing, no data read)."""
+    return [name for name, p in paths.items() if not path_exists(spark, p)]
+
+
+def assert_sources_exist(spark: SparkSession, paths: dict[str, str]) -> None:
+    missing = missing_sources(spark, paths)
     if missing:
         raise MissingSourceError("missing source tables: " + ", ".join(missing))
 
@@ -57,7 +62,7 @@ def table_inventory(spark: SparkSession, d: str, names: Sequence[str] = TEST_TAB
     parts = []
     for name in names:
         p = table_path(d, name)
-        if os.path.exists(p):
+        if path_exists(spark, p):
             df = spark.read.parquet(p)
             parts.append(df.agg(F.count(F.lit(1)).alias("n_rows")).select(
                 F.lit(name).alias("table_name"), F.lit(True).alias("present"),

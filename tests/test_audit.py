@@ -61,3 +61,14 @@ def test_same_result_for_1_and_8_partitions(spark):
     a = A.roc_auc(df.repartition(1)).first()["auc"]
     b = A.roc_auc(df.repartition(8)).first()["auc"]
     assert a == b
+
+
+def test_auc_and_youden_of_ten_billion_rows(spark):
+    from riskframe.operators import audit as A
+    from riskframe.operators.ranked import with_cumulative
+
+    big = 5 * 10**9
+    df = spark.createDataFrame([(.9, big, 0), (.8, 0, big), (.7, big, 0)], "score double, pos bigint, neg bigint")
+    rows = df.selectExpr("score as p", "explode(array(struct(1 as y, pos as w), struct(0 as y, neg as w))) as e").select("p", "e.*")
+    assert abs(A.roc_auc(rows, [], weight="w").first()["auc"] - .5) < 1e-12
+    assert with_cumulative(df, []).count() == 3

@@ -71,3 +71,15 @@ def test_ratio_spec_unknown_kind_raises(spark):
     except R.RelationalError:
         return
     raise AssertionError("expected RelationalError")
+
+
+def test_merge_blocks_rejects_a_key_that_stands_twice(spark):
+    import pytest
+
+    from riskframe.operators import relational as R
+
+    good = spark.createDataFrame([(1, 2.0), (2, 3.0)], "SK_ID_CURR long, a double")
+    bad = spark.createDataFrame([(1, 2.0), (1, 3.0)], "SK_ID_CURR long, b double")
+    assert R.merge_blocks([good, good.withColumnRenamed("a", "c")]).count() == 2
+    with pytest.raises(Exception, match="duplicated SK_ID_CURR"):
+        R.merge_blocks([good, bad]).collect()

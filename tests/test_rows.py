@@ -37,10 +37,3 @@ def test_fixed_bins_right_closed(spark):
     df = spark.createDataFrame([(25.0,), (25.01,), (0.0,), (101.0,)], "x double")
     out = [r[0] for r in D.bin_fixed(df, "x", D.AGE_EDGES, "b").select("b").collect()]
     assert out == [0, 1, None, None]
-
-
-def test_feature_family_first_rule_wins(spark):
-    names = spark.createDataFrame([("AMT_REQ_CREDIT_BUREAU_DAY",), ("EXT_SOURCE_1",), ("OWN_CAR_AGE",)], "f string")
-    fam = {r[0]: r[1] for r in names.select("f", D.feature_family(F.col("f"))).collect()}
-    assert fam["AMT_REQ_CREDIT_BUREAU_DAY"] == "financial"
-    assert fam["EXT_SOURCE_1"] == "external_scores" and fam["OWN_CAR_AGE"] == "assets_age"

@@ -19,7 +19,37 @@ def test_grid_needs_zero_and_collapse(spark):
     with pytest.raises(W.SweepError):
         W.validate_grid([0.01, 0.1])
     df = spark.createDataFrame([(0.1, .5, 1.0, 0.0)], "lam double, auc double, threshold double, score_std double")
-    assert W.collapse_status(df).first()["status"] == "collapsed"
+    assert W.collapse_status(df).first()["status"] == "colapsado"
+
+
+def _selected(df, **options):
+    return sorted(r["lam"] for r in W.pareto_select(df, **options).filter("selected").collect())
+
+
+def test_all_collapsed_rows_still_compete(spark):
+    df = spark.createDataFrame([(0.0, .75, .10, "base_cuadratica"), (1.0, .74, .05, "colapsado"), (2.0, .60, .01, "colapsado")],
+                               "lam double, auc double, abs_rho double, status string")
+    assert _selected(df, status="status") == [0.0, 1.0]
+    one = spark.createDataFrame([(0.0, .75, .10, "base_cuadratica"), (1.0, .74, .02, "colapsado"), (2.0, .73, .04, "fair_cuadratico")],
+                                "lam double, auc double, abs_rho double, status string")
+    assert _selected(one, status="status") == [0.0, 2.0]
+
+
+def test_missing_base_auc_makes_every_row_viable(spark):
+    df = spark.createDataFrame([(0.0, float("nan"), .10), (1.0, .50, .02), (2.0, .70, .05)], "lam double, auc double, abs_rho double")
+    assert _selected(df) == [0.0, 1.0]
+
+
+def test_missing_baseline_fails(spark):
+    df = spark.createDataFrame([(1.0, .5, .02)], "lam double, auc double, abs_rho double")
+    with pytest.raises(Exception, match="baseline row"):
+        W.pareto_select(df).collect()
+
+
+def test_comparison_is_a_difference(spark):
+    df = spark.createDataFrame([(0.0, .75, .10, .2), (1.0, .70, .04, .3)], "lam double, auc double, abs_rho double, dpd double")
+    r = W.comparison_table(df, reference_filter=F.col("lam") == 0).filter("lam = 1").first()
+    assert [round(r[c], 9) for c in ("auc_loss", "rho_improvement", "dpd_improvement")] == [.05, .06, -.1]
 
 
 def test_constant_uncertainty_rejected(spark):
@@ -49,3 +79,19 @@ def test_bootstrap_weights_match_brute_force(spark):
                   for a, wp in zip(pos.p, pos.w) for b, wn in zip(neg.p, neg.w))
         den = pos.w.sum() * neg.w.sum()
         assert math.isclose(per.loc[rep, "auc"], num / den, rel_tol=1e-9)
+
+
+def test_ablation_and_experiment_tables(spark):
+    small = spark.createDataFrame([("a", .70), ("b", .72)], "model string, auc double")
+    large = spark.createDataFrame([("a", .75), ("b", .74)], "model string, auc double")
+    got = {r["model"]: r for r in W.ablation_gain(small, large).collect()}
+    assert round(got["a"]["gain"], 9) == .05 and got["a"]["best_large"] and not got["b"]["best_large"]
+    both = W.experiment_table([small, spark.createDataFrame([("c", 1)], "model string, seed int")])
+    assert both.columns == ["model", "auc", "seed"] and both.count() == 3
+    assert [r["model"] for r in W.top_n(large, 1, "auc").collect()] == ["a"]
+
+
+def test_unseen_score_bin_takes_the_mean_error(spark):
+    model = U.fit_binned_error(spark.createDataFrame([(.05, 0), (.06, 1), (.95, 1)], "p double, y int"))
+    got = U.apply_binned_error(spark.createDataFrame([(.5,)], "p double"), model).first()
+    assert math.isclose(got["uncertainty"], (.05 + .94 + .05) / 3)
