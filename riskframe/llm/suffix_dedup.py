@@ -34,7 +34,7 @@ LEAD = 96
 TEXT_BITS = 1 << 24
 GRAM_BITS = 1 << 26
 #: Bytes that are worked on at once.
-SLICE = 4 << 20
+SLICE = 1 << 20
 #: Documents from which the splitters are sampled, about.
 SAMPLE_DOCS = 4000
 
@@ -224,7 +224,7 @@ def _scan(docs: DataFrame, maps, emit, schema: str) -> DataFrame:
         for batch in batches:
             texts = batch.column(1)
             _, off = text_buffer(texts)
-            for lo, hi in byte_slices(off, 4 * SLICE):
+            for lo, hi in byte_slices(off, 2 * SLICE):
                 part = texts.slice(lo, hi - lo)
                 data, o = text_buffer(part)
                 raw = [data[a:b].tobytes() for a, b in zip(o[:-1], o[1:])]
