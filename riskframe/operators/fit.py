@@ -1,9 +1,10 @@
 """Fit-on-train preprocessing.
 
-``fit_*`` runs one aggregate over the training rows only and returns small
-constants (a few numbers per column, or a category list whose size is checked);
-``apply_*`` is a single projection over every split.  Quantiles are exact and
-distributed (:func:`riskframe.operators.ranked.exact_quantiles`).
+``fit_*`` runs one aggregate over the training rows only and returns a few
+numbers per column; ``apply_*`` is a single projection over every split.
+Quantiles are exact and distributed (:func:`riskframe.operators.ranked.exact_quantiles`).
+One-hot columns come from declared categories; without a declaration the
+category is a code in a sparse vector, whose width is not a number of columns.
 """
 
 from __future__ import annotations
@@ -14,9 +15,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskframe.operators.ranked import exact_quantiles
-
-MAX_ONE_HOT = 1_000
+from riskframe.operators.encode import apply_label_codes, fit_label_codes
+from riskframe.operators.ranked import exact_quantiles, with_cumulative
+from riskframe.session import cut_lineage
 
 
 class FitError(ValueError):
@@ -86,29 +87,28 @@ def fit_modes(df: DataFrame, cols: Sequence[str], split: str | None = "split") -
 
 # ------------------------------------------------------------------ F4 / F10 / F11
 
-def fit_categories(df: DataFrame, cols: Sequence[str], split: str | None = "split",
-                   fill: str = "MISSING", max_categories: int = MAX_ONE_HOT) -> dict[str, list[str]]:
-    """Sorted category lists on the training rows (missing -> ``fill``); the
-    size is checked before anything reaches the driver."""
-    pairs = F.array(*[F.struct(F.lit(c).alias("column"),
-                               F.coalesce(F.col(c).cast("string"), F.lit(fill)).alias("v"))
-                      for c in cols])
-    vocab = _train(df, split).select(F.inline(pairs)).distinct()
-    rows = vocab.limit(max_categories * len(cols) + 1).collect()  # bounded by the check
-    if len(rows) > max_categories * len(cols):
-        raise FitError("too many categories for one-hot columns; use label codes instead")
-    out: dict[str, list[str]] = {c: [] for c in cols}
-    for r in rows:
-        out[r["column"]].append(r["v"])
-    return {c: sorted(v) for c, v in out.items()}
+def one_hot_sparse(df: DataFrame, col: str, split: str | None = "split", fill: str = "MISSING",
+                   out: str | None = None) -> DataFrame:
+    """F4 / F10 without declared categories: (size, index) of the one-hot vector.
+
+    ``index`` is the position of the value among the sorted training categories
+    (NULL: unseen, an all-zero vector).  Any number of categories.
+    """
+    out = out or f"{col}_VEC"
+    filled = df.withColumn(out, F.coalesce(F.col(col).cast("string"), F.lit(fill)))
+    codes = fit_label_codes([_train(filled, split)], [out])
+    size = codes.agg(F.count(F.lit(1)).cast("int").alias("_size"))
+    coded = apply_label_codes(filled, [out], codes).crossJoin(size)
+    return coded.withColumn(out, F.struct(F.col("_size").alias("size"), F.col(out).alias("index"))).drop("_size")
 
 
 def apply_one_hot(df: DataFrame, cats: Mapping[str, Sequence[str]], fill: str = "MISSING",
                   drop_last: bool = False, drop_source: bool = True) -> DataFrame:
-    """``col_value`` 0/1 columns; unseen values give all zeros."""
+    """0/1 columns ``col_value`` of declared categories in sorted order
+    (``drop_last``: without the last); other values give all zeros."""
     new: dict[str, Column] = {}
     for c, values in cats.items():
-        vals = list(values)[:-1] if drop_last else list(values)
+        vals = sorted(values)[:-1] if drop_last else sorted(values)
         x = F.coalesce(F.col(c).cast("string"), F.lit(fill))
         for v in vals:
             new[f"{c}_{v}"] = (x == F.lit(v)).cast("int")
@@ -123,7 +123,7 @@ class PreprocessSpec:
     financial: Sequence[str] = ()
     scaled: Sequence[str] = ()
     binary: Sequence[str] = ()
-    categorical: Sequence[str] = ()
+    categorical: Mapping[str, Sequence[str]] = field(default_factory=dict)  # declared categories
     keep: Sequence[str] = ()  # passed through untouched (ids, target, audit columns)
 
 
@@ -134,21 +134,60 @@ class FittedPreprocess:
     scaled_median: dict[str, float] = field(default_factory=dict)
     robust: RobustParams | None = None
     modes: dict[str, object] = field(default_factory=dict)
-    categories: dict[str, list[str]] = field(default_factory=dict)
 
 
 def fit_preprocess(df: DataFrame, spec: PreprocessSpec, split: str | None = "split") -> FittedPreprocess:
-    """F6 fit: every statistic from the training rows only."""
+    """F6 fit: every statistic from the training rows only, in one job.
+
+    One pass counts (column, value) of all columns, map-side combined.  Medians
+    follow from the counts; the scaler sees imputed values, so its quantiles
+    follow from the same counts with the column's nulls added at the median;
+    modes are the largest counts.
+    """
     fitted = FittedPreprocess(spec)
-    if spec.financial:
-        fitted.fin_median = fit_medians(df, spec.financial, split)
-    if spec.scaled:
-        fitted.scaled_median = fit_medians(df, spec.scaled, split)
-        fitted.robust = fit_robust(df, spec.scaled, split, fitted.scaled_median)
-    if spec.binary:
-        fitted.modes = fit_modes(df, spec.binary, split)
-    if spec.categorical:
-        fitted.categories = fit_categories(df, spec.categorical, split)
+    cols = list(dict.fromkeys([*spec.financial, *spec.scaled, *spec.binary]))
+    if not cols:
+        return fitted
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in cols])
+    counts = (_train(df, split).select(F.inline(pairs)).groupBy("column", (-F.col("v")).alias("score"))
+              .agg(F.count(F.lit(1)).alias("pos")).withColumn("neg", F.lit(0)))
+    counts = cut_lineage(counts)  # one row per (column, distinct value), read three times
+    missing = F.col("score").isNull() | F.isnan("score")
+    nulls = counts.groupBy("column").agg(F.sum(F.when(missing, F.col("pos")).otherwise(0)).alias("nulls"))
+    cum = with_cumulative(counts.where(~F.coalesce(missing, F.lit(True))), ["column"]).join(nulls, "column")
+    v, below, c, n = -F.col("score"), F.col("tp_above"), F.col("pos"), F.col("P")
+
+    def at(k: Column, lo: Column, hi: Column) -> Column:
+        return F.max(F.when((lo <= k) & (k < hi), v))
+
+    mid = F.lit(0.5) * (n - 1)
+    stats = cum.groupBy("column").agg(
+        at(F.floor(mid), below, below + c).alias("m1"), at(F.ceil(mid), below, below + c).alias("m2"),
+        F.first(mid - F.floor(mid)).alias("mf"), F.first("nulls").alias("nulls"), F.first(n).alias("n"),
+        F.max_by(v, F.struct(c, -v)).alias("mode"))
+    stats = stats.withColumn("median", F.col("m1") + (F.col("m2") - F.col("m1")) * F.col("mf")).select(
+        "column", "median", "mode", "nulls", F.col("n").alias("known"))
+    filled = cum.drop("nulls").join(stats, "column")
+    total = F.col("known") + F.col("nulls")
+    quantiles = []
+    for q in (0.25, 0.5, 0.75):
+        pos = F.lit(q) * (total - 1)
+        ends = []
+        for k in (F.floor(pos), F.ceil(pos)):
+            # position k of the imputed values: the nulls stand right behind the values up to the median
+            up = (v <= F.col("median")) & (below <= k) & (k < below + c)
+            down = (v > F.col("median")) & (below + F.col("nulls") <= k) & (k < below + c + F.col("nulls"))
+            upto = F.sum(F.when(v <= F.col("median"), c).otherwise(0))
+            ends.append(F.coalesce(F.max(F.when(up | down, v)),
+                                   F.when((F.first(k) >= upto) & (F.first(k) < upto + F.first("nulls")), F.first("median"))))
+        quantiles.append((ends[0] + (ends[1] - ends[0]) * F.first(pos - F.floor(pos))).alias(f"q{int(q * 100)}"))
+    rows = filled.groupBy("column").agg(F.first("median").alias("median"), F.first("mode").alias("mode"), *quantiles).collect()
+    got = {r["column"]: r for r in rows}
+    fitted.fin_median = {x: got[x]["median"] for x in spec.financial if x in got}
+    fitted.scaled_median = {x: got[x]["median"] for x in spec.scaled if x in got}
+    fitted.robust = RobustParams({x: got[x]["q50"] for x in spec.scaled if x in got},
+                                 {x: (got[x]["q75"] - got[x]["q25"]) or 1.0 for x in spec.scaled if x in got})
+    fitted.modes = {x: got[x]["mode"] for x in spec.binary if x in got}
     return fitted
 
 
@@ -165,8 +204,8 @@ def apply_preprocess(df: DataFrame, fitted: FittedPreprocess, raw_copies: Mappin
     types = dict(out.dtypes)
     out = out.withColumns({c: F.coalesce(F.col(c), F.lit(v).cast(types[c]))
                            for c, v in fitted.modes.items() if v is not None})
-    out = apply_one_hot(out, fitted.categories)
-    one_hot_cols = [f"{c}_{v}" for c, vals in fitted.categories.items() for v in vals]
+    out = apply_one_hot(out, spec.categorical)
+    one_hot_cols = [f"{c}_{v}" for c, vals in spec.categorical.items() for v in sorted(vals)]
     cols = [*spec.keep, *dict(raw_copies).values(), *spec.financial, *spec.scaled, *spec.binary,
             *one_hot_cols]
     return out.select(*cols)

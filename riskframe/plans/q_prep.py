@@ -20,11 +20,11 @@ SCALED = ["AGE_YEARS", "EMPLOYED_YEARS", "EXT_SOURCE_1", "EXT_SOURCE_2", "EXT_SO
           "EXT_NULL_COUNT", "REGION_CODE", "CNT_CHILDREN"]
 BINARY = ["EXT_SOURCE_1_WAS_MISSING", "EXT_SOURCE_2_WAS_MISSING", "EXT_SOURCE_3_WAS_MISSING",
           "DAYS_EMPLOYED_ANOM", "FLAG_OWN_CAR"]
-CATEG = ["NAME_SEGMENT"]
+# The five market segments of the customer table (the declared one-hot categories).
+SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
+CATEG = {"NAME_SEGMENT": SEGMENTS}
 KEEP = ["SK_ID_CURR", "TARGET", "SENSITIVE", "split"]
 SPEC = FT.PreprocessSpec(FIN, SCALED, BINARY, CATEG, KEEP)
-# The five market segments of the customer table (the one-hot oracle's columns).
-SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 
 
 # ---------------------------------------------------------------- oracle pieces
@@ -89,7 +89,7 @@ def _det_split(spark, d):
 
 @register("scan_project", B.with_roles("scored") + "SELECT id, p FROM scored WHERE p >= 0.5")
 def q_scan_project(spark, d):
-    """Scan with projection and a pushed filter (plan shows ReadSchema / PushedFilters)."""
+    """Scan with projection.  The score is derived, so only IsNotNull on its inputs reaches the scan."""
     return B.scored(spark, d).select("id", "p").filter(F.col("p") >= 0.5)
 
 
@@ -97,7 +97,7 @@ def q_scan_project(spark, d):
           + """SELECT CAST(y AS VARCHAR) || '_' || CAST(s AS VARCHAR) AS stratum, count(*) AS n
                FROM labelled_docs WHERE y IS NOT NULL GROUP BY 1""")
 def q_strata_counts(spark, d):
-    """P1 on the labelled documents (small joint cells)."""
+    """P1 on the labelled documents (small joint cells); a document without a label has no stratum."""
     return P.strata_counts(B.labelled_docs(spark, d).filter(F.col("y").isNotNull()), ["y", "s"])
 
 
@@ -197,10 +197,60 @@ def q_impute_mode(spark, d):
               f"CAST(coalesce(NAME_SEGMENT, 'MISSING') = '{v}' AS INTEGER) AS NAME_SEGMENT_{v}" for v in SEGMENTS)
           + " FROM dsp")
 def q_one_hot(spark, d):
-    """sorted train categories -> 0/1 columns (unseen -> all zero)."""
+    """declared categories -> 0/1 columns (others -> all zero)."""
+    return FT.apply_one_hot(_det_split(spark, d), CATEG).select("SK_ID_CURR", "split", *[f"NAME_SEGMENT_{v}" for v in SEGMENTS])
+
+
+@register("one_hot_drop_last", B.with_roles("deterministic") + "SELECT SK_ID_CURR, " + ", ".join(
+    f"CAST(coalesce(NAME_SEGMENT, 'MISSING') = '{v}' AS INTEGER) AS NAME_SEGMENT_{v}" for v in SEGMENTS[:-1]) + " FROM deterministic")
+def q_one_hot_drop_last(spark, d):
+    """the last category has no column."""
+    out = FT.apply_one_hot(B.deterministic(spark, d), CATEG, drop_last=True)
+    return out.select("SK_ID_CURR", *[f"NAME_SEGMENT_{v}" for v in SEGMENTS[:-1]])
+
+
+@register("one_hot_sparse", B.with_roles("deterministic", extra=det_split_ctes() + """,
+    cat AS (SELECT v, CAST(row_number() OVER (ORDER BY v) - 1 AS INTEGER) AS i FROM (
+              SELECT DISTINCT coalesce(NAME_SEGMENT, 'MISSING') AS v FROM dsp WHERE split = 'train'))""")
+          + """SELECT SK_ID_CURR, CAST((SELECT count(*) FROM cat) AS INTEGER) AS size, i AS index
+               FROM dsp LEFT JOIN cat ON coalesce(NAME_SEGMENT, 'MISSING') = v""")
+def q_one_hot_sparse(spark, d):
+    """F4 for any number of categories: size and index of the one-hot vector."""
+    return FT.one_hot_sparse(_det_split(spark, d), "NAME_SEGMENT").select("SK_ID_CURR", "NAME_SEGMENT_VEC.size", "NAME_SEGMENT_VEC.index")
+
+
+@register("split_60_20_20", B.with_roles("scored", extra=split_sql("scored", "id", ["y"], "s62", test=0.2, val=0.2))
+          + "SELECT id, y, split FROM s62")
+def q_split_60_20_20(spark, d):
+    """60/20/20, stratified on the target alone."""
+    return P.stratified_split(B.scored(spark, d), id_col="id", strata=["y"], seed=SEED, test=0.2, val=0.2).select("id", "y", "split")
+
+
+@register("scaled_by_split", B.with_roles("deterministic", extra=",\n".join([det_split_ctes(), robust_ctes()])) + " UNION ALL ".join(
+    f"""SELECT split, '{c}' AS feature, avg(({c} - c_{c}) / w_{c}) AS mean, stddev_samp(({c} - c_{c}) / w_{c}) AS std
+        FROM simp, rob GROUP BY split""" for c in SCALED))
+def q_scaled_by_split(spark, d):
+    """Mean and std of every scaled column in every split."""
     df = _det_split(spark, d)
-    cats = FT.fit_categories(df, CATEG)
-    return FT.apply_one_hot(df, cats).select("SK_ID_CURR", "split", *[f"NAME_SEGMENT_{v}" for v in cats["NAME_SEGMENT"]])
+    out = FT.apply_preprocess(df, FT.fit_preprocess(df, SPEC))
+    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("v")) for c in SCALED])
+    return out.select("split", F.inline(pairs)).groupBy("split", "feature").agg(F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"))
+
+
+@register("log_abs", B.with_roles("application") + """SELECT SK_ID_CURR, ln(1 + AMT_CREDIT) AS AMT_CREDIT_LOG,
+          abs(DAYS_BIRTH) AS DAYS_BIRTH_ABS FROM application""")
+def q_log_abs(spark, d):
+    """Log of money and absolute days."""
+    return D.log_abs(B.application(spark, d), ["AMT_CREDIT"], ["DAYS_BIRTH"]).select("SK_ID_CURR", "AMT_CREDIT_LOG", "DAYS_BIRTH_ABS")
+
+
+@register("sigmoid_indices", B.with_roles("deterministic") + """SELECT SK_ID_CURR, 1 / (1 + exp(-(3.0 * (EXT_SOURCE_2 - 0.5)))) AS RISK_SAT,
+          1 / (1 + exp(-(-1.0 + 2.0 * EXT_SOURCE_2 + -0.5 * EXT_SOURCE_3))) AS SCORE_INDEX FROM deterministic""")
+def q_sigmoid_indices(spark, d):
+    """Saturating risk and a weighted index of two scores."""
+    out = D.sigmoid_indices(B.deterministic(spark, d), risk_col="EXT_SOURCE_2", alpha=3.0, theta=0.5,
+                            weights={"EXT_SOURCE_2": 2.0, "EXT_SOURCE_3": -0.5}, bias=-1.0)
+    return out.select("SK_ID_CURR", "RISK_SAT", "SCORE_INDEX")
 
 
 @register("preprocess_full", B.with_roles("deterministic", extra=",\n".join(

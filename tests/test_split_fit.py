@@ -80,3 +80,44 @@ def test_weighted_logit_learns_signal(spark):
     import __spark_entry__ as E
     rows = {r["split"]: r for r in E.queries()["score_logit"](spark, "/root/testdata/sf0.001").collect()}
     assert rows["train"]["auc"] > 0.5
+
+
+def test_label_codes_of_a_large_vocabulary(spark):
+    from riskframe.operators.encode import label_encode
+
+    n = 25_000
+    df = spark.range(n).selectExpr("id", "concat('v', lpad(cast((id * 7919) % 25000 as string), 5, '0')) as a", "cast(null as string) as b")
+    got = label_encode(df, ["a", "b"])
+    assert got.agg({"a": "max"}).first()[0] == n - 1
+    assert got.where("a != (id * 7919) % 25000").count() == 0
+    assert [r["b"] for r in got.select("b").distinct().collect()] == [0]
+
+
+def test_label_codes_of_train_and_test_share_a_vocabulary(spark):
+    from riskframe.operators.encode import apply_label_codes, fit_label_codes
+
+    train = spark.createDataFrame([("b",), ("a",)], "c string")
+    test = spark.createDataFrame([("c",), (None,)], "c string")
+    codes = fit_label_codes([train, test], ["c"])
+    assert sorted(r["c"] for r in apply_label_codes(test, ["c"], codes).collect()) == [2, 3]
+    assert [r["c"] for r in apply_label_codes(test, ["c"], fit_label_codes([train], ["c"])).collect()] == [None, None]
+
+
+def test_one_pass_fit_equals_imputed_quantiles(spark):
+    import numpy as np
+
+    from riskframe.operators import fit as FT
+
+    r = np.random.default_rng(5)
+    for n, nulls in ((7, 3), (40, 25), (101, 0), (64, 1)):
+        v = r.integers(0, 12, n).astype(float)
+        rows = [(float(x), "train") for x in v] + [(None, "train")] * nulls + [(99.0, "test")]
+        df = spark.createDataFrame(rows, "x double, split string")
+        got = FT.fit_preprocess(df, FT.PreprocessSpec(scaled=["x"], binary=["x"], keep=["split"]))
+        med = np.median(v)
+        full = np.concatenate((v, [med] * nulls))
+        q25, q50, q75 = np.quantile(full, [.25, .5, .75])
+        assert got.scaled_median["x"] == med and got.robust.median["x"] == q50
+        assert abs(got.robust.iqr["x"] - ((q75 - q25) or 1.0)) < 1e-12
+        values, counts = np.unique(v, return_counts=True)
+        assert got.modes["x"] == values[counts.argmax()]
