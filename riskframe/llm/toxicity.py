@@ -13,7 +13,7 @@ from riskframe.llm.common import byte_slices, text_buffer
 from riskframe.llm.shingles import span_hashes
 
 #: Labelled documents that the classifier is fitted on, at most about (a hash sample of all of them).
-MAX_TRAIN_DOCS = 12_000
+MAX_TRAIN_DOCS = 6_000
 FEATURE_BITS = 18
 #: A word's features: the whole word (0) and its first so many bytes, for words that are inflected.
 STEMS = (0, 4, 5)
@@ -75,17 +75,18 @@ def fit(features: list[np.ndarray], owners: list[np.ndarray], labels: np.ndarray
         return w, (-6.0 if not y.any() else 6.0)
     per = [int(o.max()) + 1 if len(o) else 0 for o in owners]
     base = np.concatenate(([0], np.cumsum(per)))
-    word = np.concatenate(features).astype(np.int32)
-    sent = np.concatenate([o + base[i] for i, o in enumerate(owners)]).astype(np.int32)
     doc_of = np.repeat(np.arange(len(per)), per)
-    pairs = np.unique(doc_of[sent].astype(np.int64) << FEATURE_BITS | word)
-    df = np.bincount(pairs & size - 1, minlength=size)
-    hits = np.bincount((pairs & size - 1)[y[pairs >> FEATURE_BITS]], minlength=size)
+    df, hits = np.zeros(size, np.int64), np.zeros(size, np.int64)
+    for f, toxic in zip(features, y):  # one document at a time: most features are dropped below
+        own = np.unique(f)
+        df[own] += 1
+        hits[own] += toxic
     n_sent, n_doc, m1 = int(base[-1]), len(per), y.sum()
     share = m1 / n_doc
     use = (df >= MIN_DOCS) & (np.abs(hits - df * share) >= MIN_Z * np.sqrt(df * share * (1 - share)))
-    keep = use[word]
-    word, sent = word[keep], sent[keep]
+    kept = [use[f] for f in features]
+    word = np.concatenate([f[k] for f, k in zip(features, kept)]).astype(np.int32)
+    sent = np.concatenate([o[k] + base[i] for i, (o, k) in enumerate(zip(owners, kept))]).astype(np.int32)
     if not len(word):
         return w, float(np.log(share / (1 - share)))
     odds = np.log((hits + 0.5) / (m1 + 1)) - np.log((df - hits + 0.5) / (len(y) - m1 + 1))
@@ -146,9 +147,9 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_TRAIN_DOCS) ->
             .mapInArrow(featurise, "doc_id bigint, toxic int, f binary, s binary"))
 
     def learn(key, frame):
-        frame = frame.sort_values(["doc_id", "f"])
-        w, b = fit([np.frombuffer(x, np.int32) for x in frame["f"]], [np.frombuffer(x, np.int32) for x in frame["s"]],
-                   frame["toxic"].to_numpy())
+        order = np.argsort(frame["doc_id"].to_numpy(), kind="stable")
+        f, s, y = frame["f"].to_numpy()[order], frame["s"].to_numpy()[order], frame["toxic"].to_numpy()[order]
+        w, b = fit([np.frombuffer(x, np.int32) for x in f], [np.frombuffer(x, np.int32) for x in s], y)
         import pandas as pd
 
         return pd.DataFrame({"w": [w.astype("<f4").tobytes()], "b": [b]})
