@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -14,6 +13,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
+from riskframe.session import package_on_workers
+
+#: Rows of one Arrow batch: whole texts are carried in them, on both sides of a worker's pipe.
+BATCH_ROWS = 1_000
 #: Rows that one window partition of a prefix sum holds, on average.
 ROWS_PER_CELL = 1_000_000
 #: Fewest cells of a prefix sum.
@@ -54,12 +57,10 @@ def delete_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def package_on_workers(spark: SparkSession) -> None:
-    """Let Python workers import this package wherever the driver was started (a cluster installs it)."""
-    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-    env = spark.sparkContext.environment
-    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
-        env["PYTHONPATH"] = os.pathsep.join(x for x in (root, env.get("PYTHONPATH", "")) if x)
+def prepare(spark: SparkSession) -> None:
+    """What all operators ask of a session: the package on the workers, and small batches of texts."""
+    package_on_workers(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
 def partitions(spark: SparkSession) -> int:

@@ -25,7 +25,7 @@ from riskframe.llm.span_cache import SpanCache
 U = np.uint64
 SPACE = "▁"
 #: Words of one batch in the lattice.
-BATCH = 1 << 15
+BATCH = 1 << 13
 
 
 @dataclass
@@ -265,7 +265,7 @@ def encode_texts(docs: DataFrame, model: Model, name: str, carry: list[str],
         enc = _encoders[name]
         for batch in batches:
             data, off = text_buffer(batch.column(len(carry)))
-            for lo, hi in byte_slices(off, 8 << 20):
+            for lo, hi in byte_slices(off, 3 << 20):
                 part, o = data[off[lo]:off[hi]], off[lo:hi + 1] - off[lo]
                 raw = [part[a:b].tobytes() for a, b in zip(o[:-1], o[1:])]
                 yield pa.RecordBatch.from_arrays(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from riskframe.llm import (embed_dedup, fingerprint, mixing, near_dedup, pieces, shards, suffix_dedup, token_files, toxicity,
                            url_filter)
-from riskframe.llm.common import package_on_workers
+from riskframe.llm.common import prepare
 
 OPERATORS = {
     "op1_suffix_dedup": suffix_dedup.op1,
@@ -26,7 +26,7 @@ OPERATORS = {
 
 def _query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        package_on_workers(spark)
+        prepare(spark)
         return run(spark, sf_dir)
 
     return query

@@ -13,7 +13,7 @@ from riskframe.llm.common import byte_slices, text_buffer
 from riskframe.llm.shingles import span_hashes
 
 #: Labelled documents that the classifier is fitted on, at most about (a hash sample of all of them).
-MAX_TRAIN_DOCS = 6_000
+MAX_TRAIN_DOCS = 4_000
 FEATURE_BITS = 18
 #: A word's features: the whole word (0) and its first so many bytes, for words that are inflected.
 STEMS = (0, 4, 5)

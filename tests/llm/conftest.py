@@ -2,14 +2,14 @@ from __future__ import annotations
 
 import pytest
 
-from riskframe.llm.common import package_on_workers
+from riskframe.llm.common import prepare
 from riskframe.session import get_spark
 
 
 @pytest.fixture(scope="session")
 def spark():
     session = get_spark(master="local[4]", shuffle_partitions=4)
-    package_on_workers(session)
+    prepare(session)
     yield session
 
 
