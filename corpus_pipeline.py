@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from riskframe.llm import mixing, near_dedup, pieces, suffix_dedup, toxicity
-from riskframe.llm.common import package_on_workers, shared_path
+from riskframe.llm.common import prepare, shared_path
 
 #: The stages involve trained weights, hashing and tokenizer tables: tested against brute force instead.
 ORACLE_SQL = None
@@ -18,32 +18,32 @@ ORACLE_SQL = None
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose noisy-or score is below the threshold; labels of the training folds only."""
-    package_on_workers(spark)
+    prepare(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
     return toxicity.keep_clean(docs, *toxicity.train(docs, labels))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates (five-word shingles, likeness 0.75 or more)."""
-    package_on_workers(spark)
+    prepare(spark)
     return near_dedup.keep_one(docs)
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the strings that also stand elsewhere."""
-    package_on_workers(spark)
+    prepare(spark)
     return suffix_dedup.remove_repeated(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mixing schedule takes them."""
-    package_on_workers(spark)
+    prepare(spark)
     return mixing.apply_mix(docs)
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id and ids of every document that is left."""
-    package_on_workers(spark)
+    prepare(spark)
     return pieces.with_ids(docs, pieces.default_model())
 
 
