@@ -2,13 +2,14 @@
 
 Rows are first reduced to groups of identical ``(keys, score, y, s)``; a group
 of c rows gets a Poisson(c) weight per replicate (the sum of c independent
-Poisson(1) row weights has exactly that law).  Groups larger than ``chunk``
-rows are split into chunks drawn independently, so every draw is a Poisson
-with mean <= ``chunk`` computed by an exact inverse CDF.  Uniforms come from
-``md5(group:chunk:replicate:seed)``, so a replicate is reproducible and does
-not depend on partitioning.  Metrics per replicate are weighted versions of
-the audit metrics; the interval is the linear-interpolated percentile range of
-the finite replicate values.  This is the Poisson bootstrap, not the exact
+Poisson(1) row weights has exactly that law).  All replicates of a group are
+one array, drawn from a generator that is seeded by the group's values, so they
+do not depend on partitioning and are never rows of their own.
+
+Groups are dealt to score buckets of a bounded number of groups.  A bucket
+returns per replicate its weighted counts in the (y, s, y_hat) cells, its score
+moments and its share of the AUC numerator; the rest of the numerator follows
+from the buckets above it.  This is the Poisson bootstrap, not the exact
 multinomial resampling: intervals agree statistically, not digit for digit.
 """
 
@@ -16,111 +17,127 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskframe.operators import audit as A
-from riskframe.operators.ranked import exact_quantiles
 from riskframe.session import cut_lineage
 
-CHUNK = 500
-
-
-def _uniform(*parts: Column) -> Column:
-    h = F.md5(F.concat_ws(":", *[p.cast("string") for p in parts]))
-    return (F.conv(F.substring(h, 1, 13), 16, 10).cast("double") + 0.5) / float(2 ** 52)
-
-
-def poisson_inverse(lam: Column, u: Column) -> Column:
-    """Smallest k with P(X <= k) >= u for X ~ Poisson(lam); the search runs to
-    lam + 12 sqrt(lam) + 20, far past any reachable quantile."""
-    kmax = F.ceil(lam + F.lit(12.0) * F.sqrt(lam) + F.lit(20.0)).cast("int")
-    init = F.struct(F.lit(0.0).alias("cdf"), F.lit(0.0).alias("pmf"), F.lit(-1).alias("k"))
-
-    def step(acc, j):
-        pmf = F.when(j == 0, F.exp(-lam)).otherwise(acc["pmf"] * lam / j)
-        cdf = acc["cdf"] + pmf
-        k = F.when((acc["k"] < 0) & (cdf >= u), j).otherwise(acc["k"])
-        return F.struct(cdf.alias("cdf"), pmf.alias("pmf"), k.alias("k"))
-
-    res = F.aggregate(F.sequence(F.lit(0), kmax), init, step)
-    return F.when(res["k"] < 0, kmax).otherwise(res["k"])
-
-
-def replicate_weights(df: DataFrame, keys: Sequence[str], n_boot: int, seed: int = 42,
-                      score: str = "p", label: str = "y", sensitive: str = "s",
-                      chunk: int = CHUNK) -> DataFrame:
-    """``(keys, replicate, score, y, s, w)``: grouped rows with Poisson weights."""
-    cols = [*keys, score, label, sensitive]
-    groups = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_c"))
-    n_chunks = F.ceil(F.col("_c") / chunk).cast("int")
-    chunks = groups.select(*cols, "_c", F.explode(F.sequence(F.lit(0), n_chunks - 1)).alias("_chunk"))
-    chunks = chunks.withColumn("_lam", F.least(F.col("_c") - F.col("_chunk") * chunk, F.lit(chunk)))
-    reps = chunks.select("*", F.explode(F.sequence(F.lit(0), F.lit(n_boot - 1))).alias("replicate"))
-    u = _uniform(*[F.col(c) for c in cols], F.col("_chunk"), F.col("replicate"), F.lit(seed))
-    w = poisson_inverse(F.col("_lam").cast("double"), u)
-    return (reps.withColumn("w", w)
-            .groupBy(*keys, "replicate", score, label, sensitive).agg(F.sum("w").alias("w")))
-
-
-def weighted_metrics(rw: DataFrame, keys: Sequence[str], threshold: float | None,
-                     score: str = "p", label: str = "y", sensitive: str = "s") -> DataFrame:
-    """Per (keys, replicate): AUC, and at ``threshold`` accuracy / precision /
-    recall / F1 / DPD / EOD, plus |rho|; all weighted by the Poisson weights."""
-    k = [*keys, "replicate"]
-    # one window partition per replicate (a few thousand distinct scores each)
-    auc = A.roc_auc(rw, k, score, label, weight="w", n_buckets=1)
-    w, y, p, s = F.col("w"), F.col(label), F.col(score), F.col(sensitive).cast("double")
-    out = auc
-    if threshold is not None:
-        h = p >= F.lit(threshold)
-        tp = F.sum(F.when(h & (y == 1), w).otherwise(0))
-        fp = F.sum(F.when(h & (y == 0), w).otherwise(0))
-        fn = F.sum(F.when(~h & (y == 1), w).otherwise(0))
-        tn = F.sum(F.when(~h & (y == 0), w).otherwise(0))
-        m = rw.groupBy(*k).agg(tp.alias("tp"), fp.alias("fp"), fn.alias("fn"), tn.alias("tn"))
-        r = A._rate
-        m = m.select(*k, r(F.col("tp") + F.col("tn"), F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")).alias("accuracy"),
-                     r(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"),
-                     r(F.col("tp"), F.col("tp") + F.col("fn")).alias("recall"),
-                     r(2 * F.col("tp"), 2 * F.col("tp") + F.col("fp") + F.col("fn")).alias("f1"))
-        g = rw.groupBy(*k, sensitive).agg(
-            r(F.sum(F.when(h, w).otherwise(0)), F.sum(w)).alias("sr"),
-            r(F.sum(F.when(h & (y == 1), w).otherwise(0)), F.sum(F.when(y == 1, w).otherwise(0))).alias("tpr"),
-            r(F.sum(F.when(h & (y == 0), w).otherwise(0)), F.sum(F.when(y == 0, w).otherwise(0))).alias("fpr"))
-        fair = g.groupBy(*k).agg((F.max("sr") - F.min("sr")).alias("dpd"),
-                                 F.greatest(F.max("tpr") - F.min("tpr"), F.max("fpr") - F.min("fpr")).alias("eod"))
-        out = out.join(m, k).join(fair, k)
-    # weighted population moments for |rho|
-    mom = rw.groupBy(*k).agg(F.sum(w).alias("n"), F.sum(w * p).alias("sp"), F.sum(w * s).alias("ss"),
-                             F.sum(w * p * p).alias("spp"), F.sum(w * s * s).alias("sss"),
-                             F.sum(w * p * s).alias("sps"))
-    n = F.col("n")
-    cov = F.col("sps") / n - F.col("sp") * F.col("ss") / (n * n)
+#: Groups of one bucket, about; a bucket holds groups x replicates weights.
+BUCKET_GROUPS = 2_000
+METRICS = ("auc", "accuracy", "precision", "recall", "f1", "dpd", "eod", "abs_rho")
+EPS_RHO = 1e-8
+# weighted counts of the cells: y, s and y_hat as digits
+CELLS = tuple(f"n{y}{s}{h}" for y in (0, 1) for s in (0, 1) for h in (0, 1))
+MOMENTS = ("sp", "spp", "sps")
+
+
+def draw_weights(score: np.ndarray, y: np.ndarray, s: np.ndarray, c: np.ndarray, n_boot: int, seed: int) -> np.ndarray:
+    """(groups, replicates) Poisson(c) weights; each group has its own generator."""
+    out = np.empty((len(c), n_boot), np.int64)
+    bits = score.astype(np.float64).view(np.uint64)
+    for i in range(len(c)):
+        key = [int(bits[i]), int(y[i]) & 0xFF, int(s[i]) & 0xFF, seed]
+        out[i] = np.random.Generator(np.random.SFC64(np.random.SeedSequence(key))).poisson(c[i], n_boot)
+    return out
+
+
+def bucket_sums(score: np.ndarray, y: np.ndarray, s: np.ndarray, w: np.ndarray, threshold: float) -> dict[str, np.ndarray]:
+    """Per replicate: cells, moments, positives, negatives and twice the AUC numerator within the bucket."""
+    out = {}
+    hat = score >= threshold
+    for cell in CELLS:
+        pick = (y == int(cell[1])) & (s == int(cell[2])) & (hat == (cell[3] == "1"))
+        out[cell] = w[pick].sum(axis=0)
+    out["sp"] = score @ w
+    out["spp"] = (score * score) @ w
+    out["sps"] = (score * s) @ w
+    order = np.argsort(-score, kind="stable")
+    score, y, w = score[order], y[order], w[order]
+    starts = np.flatnonzero(np.concatenate(([True], score[1:] != score[:-1])))
+    pos = np.add.reduceat(w * (y == 1)[:, None], starts, axis=0)
+    neg = np.add.reduceat(w * (y == 0)[:, None], starts, axis=0)
+    above = np.cumsum(pos, axis=0) - pos
+    out["pos"], out["neg"] = pos.sum(axis=0), neg.sum(axis=0)
+    out["twice"] = (neg.astype(float) * (2.0 * above + pos)).sum(axis=0)
+    return out
+
+
+def replicate_metrics(df: DataFrame, keys: Sequence[str] = (), *, n_boot: int = 500, seed: int = 42,
+                      threshold: float | str = 0.5, score: str = "p", label: str = "y",
+                      sensitive: str = "s") -> DataFrame:
+    """``(keys, replicate, metrics)``.  ``threshold`` is a number or a column that is constant per key."""
+    keys = list(keys) or ["_all"]
+    base = df if "_all" not in keys else df.withColumn("_all", F.lit(0))
+    t = F.col(threshold) if isinstance(threshold, str) else F.lit(float(threshold))
+    groups = base.groupBy(*keys, F.col(score).cast("double").alias("p"), F.col(label).cast("int").alias("y"),
+                          F.col(sensitive).cast("int").alias("s")).agg(
+        F.count(F.lit(1)).alias("c"), F.first(t).cast("double").alias("t"))
+    groups = cut_lineage(groups)
+    n_buckets = max(1, int((groups.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0) // BUCKET_GROUPS))
+    cuts = groups.groupBy(*keys).agg(F.percentile_approx("p", [(i + 1) / n_buckets for i in range(n_buckets)], 10_000).alias("cuts"))
+    dealt = groups.join(cuts, keys).withColumn("bucket", F.size(F.filter("cuts", lambda x: x < F.col("p")))).drop("cuts")
+    sums = [*CELLS, *MOMENTS, "pos", "neg", "twice"]
+    schema = dealt.select(*keys).schema
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+
+    def run(key, frame):
+        p, y, s, c = (frame[x].to_numpy() for x in ("p", "y", "s", "c"))
+        got = bucket_sums(p, y, s, draw_weights(p, y, s, c, n_boot, seed), float(frame["t"].iloc[0]))
+        out = pd.DataFrame({**{k: [v] * n_boot for k, v in zip([*keys, "bucket"], key)}, "replicate": np.arange(n_boot),
+                            **{k: got[k].astype(float) for k in sums}})
+        return out[[*keys, "bucket", "replicate", *sums]]
+
+    parts = dealt.groupBy(*keys, "bucket").applyInPandas(
+        run, fields + ", bucket int, replicate int, " + ", ".join(f"{k} double" for k in sums))
+    above = Window.partitionBy(*keys, "replicate").orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumn("twice", F.col("twice") + 2 * F.col("neg") * F.coalesce(F.sum("pos").over(above), F.lit(0.0)))
+    m = parts.groupBy(*keys, "replicate").agg(*(F.sum(k).alias(k) for k in sums))
+    return _metrics(m, keys).drop("_all")
+
+
+def _metrics(m: DataFrame, keys: Sequence[str]) -> DataFrame:
+    def rate(a, b):
+        return F.coalesce(F.try_divide(a, b), F.lit(0.0))
+
+    def cells(y="01", s="01", h="01"):
+        return sum((F.col(c) for c in CELLS if c[1] in y and c[2] in s and c[3] in h), F.lit(0.0))
+
+    tp, fp, fn, tn = cells("1", h="1"), cells("0", h="1"), cells("1", h="0"), cells("0", h="0")
+    n = F.nullif(cells(), F.lit(0.0))
+    ss = cells(s="1")
+    cov = F.col("sps") / n - F.col("sp") * ss / (n * n)
     vp = F.col("spp") / n - (F.col("sp") / n) ** 2
-    vs = F.col("sss") / n - (F.col("ss") / n) ** 2
+    vs = ss / n - (ss / n) ** 2
     den = F.sqrt(F.greatest(vp, F.lit(0.0)) * F.greatest(vs, F.lit(0.0)))
-    rho = mom.select(*k, F.when(den <= A.EPS_RHO, F.lit(0.0)).otherwise(F.abs(cov / den)).alias("abs_rho"))
-    return out.join(rho, k)
+
+    def gap(y):
+        # a group without weight has no rate of its own; an undefined rate counts as 0
+        one, zero = rate(cells(y, "1", "1"), cells(y, "1")), rate(cells(y, "0", "1"), cells(y, "0"))
+        return F.when((cells(s="0") > 0) & (cells(s="1") > 0), F.abs(one - zero)).otherwise(0.0)
+
+    return m.select(
+        *keys, "replicate",
+        F.when((F.col("pos") > 0) & (F.col("neg") > 0), F.col("twice") / (2.0 * F.col("pos") * F.col("neg"))).alias("auc"),
+        rate(tp + tn, tp + fp + fn + tn).alias("accuracy"), rate(tp, tp + fp).alias("precision"),
+        rate(tp, tp + fn).alias("recall"), rate(2 * tp, 2 * tp + fp + fn).alias("f1"),
+        gap("01").alias("dpd"), F.greatest(gap("1"), gap("0")).alias("eod"),
+        F.when(den <= EPS_RHO, F.lit(0.0)).otherwise(F.abs(cov / den)).alias("abs_rho"))
 
 
 def bootstrap_ci(df: DataFrame, keys: Sequence[str] = (), *, n_boot: int = 500, seed: int = 42,
-                 threshold: float | None = 0.5, alpha: float = 0.05,
-                 metrics: Sequence[str] = ("auc", "accuracy", "precision", "recall", "f1", "dpd", "eod", "abs_rho"),
+                 threshold: float | str = 0.5, alpha: float = 0.05, metrics: Sequence[str] = METRICS,
                  score: str = "p", label: str = "y", sensitive: str = "s") -> DataFrame:
-    """``(keys, metric, lower, upper, n_valid)`` percentile intervals."""
-    # the weighted groups feed several aggregates: materialise them once in the
-    # shared checkpoint folder instead of recomputing the draws per branch
-    rw = cut_lineage(replicate_weights(df, keys, n_boot, seed, score, label, sensitive))
-    # one row per (keys, replicate): small, and read by two aggregates below
-    per = cut_lineage(weighted_metrics(rw, keys, threshold, score, label, sensitive))
-    present = [m for m in metrics if m in per.columns]
-    long = per.select(*keys, "replicate", F.inline(F.array(*[
-        F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("v")) for m in present])))
-    finite = long.filter(F.col("v").isNotNull() & ~F.isnan("v") & (F.abs("v") != float("inf")))
-    q = exact_quantiles(finite, ["v"], [alpha / 2, 1 - alpha / 2], keys=[*keys, "metric"], n_buckets=1)
-    ci = q.groupBy(*keys, "metric").agg(
-        F.max(F.when(F.col("q") == alpha / 2, F.col("value"))).alias("lower"),
-        F.max(F.when(F.col("q") == 1 - alpha / 2, F.col("value"))).alias("upper"))
-    n_valid = finite.groupBy(*keys, "metric").agg(F.count(F.lit(1)).alias("n_valid"))
-    return ci.join(n_valid, [*keys, "metric"])
+    """``(keys, metric, lower, upper, n_valid)`` percentile intervals of the
+    finite replicate values (linear interpolation)."""
+    keys = list(keys)
+    per = replicate_metrics(df, keys, n_boot=n_boot, seed=seed, threshold=threshold, score=score, label=label,
+                            sensitive=sensitive)
+    long = per.select(*keys, F.inline(F.array(*[F.struct(F.lit(x).alias("metric"), F.col(x).cast("double").alias("v"))
+                                                for x in metrics])))
+    finite = long.where(F.col("v").isNotNull() & ~F.isnan("v"))
+    # n_boot values per (key, metric)
+    q = F.percentile("v", F.array(F.lit(alpha / 2), F.lit(1 - alpha / 2)))
+    return finite.groupBy(*keys, "metric").agg(q.alias("q"), F.count(F.lit(1)).alias("n_valid")).select(
+        *keys, "metric", F.col("q")[0].alias("lower"), F.col("q")[1].alias("upper"), "n_valid")

@@ -1,21 +1,31 @@
-"""Learners re-aimed onto Spark ML (W10; the others are open).
+"""Learners (W6, W7, W9-W11, U2): Spark ML fits, and a fair linear sweep.
 
-W10: the base network's role, a class-weighted linear scorer with a sigmoid
-output, is ``LogisticRegression`` with balanced weights (F7) as ``weightCol``.
-Training is a distributed Spark ML job; scores stay a DataFrame.
+* W10: a class-weighted linear scorer, ``LogisticRegression`` with balanced
+  weights (F7) as ``weightCol``.
+* W6 / W7: ``GBTClassifier`` per seed and fold, early stopping on an inner slice
+  of the training folds; every row is scored by a model that did not see it.
+* U2: ``GBTRegressor`` of |p - y| fitted on validation rows.
+* W11: logistic scorers under BCE + lambda * rho^2 (rho: correlation of score
+  and sensitive attribute).  All lambdas train together: one pass over the
+  training rows per step returns the sums that both gradients need.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.ml.classification import LogisticRegression
+import numpy as np
+import pyarrow as pa
+from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.operators.fit import class_weights
+from riskframe.operators.split import kfold_assign
+from riskframe.session import cut_lineage
 
 
 def fit_weighted_logit(train: DataFrame, features: Sequence[str], label: str,
@@ -36,3 +46,131 @@ def score(df: DataFrame, fitted, out: str = "p") -> DataFrame:
     scored = model.transform(va.transform(df))
     return scored.withColumn(out, vector_to_array("probability")[1]).drop(
         "_x", "rawPrediction", "probability", "prediction")
+
+
+def _filled(df: DataFrame, features: Sequence[str], missing: float = -1e6) -> DataFrame:
+    """Copies ``_f_*`` of the features: trees split a missing value off by one number outside the data's range."""
+    return df.withColumns({f"_f_{c}": F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(missing)), F.lit(missing)) for c in features})
+
+
+def fit_gbt(train: DataFrame, features: Sequence[str], label: str, *, id_col: str, max_iter: int = 20,
+            depth: int = 3, seed: int = 42, inner: int = 8):
+    """Boosted trees; every ``inner``-th row (by hash of the id) decides when to stop."""
+    data = _filled(train, features).withColumn("_stop", F.pmod(F.xxhash64(id_col, F.lit(seed)), F.lit(inner)) == 0)
+    va = VectorAssembler(inputCols=[f"_f_{c}" for c in features], outputCol="_x")
+    gbt = GBTClassifier(featuresCol="_x", labelCol=label, maxIter=max_iter, maxDepth=depth, seed=seed,
+                        validationIndicatorCol="_stop", subsamplingRate=0.8)
+    return va, gbt.fit(va.transform(data.withColumn(label, F.col(label).cast("double"))))
+
+
+def gbt_score(df: DataFrame, fitted, features: Sequence[str], out: str = "p") -> DataFrame:
+    return score(_filled(df, features), fitted, out).drop(*(f"_f_{c}" for c in features))
+
+
+def oof_gbt(df: DataFrame, features: Sequence[str], label: str, *, id_col: str, strata: Sequence[str], k: int = 3,
+            seeds: Sequence[int] = (42,), **options) -> tuple[DataFrame, DataFrame]:
+    """(id, seed, fold, label, p) of every row and seed, and (seed, fold, feature, importance).
+
+    k x seeds models; each scores the fold that it was not fitted on.
+    """
+    spark = df.sparkSession
+    df = cut_lineage(df)
+    folds = cut_lineage(kfold_assign(df, id_col=id_col, strata=list(strata), k=k, seeds=list(seeds)).select(id_col, "seed", "fold"))
+    parts, importance = [], []
+    for seed in seeds:
+        rows = df.join(folds.where(F.col("seed") == seed), id_col)
+        for fold in range(k):
+            fitted = fit_gbt(rows.where(F.col("fold") != fold), features, label, id_col=id_col, seed=seed, **options)
+            held = gbt_score(rows.where(F.col("fold") == fold), fitted, features)
+            parts.append(held.select(id_col, "seed", "fold", label, "p"))
+            importance += [(seed, fold, f, float(v)) for f, v in zip(features, fitted[1].featureImportances.toArray())]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out, spark.createDataFrame(importance, "seed int, fold int, feature string, importance double")
+
+
+def fit_error_gbt(validation: DataFrame, features: Sequence[str], *, score: str = "p", label: str = "y",
+                  max_iter: int = 20, depth: int = 3, seed: int = 42):
+    """Boosted regressor of |score - label|; the score is one of its features."""
+    data = _filled(validation, features).withColumn("_e", F.abs(F.col(score) - F.col(label).cast("double")))
+    va = VectorAssembler(inputCols=[*(f"_f_{c}" for c in features), score], outputCol="_x")
+    return va, GBTRegressor(featuresCol="_x", labelCol="_e", maxIter=max_iter, maxDepth=depth, seed=seed).fit(va.transform(data))
+
+
+def predict_error(df: DataFrame, fitted, features: Sequence[str], out: str = "uncertainty") -> DataFrame:
+    """Predicted error, clipped to [0, 1]."""
+    va, model = fitted
+    u = model.transform(va.transform(_filled(df, features)))
+    return u.withColumn(out, F.least(F.greatest(F.col("prediction"), F.lit(0.0)), F.lit(1.0))).drop(
+        "_x", "prediction", *(f"_f_{c}" for c in features))
+
+
+def fair_gradients(x: np.ndarray, y: np.ndarray, s: np.ndarray, w: np.ndarray, beta: np.ndarray) -> np.ndarray:
+    """Sums of one block of rows for all models: one row per model."""
+    p = 1 / (1 + np.exp(-np.clip(x @ beta.T, -30, 30)))
+    q = p * (1 - p)
+    r = w[:, None] * (p - y[:, None])
+    loss = -w[:, None] * (y[:, None] * np.log(np.maximum(p, 1e-12)) + (1 - y[:, None]) * np.log(np.maximum(1 - p, 1e-12)))
+    ones = np.ones(beta.shape[0])
+    head = [ones * len(y), ones * w.sum(), loss.sum(0), p.sum(0), (p * p).sum(0), ones * s.sum(), ones * (s * s).sum(), s @ p]
+    return np.column_stack([*head, r.T @ x, q.T @ x, (q * s[:, None]).T @ x, (q * p).T @ x])
+
+
+def fair_step(sums: np.ndarray, lambdas: np.ndarray, eps: float = 1e-8) -> tuple[np.ndarray, np.ndarray]:
+    """(objective, gradient) of BCE + lambda * rho^2 per model from the summed blocks."""
+    n, sw, loss, sp, spp, ss, sss, sps = sums[:, :8].T
+    d = (sums.shape[1] - 8) // 4
+    g, a, b, c = (sums[:, 8 + i * d:8 + (i + 1) * d] for i in range(4))
+    cov, vp, vs = sps / n - sp * ss / n ** 2, spp / n - (sp / n) ** 2, sss / n - (ss / n) ** 2
+    den = vp * vs + eps
+    rho = cov / np.sqrt(den)
+    dcov = b / n[:, None] - a * (ss / n ** 2)[:, None]
+    dvp = 2 * c / n[:, None] - 2 * a * (sp / n ** 2)[:, None]
+    drho = dcov / np.sqrt(den)[:, None] - dvp * (cov * vs / (2 * den ** 1.5))[:, None]
+    return loss / sw + lambdas * rho ** 2, g / sw[:, None] + (2 * lambdas * rho)[:, None] * drho
+
+
+def fit_fair_sweep(train: DataFrame, features: Sequence[str], label: str, sensitive: str, lambdas: Sequence[float],
+                   steps: int = 40, rate: float = 0.2) -> np.ndarray:
+    """Coefficients (bias last) of one scorer per lambda.
+
+    ``features`` are scaled and complete.  Each step is one job over the
+    checkpointed training rows; a task returns one row of sums per model.
+    """
+    if 0.0 not in [float(v) for v in lambdas]:
+        raise ValueError("the grid must contain 0.0 (the baseline)")
+    lam = np.array(lambdas, float)
+    w = class_weights(train, label).select(F.col("label").alias(label), F.col("weight").alias("_w"))
+    rows = cut_lineage(train.join(F.broadcast(w), label).select(
+        F.array(*[F.col(c).cast("double") for c in features], F.lit(1.0)).alias("x"),
+        F.col(label).cast("double").alias("y"), F.col(sensitive).cast("double").alias("s"), F.col("_w").alias("w")))
+    d = len(features) + 1
+    beta, m, v = np.zeros((len(lam), d)), np.zeros((len(lam), d)), np.zeros((len(lam), d))
+    block = fair_gradients
+
+    for step in range(1, steps + 1):
+        now = beta.copy()
+
+        def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros((len(now), 8 + 4 * d))
+            for batch in batches:
+                x = batch.column(0).flatten().to_numpy().reshape(-1, d)
+                total += block(x, *(batch.column(i).to_numpy() for i in (1, 2, 3)), now)
+            yield pa.RecordBatch.from_arrays([pa.array([total.ravel().tolist()], pa.list_(pa.float64()))], ["sums"])
+
+        got = rows.mapInArrow(sums, "sums array<double>").collect()  # one row per task
+        _, grad = fair_step(np.sum([np.reshape(r["sums"], (len(lam), -1)) for r in got], axis=0), lam)
+        m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad ** 2
+        beta = beta - rate * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.99 ** step)) + 1e-8)
+    return beta
+
+
+def fair_scores(df: DataFrame, beta: np.ndarray, lambdas: Sequence[float], features: Sequence[str], keep: Sequence[str]) -> DataFrame:
+    """(model_id, lam, keep..., p): the score of every row under every model."""
+    models = F.array(*[
+        F.struct(F.lit(f"lam={lam:g}").alias("model_id"), F.lit(float(lam)).alias("lam"),
+                 (1 / (1 + F.exp(-(sum((F.lit(float(b)) * F.col(c).cast("double") for b, c in zip(row, features)),
+                                       F.lit(float(row[-1]))))))).alias("p"))
+        for lam, row in zip(lambdas, beta)])
+    return df.select(*keep, F.inline(models))

@@ -7,12 +7,15 @@ from pyspark.sql import functions as F
 
 from riskframe.operators import audit as A
 from riskframe.operators import bootstrap as BS
-from riskframe.operators import profile as E
-from riskframe.operators import relational as R
+from riskframe.operators import learners as L
 from riskframe.operators import rows as D
+from riskframe.operators import split as P
 from riskframe.operators import sweep as W
+from riskframe.operators import uncertainty as U
 from riskframe.plans import bindings as B
+from riskframe.plans.q_prep import SEED
 from riskframe.plans.registry import register
+from riskframe.session import cut_lineage
 from riskframe.sources import contract as C
 from riskframe.sources.tables import TEST_TABLES, read_table, table_inventory
 
@@ -66,35 +69,109 @@ def q_bootstrap_ci(spark, d):
     return BS.bootstrap_ci(B.scored(spark, d), n_boot=N_BOOT, threshold=0.5)
 
 
+def sweep_split(spark, d):
+    """Every sweep model's scores with the split of the row."""
+    sp = P.stratified_split(B.scored(spark, d), id_col="id", strata=["y", "s"], seed=SEED).select("id", "split")
+    return B.scored_models(spark, d).join(sp, "id")
+
+
+def validated(scored):
+    """Selection and thresholds from validation rows, metrics from test rows.
+
+    ``scored``: model_id, lam, id, y, s, p, split.  One row per model: status,
+    selected, threshold, val_auc, val_abs_rho and the test metrics.
+    """
+    scored = cut_lineage(scored)
+    val, test = scored.where("split = 'validation'"), scored.where("split = 'test'")
+    key = ["model_id"]
+    fit = A.youden(val, key).join(A.roc_auc(val, key), key).join(A.abs_rho(val, key), key).join(
+        val.groupBy("model_id").agg(F.max("lam").alias("lam"), F.stddev_pop("p").alias("score_std")), key)
+    fit = cut_lineage(W.pareto_select(W.collapse_status(fit), status="status"))
+    metrics = A.evaluate_models(test, key, thresholds=fit.select("model_id", "threshold"))
+    chosen = fit.select("model_id", "lam", "status", "selected", F.col("auc").alias("val_auc"), F.col("abs_rho").alias("val_abs_rho"))
+    return chosen.join(metrics, key), test.join(fit.select("model_id", "threshold"), key)
+
+
 @register("final_results")
 def q_final_results(spark, d):
-    """Base and fair models' test metrics with 95 % bootstrap limits."""
-    sm = B.scored_models(spark, d).filter(F.col("lam").isin(0.0, 1.0))
-    point = A.evaluate_models(sm, ["model_id"])
-    ci = BS.bootstrap_ci(sm, ["model_id"], n_boot=N_BOOT, threshold=0.5, metrics=("auc", "abs_rho"))
+    """All sweep models, chosen and thresholded on validation rows; test
+    metrics with the 95 % bootstrap limits of every metric."""
+    point, test = validated(sweep_split(spark, d))
+    ci = BS.bootstrap_ci(test, ["model_id"], n_boot=N_BOOT, threshold="threshold")
     wide = ci.groupBy("model_id").agg(
-        *[F.max(F.when(F.col("metric") == m, F.col(b))).alias(f"{m}_{b}")
-          for m in ("auc", "abs_rho") for b in ("lower", "upper")])
+        *[F.max(F.when(F.col("metric") == m, F.col(b))).alias(f"{m}_{b}") for m in BS.METRICS for b in ("lower", "upper")])
     return point.join(wide, "model_id")
 
 
+TREE_FEATURES = ["AMT_CREDIT", "AMT_ANNUITY", "AMT_GOODS_PRICE", "EXT_SOURCE_1", "EXT_SOURCE_2", "EXT_SOURCE_3", "AGE_YEARS",
+                 "EMPLOYED_YEARS", "CNT_CHILDREN", "REGION_CODE", "EXT_NULL_COUNT"]
+
+
+def _oof_gbt(spark, d):
+    df = B.deterministic(spark, d).select("SK_ID_CURR", "TARGET", "SENSITIVE", *TREE_FEATURES)
+    return L.oof_gbt(df, TREE_FEATURES, "TARGET", id_col="SK_ID_CURR", strata=["TARGET", "SENSITIVE"], k=3, seeds=(SEED, SEED + 101),
+                     max_iter=8)
+
+
+@register("oof_gbt")
+def q_oof_gbt(spark, d):
+    """Boosted trees per fold and seed; AUC of every fold, of every
+    seed, and of the score averaged over seeds with its accuracy at 0.5."""
+    oof = cut_lineage(_oof_gbt(spark, d)[0].withColumnRenamed("TARGET", "y"))
+    fold = A.roc_auc(oof, ["seed", "fold"]).select(F.concat_ws("/", F.lit("fold"), "seed", "fold").alias("part"), "auc")
+    seed = A.roc_auc(oof, ["seed"]).select(F.concat_ws("/", F.lit("seed"), "seed").alias("part"), "auc")
+    mean = W.oof_average(oof, id_col="SK_ID_CURR").withColumn("part", F.lit("mean"))
+    accuracy = A.binary_metrics(A.apply_threshold(mean, 0.5), ["part"]).select("part", "accuracy")
+    rows = fold.unionByName(seed).withColumn("accuracy", F.lit(None).cast("double"))
+    return rows.unionByName(A.roc_auc(mean, ["part"]).join(accuracy, "part"))
+
+
 @register("importance_by_source")
 def q_importance_by_source(spark, d):
-    """|Pearson with target| of every relational-matrix feature as an
-    importance, summed per source table (rows-only: the matrix is ~700 columns)."""
+    """Importance of boosted trees over the relational matrix, summed per source table."""
     from riskframe.plans.q_relational import q_relational_matrix
-    m = q_relational_matrix(spark, d)
+    m = cut_lineage(q_relational_matrix(spark, d))
     feats = [c for c, t in m.dtypes if c not in ("SK_ID_CURR", "TARGET") and t in ("int", "bigint", "double")]
-    imp = E.pearson_target(m, feats, "TARGET").select("feature", F.abs("pearson").alias("importance"))
+    fitted = L.fit_gbt(m, feats, "TARGET", id_col="SK_ID_CURR", max_iter=4)
+    imp = spark.createDataFrame([(f, float(v)) for f, v in zip(feats, fitted[1].featureImportances.toArray())],
+                                "feature string, importance double")
     return W.importance_by_source(imp)
 
 
+@register("uncertainty_gbt")
+def q_uncertainty_gbt(spark, d):
+    """U2 + U4: a boosted error regressor fitted on validation rows, applied to test rows."""
+    sp = P.stratified_split(B.scored(spark, d), id_col="id", strata=["y", "s"], seed=SEED)
+    val = cut_lineage(sp.where("split = 'validation'"))
+    fitted = L.fit_error_gbt(val, ["s"], max_iter=8)
+    rows = L.predict_error(sp.where("split = 'test'"), fitted, ["s"])
+    return U.prediction_table(rows, threshold=A.youden(val).first()["threshold"])
+
+
+FAIR_LAMBDAS = tuple(lam for lam, _ in B.LAMBDA_SHIFTS)
+
+
+@register("fair_sweep")
+def q_fair_sweep(spark, d):
+    """W11 + W1-W3 + M11: one scorer per lambda trained with the fairness penalty;
+    chosen and thresholded on validation rows, measured on test rows."""
+    from riskframe.operators import fit as FT
+    from riskframe.plans.q_prep import SPEC, _det_split
+    df = _det_split(spark, d)
+    prep = cut_lineage(FT.apply_preprocess(df, FT.fit_preprocess(df, SPEC)))
+    feats = [c for c in prep.columns if c not in ("SK_ID_CURR", "TARGET", "SENSITIVE", "split")]
+    scale = FT.fit_standard(prep, feats)
+    prep = cut_lineage(FT.apply_standard(prep, scale))
+    beta = L.fit_fair_sweep(prep.where("split = 'train'"), feats, "TARGET", "SENSITIVE", FAIR_LAMBDAS)
+    keep = [F.col("SK_ID_CURR").alias("id"), F.col("TARGET").alias("y"), F.col("SENSITIVE").alias("s"), "split"]
+    return validated(L.fair_scores(prep, beta, FAIR_LAMBDAS, feats, keep))[0]
+
+
 @register("score_logit")
 def q_score_logit(spark, d):
     """Balanced-weight logistic scorer fitted on the preprocessed training
     rows, scored on the test rows and audited (AUC, |rho|) per split."""
     from riskframe.operators import fit as FT
-    from riskframe.operators import learners as L
     from riskframe.plans.q_prep import SPEC, _det_split
     df = _det_split(spark, d)
     prep = FT.apply_preprocess(df, FT.fit_preprocess(df, SPEC))

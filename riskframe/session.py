@@ -6,6 +6,7 @@ is set only when the session has none (tests, laptops).
 
 from __future__ import annotations
 
+import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,6 +34,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    package_on_workers(spark)
     checkpoint_dir(spark)
     return spark
 
@@ -52,6 +54,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def package_on_workers(spark: SparkSession) -> None:
+    """Let Python workers import this package wherever the driver was started (a cluster installs it)."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (root, env.get("PYTHONPATH", "")) if x)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
     checkpoint_dir(df.sparkSession)

@@ -64,21 +64,33 @@ def test_ensemble_variance(spark):
     assert math.isclose(r["mean_p"], .3) and math.isclose(r["var_p"], .01)
 
 
-def test_bootstrap_weights_match_brute_force(spark):
-    """Poisson(c) group weights: the weighted AUC per replicate equals a brute
-    force on the expanded rows, and weights have mean ~ 1 per row."""
-    rows = [(i, i % 2, round(((i * 37) % 50) / 50.0, 2), i % 3 % 2) for i in range(200)]
-    df = spark.createDataFrame(rows, "id long, y int, p double, s int")
-    rw = BS.replicate_weights(df, [], 20, seed=7)
-    pdf = rw.toPandas()
-    assert abs(pdf.w.sum() / (20 * 200) - 1.0) < 0.1
-    per = BS.weighted_metrics(rw, [], None).toPandas().set_index("replicate")
-    for rep, g in pdf.groupby("replicate"):
-        pos = g[g.y == 1]; neg = g[g.y == 0]
-        num = sum(wp * wn * (1.0 if a > b else 0.5 if a == b else 0.0)
-                  for a, wp in zip(pos.p, pos.w) for b, wn in zip(neg.p, neg.w))
-        den = pos.w.sum() * neg.w.sum()
-        assert math.isclose(per.loc[rep, "auc"], num / den, rel_tol=1e-9)
+def test_bootstrap_replicates_match_brute_force(spark, monkeypatch):
+    """Every replicate's metrics equal a brute force on the weighted groups, in one bucket or in many."""
+    import numpy as np
+
+    rows = [(i, i % 2, round(((i * 37) % 50) / 50.0, 2), i % 3 % 2, f"m{i % 5 // 3}") for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, y int, p double, s int, model string")
+    one = BS.replicate_metrics(df, n_boot=20, seed=7, threshold=.4).toPandas().set_index("replicate").sort_index()
+    monkeypatch.setattr(BS, "BUCKET_GROUPS", 15)
+    many = BS.replicate_metrics(df, n_boot=20, seed=7, threshold=.4).toPandas().set_index("replicate").sort_index()
+    assert np.allclose(one, many[one.columns])
+    g = df.toPandas().groupby(["p", "y", "s"]).size().reset_index(name="c")
+    p, y, s = g.p.to_numpy(), g.y.to_numpy(), g.s.to_numpy()
+    w = BS.draw_weights(p, y, s, g.c.to_numpy(), 20, 7)
+    assert abs(w.sum() / (20 * 400) - 1) < .1
+    for rep in range(20):
+        x = w[:, rep]
+        pos, neg = y == 1, y == 0
+        num = sum(x[pos] @ ((p[pos] > b) + .5 * (p[pos] == b)) * wn for b, wn in zip(p[neg], x[neg]))
+        assert math.isclose(one.loc[rep, "auc"], num / (x[pos].sum() * x[neg].sum()), rel_tol=1e-9)
+        full = np.repeat(np.arange(len(g)), x)
+        hat = p[full] >= .4
+        assert math.isclose(one.loc[rep, "accuracy"], (hat == (y[full] == 1)).mean(), rel_tol=1e-9)
+        assert math.isclose(one.loc[rep, "abs_rho"], abs(np.corrcoef(p[full], s[full])[0, 1]), rel_tol=1e-6)
+        sel = [hat[s[full] == v].mean() for v in (0, 1)]
+        assert math.isclose(one.loc[rep, "dpd"], abs(sel[0] - sel[1]), rel_tol=1e-9)
+    ci = BS.bootstrap_ci(df, ["model"], n_boot=20, threshold=.4).collect()
+    assert len(ci) == 2 * len(BS.METRICS) and all(r["lower"] <= r["upper"] for r in ci)
 
 
 def test_ablation_and_experiment_tables(spark):
@@ -95,3 +107,55 @@ def test_unseen_score_bin_takes_the_mean_error(spark):
     model = U.fit_binned_error(spark.createDataFrame([(.05, 0), (.06, 1), (.95, 1)], "p double, y int"))
     got = U.apply_binned_error(spark.createDataFrame([(.5,)], "p double"), model).first()
     assert math.isclose(got["uncertainty"], (.05 + .94 + .05) / 3)
+
+
+def test_fair_gradient_matches_finite_differences():
+    import numpy as np
+
+    from riskframe.operators import learners as L
+
+    r = np.random.default_rng(0)
+    x = np.column_stack([r.standard_normal((300, 3)), np.ones(300)])
+    y, s, w = (r.random(300) < .3).astype(float), (r.random(300) < .5).astype(float), r.random(300) + .5
+    lam, beta = np.array([0.0, 2.0]), r.standard_normal((2, 4)) * .3
+    _, grad = L.fair_step(L.fair_gradients(x, y, s, w, beta), lam)
+    for i in range(2):
+        for j in range(4):
+            up, down = beta.copy(), beta.copy()
+            up[i, j] += 1e-5
+            down[i, j] -= 1e-5
+            diff = (L.fair_step(L.fair_gradients(x, y, s, w, up), lam)[0][i] - L.fair_step(L.fair_gradients(x, y, s, w, down), lam)[0][i]) / 2e-5
+            assert math.isclose(diff, grad[i, j], rel_tol=1e-4, abs_tol=1e-6)
+
+
+def test_penalty_lowers_the_correlation(spark):
+    import numpy as np
+
+    from riskframe.operators import audit as A
+    from riskframe.operators import learners as L
+
+    r = np.random.default_rng(1)
+    n = 800
+    s = r.integers(0, 2, n)
+    a, b = r.standard_normal(n) + s, r.standard_normal(n)
+    y = (a + b + .5 * r.standard_normal(n) > .8).astype(int)
+    df = spark.createDataFrame([(i, int(y[i]), int(s[i]), float(a[i]), float(b[i])) for i in range(n)], "id long, y int, s int, a double, b double")
+    beta = L.fit_fair_sweep(df, ["a", "b"], "y", "s", (0.0, 5.0), steps=40)
+    sc = L.fair_scores(df, beta, (0.0, 5.0), ["a", "b"], ["id", "y", "s"])
+    rho = {x["model_id"]: x["abs_rho"] for x in A.abs_rho(sc, ["model_id"]).collect()}
+    auc = {x["model_id"]: x["auc"] for x in A.roc_auc(sc, ["model_id"]).collect()}
+    assert rho["lam=5"] < rho["lam=0"] / 2 and auc["lam=0"] > .8
+    with pytest.raises(ValueError):
+        L.fit_fair_sweep(df, ["a"], "y", "s", (1.0,))
+
+
+def test_oof_trees_score_every_row_once_per_seed(spark):
+    from riskframe.operators import learners as L
+
+    df = spark.range(300).selectExpr("id", "cast((id * 37) % 100 as double) as a", "cast(null as double) as b",
+                                     "cast((id * 37) % 100 > 60 as int) as y", "cast(id % 2 as int) as s")
+    oof, imp = L.oof_gbt(df, ["a", "b"], "y", id_col="id", strata=["y"], k=3, seeds=(1, 2), max_iter=3)
+    rows = oof.collect()
+    assert len(rows) == 600 and len({(r["id"], r["seed"]) for r in rows}) == 600
+    assert sum((r["p"] >= .5) == (r["y"] == 1) for r in rows) > 570
+    assert imp.count() == 12
