@@ -7,7 +7,9 @@ anchors whose K-gram occurs again are range-partitioned by their leading bytes w
 splitters; a bucket sorts them by multikey quicksort, forwards from the anchor and backwards before
 it, and the neighbours' common prefixes tell which windows are equal.  Splitters are shorter than K,
 so equal K-grams never lie on two sides of a bucket's boundary; the comparison across boundaries is
-decided by the splitters themselves.
+decided by the splitters themselves.  A K-gram that stands so often that its suffixes would not fit a
+bucket (HOT) is split further: its windows are dealt out one by one, by a 128-bit digest, and combined
+before the shuffle.
 """
 
 from __future__ import annotations
@@ -30,6 +32,8 @@ LENGTH = 400
 #: Bytes of the K-gram at an anchor, and of the splitters.
 K = 160
 LEAD = 96
+#: A K-gram that more anchors than these have is split by the content of its windows.
+HOT = 100_000
 #: Bits of the maps by which a scan leaves out what cannot be repeated.
 TEXT_BITS = 1 << 24
 GRAM_BITS = 1 << 26
@@ -275,8 +279,10 @@ def repeated_spans(docs: DataFrame, named: DataFrame) -> tuple[DataFrame, tuple]
             yield pa.RecordBatch.from_arrays([pa.array(gram.astype(np.int64)), pa.array(place.astype(np.int64))], ["gram", "place"])
 
     # The same anchor may stand in several scanned copies of a text: two places must differ.
-    seen = _scan(docs, maps, grams, "gram bigint, place bigint").groupBy("gram").agg(F.min("place").alias("a"), F.max("place").alias("b"))
-    twice = bitmap(seen.where("a != b"), F.col("gram"), GRAM_BITS)
+    seen = cut(_scan(docs, maps, grams, "gram bigint, place bigint").groupBy("gram").agg(
+        F.min("place").alias("a"), F.max("place").alias("b"), F.count(F.lit(1)).alias("n")).where("a != b").select("gram", "n"))
+    twice = bitmap(seen.where(F.col("n") <= HOT), F.col("gram"), GRAM_BITS)
+    hot = bitmap(seen.where(F.col("n") > HOT), F.col("gram"), GRAM_BITS)
 
     def suffixes(splitters):
         def emit(ids, data, o):
@@ -342,6 +348,8 @@ def repeated_spans(docs: DataFrame, named: DataFrame) -> tuple[DataFrame, tuple]
 
     runs = (_scan(docs, maps, suffixes(splitters), schema).repartitionById(n_buckets, F.col("bucket"))
             .mapInArrow(sort_bucket, "t1 bigint, t2 bigint, s bigint, e bigint"))
+    if hot.any():
+        runs = runs.unionByName(_hot_runs(docs, maps, hot))
     runs = runs.unionByName(keys.where(f"copies > 1 and n_bytes >= {LENGTH}").select("t1", "t2", F.lit(0).cast("bigint").alias("s"),
                                                                                  F.col("n_bytes").alias("e")))
     order = Window.partitionBy("t1", "t2").orderBy("s", "e")
@@ -353,6 +361,40 @@ def repeated_spans(docs: DataFrame, named: DataFrame) -> tuple[DataFrame, tuple]
     return cut(spans), maps
 
 
+def _hot_runs(docs: DataFrame, maps, hot: np.ndarray) -> DataFrame:
+    """(t1, t2, s, e) of the repeated windows whose anchors have a hot K-gram; one row per window.
+
+    Equal windows meet by digest after a partial aggregation, so no task holds a group.
+    """
+    second = 0xC2B2AE3D27D4EB4F
+
+    def windows(ids, data, o):
+        for lo, part, po, at in pieces(data, o):
+            text, first, last, _, gram = anchors(part, po)
+            use = np.flatnonzero(has_bit(hot, gram.astype(np.int64)))
+            if len(use) == 0:
+                continue
+            n = last[use] - first[use] + 1
+            ends = np.cumsum(n)
+            start = np.arange(ends[-1]) + np.repeat(first[use] - (ends - n), n)
+            own = ids[lo + np.repeat(text[use], n)]
+            digests = []
+            with np.errstate(over="ignore"):
+                for base in (BASE, second):
+                    h = np.zeros(len(part) + 1, np.uint64)
+                    np.cumsum((part.astype(np.uint64) + np.uint64(1)) * powers(base, len(part)), out=h[1:])
+                    inv = powers(pow(base, -1, 1 << 64), len(part) + 1)
+                    digests.append(mix((h[start + LENGTH] - h[start]) * inv[start]).astype(np.int64))
+            pos = start - po[np.repeat(text[use], n)] + at
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (*digests, own[:, 0].copy(), own[:, 1].copy(), pos)],
+                                             ["w1", "w2", "t1", "t2", "pos"])
+
+    rows = _scan(docs, maps, windows, "w1 bigint, w2 bigint, t1 bigint, t2 bigint, pos bigint")
+    place = F.xxhash64("t1", "t2", "pos")
+    twice = rows.groupBy("w1", "w2").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a != b").select("w1", "w2")
+    return rows.join(twice, ["w1", "w2"]).select("t1", "t2", F.col("pos").alias("s"), (F.col("pos") + LENGTH).alias("e"))
+
+
 def without_spans(raw: bytes, spans) -> bytes:
     out, at = [], 0
     for s in spans:

@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from riskframe.llm import suffix_dedup as sd
 
@@ -44,7 +45,9 @@ def corpus() -> list[tuple]:
     return [(i, t) for i, t in enumerate(rows)] + [(None, passage), (5, prose(150)), (5, prose(150))]
 
 
-def test_removed_bytes_match_brute_force(spark, docs_of):
+@pytest.mark.parametrize("hot", [sd.HOT, 2])
+def test_removed_bytes_match_brute_force(spark, docs_of, monkeypatch, hot):
+    monkeypatch.setattr(sd, "HOT", hot)
     rows = corpus()
     want = Counter((i, *b) for (i, _), b in zip(rows, brute([(t or "").encode() for _, t in rows])))
     got = sd.removed_bytes(docs_of(rows, extra=True)).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()
