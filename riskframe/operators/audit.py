@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.operators.ranked import cumulative
+from riskframe.session import cut_lineage
 
 EPS_RHO = 1e-8
 
@@ -22,7 +23,10 @@ def roc_auc(df: DataFrame, keys: Sequence[str] = (), score: str = "p", label: st
             weight: str | Column | None = None, n_buckets: int = 64) -> DataFrame:
     """M1: tie-aware ROC-AUC = sum_i neg_i (pos_above_i + pos_i / 2) / (P N);
     NULL when a key has one class.  Decimal numerator: exact, and wide enough for 5e9 x 5e9 rows."""
-    cum = cumulative(df, keys, score, label, weight, n_buckets)
+    return _auc_of(cumulative(df, keys, score, label, weight, n_buckets), keys)
+
+
+def _auc_of(cum: DataFrame, keys: Sequence[str]) -> DataFrame:
     neg, wide = F.col("neg").cast("decimal(19,0)"), "decimal(19,0)"
     num2 = neg * (F.col("tp_above") * 2 + F.col("pos")).cast(wide)
     agg = cum.groupBy(*keys).agg(F.sum(num2).alias("_num2"), F.first("P").alias("P"),
@@ -34,7 +38,10 @@ def roc_auc(df: DataFrame, keys: Sequence[str] = (), score: str = "p", label: st
 
 def pr_auc(df: DataFrame, keys: Sequence[str] = (), score: str = "p", label: str = "y") -> DataFrame:
     """M2: average precision sum_n (R_n - R_{n-1}) P_n over distinct thresholds."""
-    cum = cumulative(df, keys, score, label)
+    return _ap_of(cumulative(df, keys, score, label), keys)
+
+
+def _ap_of(cum: DataFrame, keys: Sequence[str]) -> DataFrame:
     tp = F.col("tp_above") + F.col("pos")
     fp = F.col("fp_above") + F.col("neg")
     term = F.col("pos").cast("double") * tp / (tp + fp)
@@ -47,7 +54,10 @@ def pr_auc(df: DataFrame, keys: Sequence[str] = (), score: str = "p", label: str
 def youden(df: DataFrame, keys: Sequence[str] = (), score: str = "p", label: str = "y") -> DataFrame:
     """M4: threshold maximising TPR - FPR (integer J = TP N - FP P so ties are
     exact); ties go to the highest threshold; no positive J -> threshold 1.0."""
-    cum = cumulative(df, keys, score, label)
+    return _youden_of(cumulative(df, keys, score, label), keys)
+
+
+def _youden_of(cum: DataFrame, keys: Sequence[str]) -> DataFrame:
     tp = F.col("tp_above") + F.col("pos")
     fp = F.col("fp_above") + F.col("neg")
     wide = "decimal(19,0)"
@@ -187,11 +197,12 @@ def evaluate_models(df: DataFrame, keys: Sequence[str] = ("model_id",),
     """One evaluation row per model: AUC, AP, |rho|, threshold (given per
     model or chosen by Youden on the same rows), binary and fairness metrics."""
     keys = list(keys)
-    auc = roc_auc(df, keys, score, label)
-    ap = pr_auc(df, keys, score, label)
+    # one row per (model, distinct score): the ranking metrics share its prefix sums
+    cum = cut_lineage(cumulative(df, keys, score, label))
+    auc, ap = _auc_of(cum, keys), _ap_of(cum, keys)
     rho = abs_rho(df, keys, score, sensitive)
-    thr = thresholds if thresholds is not None else youden(df, keys, score, label).select(*keys, "threshold")
-    scored = apply_threshold(df.join(F.broadcast(thr.select(*keys, "threshold")), keys), "threshold", score)
+    thr = cut_lineage((thresholds if thresholds is not None else _youden_of(cum, keys)).select(*keys, "threshold"))
+    scored = apply_threshold(df.join(thr, keys), "threshold", score)
     bm = binary_metrics(scored, keys, label)
     fm = fairness(scored, keys, label, "y_hat", sensitive).drop("n_groups")
     out = auc

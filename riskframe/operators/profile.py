@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskframe.operators.ranked import average_ranks, exact_quantiles
+from riskframe.operators.ranked import exact_quantiles, with_cumulative
 
 
 def long_form(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = (),
@@ -113,6 +113,26 @@ def box_stats(df: DataFrame, cols: Sequence[str], group: str) -> DataFrame:
     return basic.join(qw, ["feature", group], "left")
 
 
+def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Count, mean, std, min, exact quartiles and max per column."""
+    return box_stats(df.withColumn("_all", F.lit(0)), cols, "_all").drop("_all")
+
+
+def last_and_best(df: DataFrame, run: str, order: Sequence[str], metric: str) -> DataFrame:
+    """Per run the number of rows, the metric of the last row in ``order``,
+    and the row number (1-based) and value of the best one (ties: the first).
+
+    Partial aggregation only: a long run is never sorted in one task.
+    """
+    pos = F.struct(*order)
+    rows = df.where(F.col(metric).isNotNull())
+    best = rows.groupBy(run).agg(
+        F.count(F.lit(1)).alias("n"), F.max_by(metric, pos).alias("last"), F.max(metric).alias("best"))
+    at = rows.join(best.select(run, "best"), run).where(F.col(metric) == F.col("best")).groupBy(run).agg(F.min(pos).alias("_at"))
+    step = rows.join(at, run).groupBy(run).agg(F.count_if(pos <= F.col("_at")).alias("best_step"))
+    return best.join(step, run)
+
+
 def rate_by_nulls(df: DataFrame, null_count: str = "EXT_NULL_COUNT", target: str = "TARGET") -> DataFrame:
     """Target rate, volume and share of rows per null count."""
     agg = df.groupBy(null_count).agg(F.count(F.lit(1)).alias("n"),
@@ -147,15 +167,38 @@ def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def spearman_target(df: DataFrame, cols: Sequence[str], target: str = "TARGET",
                     id_col: str = "SK_ID_CURR") -> DataFrame:
     """Spearman = Pearson of average ranks on pairwise-complete rows, with
-    the Pearson value and the gap beside it.  Ranks come from the distributed
-    prefix sums, per feature."""
-    long = long_form(df, cols, [F.col(target).cast("double").alias("_y")]).filter(
-        F.col("value").isNotNull() & F.col("_y").isNotNull())
-    rx = average_ranks(long, ["feature"], "value", "rx")
-    ry = average_ranks(rx.withColumn("_yv", F.col("_y")), ["feature"], "_yv", "ry")
-    agg = ry.groupBy("feature").agg(_pearson(F.col("rx"), F.col("ry")).alias("spearman"),
-                                    _pearson(F.col("value"), F.col("_y")).alias("pearson"))
-    return agg.withColumn("gap", F.col("spearman") - F.col("pearson"))
+    the Pearson value and the gap beside it, for a 0/1 target.
+
+    Rows are reduced to (feature, value) with their counts of either class; the
+    ranks of a value come from prefix sums over these counts and the target's
+    two ranks are constants of the feature, so nothing is joined back to rows.
+    """
+    y = F.col("_y")
+    counts = (long_form(df, cols, [F.col(target).cast("double").alias("_y")])
+              .where(F.col("value").isNotNull() & y.isNotNull())
+              .groupBy("feature", (-F.col("value")).alias("score"))
+              .agg(F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg")))
+    cum = with_cumulative(counts, ["feature"])
+    c, n1 = F.col("pos") + F.col("neg"), F.col("P")
+    v = -F.col("score")
+    rank = F.col("tp_above") + F.col("fp_above") + (c + 1) / 2.0
+
+    def moments(x: Column) -> list[Column]:
+        return [F.sum(c * x), F.sum(c * x * x), F.sum(F.col("pos") * x)]
+
+    agg = cum.groupBy("feature").agg(
+        F.sum(c).cast("double").alias("n"), F.first(n1).cast("double").alias("n1"),
+        *(e.alias(f"{k}{i}") for k, x in (("r", rank), ("v", v)) for i, e in enumerate(moments(x))))
+
+    def corr(k: str) -> Column:
+        # Pearson with a 0/1 target equals that with its two ranks: both are the same line of y
+        n, p = F.col("n"), F.col("n1")
+        cov = F.col(f"{k}2") / n - F.col(f"{k}0") * p / (n * n)
+        den = F.sqrt(F.greatest(F.col(f"{k}1") / n - (F.col(f"{k}0") / n) ** 2, F.lit(0.0)) * (p / n - (p / n) ** 2))
+        return F.when(den > 0, cov / den).otherwise(F.lit(0.0))
+
+    return agg.select("feature", corr("r").alias("spearman"), corr("v").alias("pearson"),
+                      (corr("r") - corr("v")).alias("gap"))
 
 
 def cohens_d(df: DataFrame, cols: Sequence[str], target: str = "TARGET", min_n: int = 1000,

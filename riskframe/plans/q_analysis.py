@@ -13,6 +13,7 @@ from riskframe.plans import bindings as B
 from riskframe.plans.q_audit import auc_cte, cum_cte, evaluate_ctes, youden_cte
 from riskframe.plans.q_prep import SEED, split_sql
 from riskframe.plans.registry import register
+from riskframe.session import cut_lineage
 
 MK = ["model_id"]
 SEEDS3 = P.repeat_seeds(SEED, 3)
@@ -99,17 +100,17 @@ def q_model_ladder(spark, d):
 
 
 def _seed_test_rows(spark, d):
-    parts = []
-    sm = B.scored_models(spark, d)
-    for s in SEEDS3:
-        sp = P.stratified_split(sm.filter(F.col("lam") == 0).select("id", "y", "s"), id_col="id",
-                                strata=["y", "s"], seed=s)
-        test_ids = sp.filter(F.col("split") == "test").select("id", F.lit(s).alias("seed"))
-        parts.append(sm.join(test_ids, "id"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """Test rows of every seed under every lambda: the base scores are split once
+    per seed, and the grid is exploded last."""
+    base = B.scored(spark, d).select("id", "y", "s")
+    out = None
+    for seed in SEEDS3:
+        sp = P.stratified_split(base, id_col="id", strata=["y", "s"], seed=seed)
+        part = sp.filter(F.col("split") == "test").select("id", F.lit(seed).alias("seed"))
+        out = part if out is None else out.unionByName(part)
+    # (id, seed) of 15 % of the rows per seed; read once by the join
+    return B.scored_models(spark, d).join(out.groupBy("id").agg(F.collect_list("seed").alias("seeds")), "id").select(
+        "*", F.explode("seeds").alias("seed")).drop("seeds")
 
 
 def _seed_sql() -> str:
@@ -138,11 +139,12 @@ def _seed_sql() -> str:
 def q_sweep_over_seeds(spark, d):
     """Per lambda, mean / population std over three evaluation seeds (each
     seed's stratified test split), with deltas against lambda 0."""
-    rows = _seed_test_rows(spark, d)
-    auc = A.roc_auc(rows, ["model_id", "seed"])
-    gap = A.mean_gap(rows, ["model_id", "seed"]).select("model_id", "seed", "gap")
-    lam = rows.groupBy("model_id", "seed").agg(F.max("lam").alias("lam"))
-    per_seed = auc.join(gap, ["model_id", "seed"]).join(lam, ["model_id", "seed"])
+    # AUC and gap both follow from the counts of (lambda, seed, score, y, s)
+    rows = cut_lineage(_seed_test_rows(spark, d).groupBy("lam", "seed", "p", "y", "s").agg(F.count(F.lit(1)).alias("c")))
+    auc = A.roc_auc(rows, ["lam", "seed"], weight="c")
+    mean = [F.sum(F.when(F.col("s") == v, F.col("p") * F.col("c"))) / F.sum(F.when(F.col("s") == v, F.col("c"))) for v in (0, 1)]
+    gap = rows.groupBy("lam", "seed").agg(F.abs(mean[0] - mean[1]).alias("gap"))
+    per_seed = auc.join(gap, ["lam", "seed"])
     return W.sweep_over_seeds(per_seed)
 
 
@@ -486,6 +488,24 @@ def q_box_stats(spark, d):
 WIN = ["AMT_INCOME_TOTAL", "AMT_CREDIT", "AMT_ANNUITY"]
 
 
+@register("describe", B.with_roles("deterministic", extra="l AS (" + _long_sql(BOX) + ")")
+          + """SELECT feature, count(*) AS n, avg(value) AS mean, stddev_samp(value) AS std, min(value) AS min,
+                 max(value) AS max, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS median,
+                 quantile_cont(value, 0.75) AS q3 FROM l WHERE value IS NOT NULL GROUP BY feature""")
+def q_describe(spark, d):
+    """Exact description of numeric columns."""
+    return E.describe(B.deterministic(spark, d), BOX)
+
+
+@register("last_and_best", """WITH e AS (SELECT user_id, value, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS step,
+            row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS back FROM events WHERE value IS NOT NULL),
+          b AS (SELECT user_id, count(*) AS n, max(value) AS best, max(CASE WHEN back = 1 THEN value END) AS last FROM e GROUP BY 1)
+          SELECT b.user_id, n, last, best, (SELECT min(step) FROM e WHERE e.user_id = b.user_id AND e.value = b.best) AS best_step FROM b""")
+def q_last_and_best(spark, d):
+    """Last and best step of every run (a user's events in time order)."""
+    return E.last_and_best(B.read_table(spark, d, "events").select("user_id", "ts", "event_id", "value"), "user_id", ["ts", "event_id"], "value")
+
+
 @register("winsor_long", B.with_roles("deterministic", extra="cap AS (SELECT " + ", ".join(
     f"quantile_cont({c}, 0.99) AS c_{c}" for c in WIN) + " FROM deterministic)")
           + "SELECT * FROM (" + " UNION ALL ".join(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from riskframe.operators import fit as FT
+from riskframe.operators import relational as R
 from riskframe.operators import rows as D
 from riskframe.operators import split as P
 from riskframe.operators.encode import label_encode
@@ -244,6 +245,39 @@ def q_log_abs(spark, d):
     return D.log_abs(B.application(spark, d), ["AMT_CREDIT"], ["DAYS_BIRTH"]).select("SK_ID_CURR", "AMT_CREDIT_LOG", "DAYS_BIRTH_ABS")
 
 
+def _pos(c: str) -> str:
+    return f"CASE WHEN {c} < 0 THEN 0.0 ELSE CAST({c} AS DOUBLE) END"
+
+
+@register("fin_ratios", B.with_roles("deterministic") + "SELECT SK_ID_CURR, " + ", ".join(
+    f"CASE WHEN {a} IS NULL OR {b} IS NULL THEN NULL ELSE least(({_pos(a)}) / (({_pos(b)}) + 1.0), 10.0) END AS {n}"
+    for n, a, b in D.FIN_RATIOS) + " FROM deterministic")
+def q_fin_ratios(spark, d):
+    """Clipped ratios of the financial columns."""
+    return D.fin_ratios(B.deterministic(spark, d)).select("SK_ID_CURR", *[n for n, _, _ in D.FIN_RATIOS])
+
+
+@register("gamma_transform", B.with_roles("deterministic")
+          + f"SELECT SK_ID_CURR, pow(({_pos('AMT_INCOME_TOTAL')}) + 1e-6, 0.75) AS AMT_INCOME_TOTAL_G FROM deterministic")
+def q_gamma_transform(spark, d):
+    """A money column to a power."""
+    return D.gamma_transform(B.deterministic(spark, d), ["AMT_INCOME_TOTAL"], 0.75, eps=1e-6, suffix="_G").select(
+        "SK_ID_CURR", "AMT_INCOME_TOTAL_G")
+
+
+ALIGNED = ["AMT_CREDIT", "AMT_ANNUITY", "EXT_SOURCE_2", "EXT_SOURCE_3"]
+
+
+@register("align_columns", B.with_roles("deterministic", extra=det_split_ctes())
+          + """SELECT SK_ID_CURR, AMT_CREDIT, AMT_ANNUITY, EXT_SOURCE_2, CAST(NULL AS DOUBLE) AS EXT_SOURCE_3
+               FROM dsp WHERE split = 'test'""")
+def q_align_columns(spark, d):
+    """The test side gets the training side's columns in order, without the target."""
+    df = _det_split(spark, d)
+    train, test = (df.where(F.col("split") == x) for x in ("train", "test"))
+    return R.align_columns(train, test.drop("EXT_SOURCE_3", "TARGET"), ALIGNED)[1]
+
+
 @register("sigmoid_indices", B.with_roles("deterministic") + """SELECT SK_ID_CURR, 1 / (1 + exp(-(3.0 * (EXT_SOURCE_2 - 0.5)))) AS RISK_SAT,
           1 / (1 + exp(-(-1.0 + 2.0 * EXT_SOURCE_2 + -0.5 * EXT_SOURCE_3))) AS SCORE_INDEX FROM deterministic""")
 def q_sigmoid_indices(spark, d):
