@@ -60,6 +60,10 @@ def delete_path(spark: SparkSession, path: str) -> None:
 def prepare(spark: SparkSession) -> None:
     """What all operators ask of a session: the package on the workers, and small batches of texts."""
     package_on_workers(spark)
+    # workers are reused: what a task frees goes back to the system, not to the worker's heap
+    env = spark.sparkContext.environment
+    env.setdefault("MALLOC_MMAP_THRESHOLD_", str(1 << 18))
+    env.setdefault("ARROW_DEFAULT_MEMORY_POOL", "system")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 

@@ -25,7 +25,7 @@ SHARED_LEAST = 26
 #: Documents of one side of a block in which all pairs are compared, and of a pivot's group.
 BLOCK = 1024
 #: Shingles of one comparison task, about.
-TASK_VALUES = 4_000_000
+TASK_VALUES = 1_000_000
 #: Bits of the filter by which a scan finds the documents that need their full sets.
 FILTER_BITS = 1 << 24
 #: Columns of one slab of the membership matrix.

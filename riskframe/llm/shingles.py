@@ -7,6 +7,8 @@ import numpy as np
 U = np.uint64
 BASE = 0x9E3779B97F4A7C15
 SHINGLE_WORDS = 5
+#: Powers are made in steps of so many, and kept up to so many.
+STEP, KEEP = 1 << 17, 5 << 18
 
 _space = np.zeros(256, bool)
 _space[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -19,12 +21,11 @@ def powers(base: int, n: int) -> np.ndarray:
     """base^0 .. base^(n-1) modulo 2^64."""
     have = _powers.get(base)
     if have is None or len(have) < n:
-        size = max(n, 1 << 16, 2 * len(have) if have is not None and len(have) < 1 << 21 else 0)
-        p = np.full(size, U(base))
+        p = np.full(-(-n // STEP) * STEP, U(base))
         p[0] = 1
         with np.errstate(over="ignore"):
             have = np.cumprod(p, dtype=np.uint64)
-        if size <= 1 << 22:
+        if len(have) <= KEEP:
             _powers[base] = have
     return have[:n]
 

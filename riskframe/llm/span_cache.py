@@ -9,7 +9,7 @@ import numpy as np
 from riskframe.llm.shingles import span_hashes
 
 #: Spans that a worker keeps before it starts anew (about 13 bytes and the ids each).
-LIMIT = 2_000_000
+LIMIT = 1_000_000
 
 
 class SpanCache:
