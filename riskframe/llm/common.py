@@ -16,7 +16,7 @@ from pyspark.sql.types import IntegerType
 from riskframe.session import package_on_workers
 
 #: Rows of one Arrow batch: whole texts are carried in them, on both sides of a worker's pipe.
-BATCH_ROWS = 1_000
+BATCH_ROWS = 2_000
 #: Rows that one window partition of a prefix sum holds, on average.
 ROWS_PER_CELL = 1_000_000
 #: Fewest cells of a prefix sum.
@@ -62,7 +62,7 @@ def prepare(spark: SparkSession) -> None:
     package_on_workers(spark)
     # workers are reused: what a task frees goes back to the system, not to the worker's heap
     env = spark.sparkContext.environment
-    env.setdefault("MALLOC_MMAP_THRESHOLD_", str(1 << 18))
+    env.setdefault("MALLOC_MMAP_THRESHOLD_", str(1 << 20))
     env.setdefault("ARROW_DEFAULT_MEMORY_POOL", "system")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 

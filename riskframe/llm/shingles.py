@@ -21,7 +21,7 @@ def powers(base: int, n: int) -> np.ndarray:
     """base^0 .. base^(n-1) modulo 2^64."""
     have = _powers.get(base)
     if have is None or len(have) < n:
-        p = np.full(-(-n // STEP) * STEP, U(base))
+        p = np.full(max(1, -(-n // STEP)) * STEP, U(base))
         p[0] = 1
         with np.errstate(over="ignore"):
             have = np.cumprod(p, dtype=np.uint64)

@@ -25,6 +25,8 @@ from riskframe.llm.span_cache import SpanCache
 
 #: Appended to every document.
 END_ID = 2
+#: Distinct pieces whose ids a worker keeps.
+CACHE_PIECES = 3_000_000
 #: Ids of a block, about (a longer document is a block of its own).
 BLOCK_IDS = 1 << 18
 
@@ -57,7 +59,7 @@ class PieceEncoder:
         self.special = re.compile("|".join(added) or r"(?!)").search
         self.opens = np.array([(self.tokenizer.id_to_token(i) or "").startswith("\u0120") for i in range(size)])
         self.wide = size > 1 << 16
-        self.cache = SpanCache(self.learn)
+        self.cache = SpanCache(self.learn, CACHE_PIECES)
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         run = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
