@@ -181,6 +181,18 @@ def fair_objective(df: DataFrame, lam: float | str, keys: Sequence[str] = (), sc
                       (F.col("bce") + F.col("lam") * rho * rho).alias("objective"))
 
 
+def gap_objective(df: DataFrame, lam: float | str, keys: Sequence[str] = (), score: str = "p",
+                  label: str = "y", sensitive: str = "s", clip: float = 1e-7) -> DataFrame:
+    """M15, older form: BCE + lambda * |mean(p | s = 0) - mean(p | s = 1)|."""
+    p = F.least(F.greatest(F.col(score), F.lit(clip)), F.lit(1 - clip))
+    y, s = F.col(label).cast("double"), F.col(sensitive)
+    lam_c = F.lit(float(lam)) if not isinstance(lam, str) else F.first(F.col(lam))
+    agg = df.groupBy(*keys).agg(
+        F.avg(-(y * F.log(p) + (1 - y) * F.log(1 - p))).alias("bce"),
+        F.abs(F.avg(F.when(s == 0, F.col(score))) - F.avg(F.when(s == 1, F.col(score)))).alias("gap"), lam_c.alias("lam"))
+    return agg.select(*keys, "lam", "bce", "gap", (F.col("bce") + F.col("lam") * F.col("gap")).alias("objective"))
+
+
 def mean_gap(df: DataFrame, keys: Sequence[str] = (), value: str = "p", sensitive: str = "s",
              group_a=0, group_b=1) -> DataFrame:
     """|mean(value | s = a) - mean(value | s = b)|."""

@@ -174,6 +174,15 @@ def _scored_split(spark, d):
 SSP = split_sql("scored", "id", ["y", "s"], "ssp")
 
 
+def _nulls_per_order(spark, d):
+    """Null count of the customer of every order, of whatever gender code."""
+    o = B.read_table(spark, d, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_custkey"))
+    app = B.application(spark, d)
+    nulls = sum((F.col(c).isNull().cast("int") for c in EXT), F.lit(0))
+    app = app.select(F.col("SK_ID_CURR").alias("o_custkey"), nulls.alias("ext_null_count"))
+    return o.join(app, "o_custkey").select("id", "ext_null_count")
+
+
 def _uncertainty_rows(spark, d):
     """Validation fits the binned error model and the Youden threshold; test rows
     get their uncertainty."""
@@ -181,19 +190,24 @@ def _uncertainty_rows(spark, d):
     val = sp.filter(F.col("split") == "validation")
     model = U.fit_binned_error(val, n_bins=N_BINS)
     t = A.youden(val).first()["threshold"]
-    test = sp.filter(F.col("split") == "test")
-    return U.prediction_table(U.apply_binned_error(test, model, n_bins=N_BINS), threshold=t)
+    test = sp.filter(F.col("split") == "test").join(_nulls_per_order(spark, d), "id", "left")
+    return U.prediction_table(U.apply_binned_error(test, model, n_bins=N_BINS), threshold=t, null_count="ext_null_count")
+
+
+EXT = ("EXT_SOURCE_1", "EXT_SOURCE_2", "EXT_SOURCE_3")
+NULLS_CTE = "nulls AS (SELECT o_orderkey AS id, " + " + ".join(f"CAST({c} IS NULL AS INTEGER)" for c in EXT) + """ AS ext_null_count
+              FROM orders JOIN application ON o_custkey = SK_ID_CURR)"""
 
 
-UNC_CTES = SSP + f""",
+UNC_CTES = SSP + ",\n" + NULLS_CTE + f""",
 val AS (SELECT *, 'v' AS k FROM ssp WHERE split = 'validation'),
 {cum_cte('val', 'k', 'vcum')},
 {youden_cte('k', 'vcum')},
 binerr AS (SELECT CAST(least(floor(p * {N_BINS}), {N_BINS - 1}) AS INTEGER) AS b, avg(abs(p - CAST(y AS DOUBLE))) AS u
            FROM val GROUP BY 1),
 pred AS (SELECT t.id, t.y AS y_true, t.p AS y_proba, CAST(t.p >= yt.threshold AS INTEGER) AS y_pred, t.s AS sensitive,
-           yt.threshold, coalesce(be.u, (SELECT avg(abs(p - CAST(y AS DOUBLE))) FROM val)) AS uncertainty
-         FROM (SELECT * FROM ssp WHERE split = 'test') t CROSS JOIN youden_t yt
+           yt.threshold, nulls.ext_null_count, coalesce(be.u, (SELECT avg(abs(p - CAST(y AS DOUBLE))) FROM val)) AS uncertainty
+         FROM (SELECT * FROM ssp WHERE split = 'test') t CROSS JOIN youden_t yt LEFT JOIN nulls ON nulls.id = t.id
          LEFT JOIN binerr be ON CAST(least(floor(t.p * {N_BINS}), {N_BINS - 1}) AS INTEGER) = be.b)"""
 
 
@@ -204,13 +218,13 @@ def q_error_target(spark, d):
     return U.error_target(_scored_split(spark, d).filter(F.col("split") == "validation"))
 
 
-@register("prediction_table", B.with_roles("scored", extra=UNC_CTES) + "SELECT * FROM pred")
+@register("prediction_table", B.with_roles("scored", "application", extra=UNC_CTES) + "SELECT * FROM pred")
 def q_prediction_table(spark, d):
     """U2 (binned) + U4: test prediction rows with validation-fitted uncertainty."""
     return _uncertainty_rows(spark, d)
 
 
-@register("clip_check", B.with_roles("scored", extra=UNC_CTES)
+@register("clip_check", B.with_roles("scored", "application", extra=UNC_CTES)
           + """SELECT count(*) AS n, count_if(uncertainty IS NULL OR isnan(uncertainty) OR isinf(uncertainty)) AS n_non_finite,
                  count(DISTINCT round(CASE WHEN uncertainty < 0 THEN 0 WHEN uncertainty > 1 THEN 1 ELSE uncertainty END, 8)) AS n_distinct,
                  min(CASE WHEN uncertainty < 0 THEN 0 WHEN uncertainty > 1 THEN 1 ELSE uncertainty END) AS min_u,
@@ -226,13 +240,13 @@ def _summary_sql(src: str, group: str, value: str) -> str:
         quantile_cont({value}, 0.75) - quantile_cont({value}, 0.25) AS iqr FROM {src} GROUP BY {group}"""
 
 
-@register("uncert_by_target", B.with_roles("scored", extra=UNC_CTES) + _summary_sql("pred", "y_true", "uncertainty"))
+@register("uncert_by_target", B.with_roles("scored", "application", extra=UNC_CTES) + _summary_sql("pred", "y_true", "uncertainty"))
 def q_uncert_by_target(spark, d):
     """Uncertainty summary per true class (exact quartiles)."""
     return U.summary_by(_uncertainty_rows(spark, d), "y_true")
 
 
-@register("uncert_histogram", B.with_roles("scored", extra=UNC_CTES)
+@register("uncert_histogram", B.with_roles("scored", "application", extra=UNC_CTES)
           + """SELECT y_pred, y_true, CAST(least(greatest(floor(uncertainty * 30), 0), 29) AS INTEGER) AS bin, count(*) AS n
                FROM pred GROUP BY 1, 2, 3""")
 def q_uncert_histogram(spark, d):
@@ -255,9 +269,6 @@ def _ensemble(spark, d):
     return var.join(labels, "id")
 
 
-EXT = ("EXT_SOURCE_1", "EXT_SOURCE_2", "EXT_SOURCE_3")
-NULLS_CTE = "nulls AS (SELECT o_orderkey AS id, " + " + ".join(f"CAST({c} IS NULL AS INTEGER)" for c in EXT) + """ AS ext_null_count
-              FROM orders JOIN application ON o_custkey = SK_ID_CURR)"""
 ENS_CTE = """ens AS (SELECT id, avg(p) AS mean_p, var_pop(p) AS var_p, count(*) AS n_passes, max(y) AS y
                 FROM scored_models GROUP BY id)"""
 
@@ -275,15 +286,6 @@ def q_variance_by_class(spark, d):
     return U.variance_by_class(_ensemble(spark, d), "y")
 
 
-def _nulls_per_order(spark, d):
-    """Null count of the customer of every order, of whatever gender code."""
-    o = B.read_table(spark, d, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_custkey"))
-    app = B.application(spark, d)
-    nulls = sum((F.col(c).isNull().cast("int") for c in EXT), F.lit(0))
-    app = app.select(F.col("SK_ID_CURR").alias("o_custkey"), nulls.alias("ext_null_count"))
-    return o.join(app, "o_custkey").select("id", "ext_null_count")
-
-
 @register("class_variance_ratio", B.with_roles("scored_models", extra=ENS_CTE) + """SELECT mean_0, mean_1, mean_1 / nullif(mean_0, 0) AS ratio
           FROM (SELECT avg(CASE WHEN y = 0 THEN var_p END) AS mean_0, avg(CASE WHEN y = 1 THEN var_p END) AS mean_1 FROM ens)""")
 def q_class_variance_ratio(spark, d):
@@ -301,11 +303,10 @@ def q_variance_by_missing(spark, d):
     return U.variance_by_missing(_ensemble(spark, d).join(_nulls_per_order(spark, d), "id"))
 
 
-@register("uncert_by_nulls", B.with_roles("scored", "application", extra=UNC_CTES + ",\n" + NULLS_CTE + """,
-    predn AS (SELECT * FROM pred JOIN nulls USING (id))""") + _summary_sql("predn", "ext_null_count", "uncertainty"))
+@register("uncert_by_nulls", B.with_roles("scored", "application", extra=UNC_CTES) + _summary_sql("pred", "ext_null_count", "uncertainty"))
 def q_uncert_by_nulls(spark, d):
     """Uncertainty summary per customer null count."""
-    return U.summary_by(_uncertainty_rows(spark, d).join(_nulls_per_order(spark, d), "id"), "ext_null_count")
+    return U.summary_by(_uncertainty_rows(spark, d), "ext_null_count")
 
 
 # ---------------------------------------------------------------- profiles (E)

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from riskframe.operators import audit as A
+from riskframe.operators import split as P
 from riskframe.plans import bindings as B
+from riskframe.plans.q_prep import SEED, split_sql
 from riskframe.plans.registry import register
 
 MK = ["model_id"]
@@ -183,14 +185,26 @@ def q_mean_gap(spark, d):
     return A.mean_gap(B.scored_models(spark, d), MK)
 
 
-@register("base_rate_gap", B.with_roles("scored")
+@register("base_rate_gap", B.with_roles("scored", extra=split_sql("scored", "id", ["y", "s"], "ssp"))
           + """SELECT avg(CASE WHEN s = 0 THEN CAST(y AS DOUBLE) END) AS mean_a,
                  avg(CASE WHEN s = 1 THEN CAST(y AS DOUBLE) END) AS mean_b,
                  abs(avg(CASE WHEN s = 0 THEN CAST(y AS DOUBLE) END) - avg(CASE WHEN s = 1 THEN CAST(y AS DOUBLE) END)) AS gap
-               FROM scored""")
+               FROM ssp WHERE split = 'train'""")
 def q_base_rate_gap(spark, d):
-    """Observed target-rate gap between groups."""
-    return A.mean_gap(B.scored(spark, d), [], value="y")
+    """Observed target-rate gap between groups, of the training rows."""
+    sp = P.stratified_split(B.scored(spark, d), id_col="id", strata=["y", "s"], seed=SEED)
+    return A.mean_gap(sp.where("split = 'train'"), [], value="y")
+
+
+@register("gap_objective", B.with_roles("scored_models")
+          + """SELECT model_id, lam, bce, gap, bce + lam * gap AS objective FROM (
+                 SELECT model_id, first(lam) AS lam,
+                   avg(-(y * ln(least(greatest(p, 1e-7), 1 - 1e-7)) + (1 - y) * ln(1 - least(greatest(p, 1e-7), 1 - 1e-7)))) AS bce,
+                   abs(avg(CASE WHEN s = 0 THEN p END) - avg(CASE WHEN s = 1 THEN p END)) AS gap
+                 FROM scored_models GROUP BY model_id)""")
+def q_gap_objective(spark, d):
+    """M15, older form: BCE + lambda times the gap of the mean scores, per sweep model."""
+    return A.gap_objective(B.scored_models(spark, d), "lam", MK)
 
 
 @register("fair_objective", B.with_roles("scored_models")

@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskframe.functions.exprs import nan_to_null
+
 # The driver's test tables.
 TEST_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
                "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -28,8 +30,11 @@ def table_path(d: str, name: str) -> str:
 
 def read_table(spark: SparkSession, d: str, name: str,
                columns: Sequence[str] | None = None) -> DataFrame:
+    """The table's columns; a float NaN is a missing value from here on."""
     df = spark.read.parquet(table_path(d, name))
-    return df.select(*columns) if columns else df
+    df = df.select(*columns) if columns else df
+    floats = [f.name for f in df.schema.fields if f.dataType.typeName() in ("double", "float")]
+    return df.withColumns({c: nan_to_null(c) for c in floats}) if floats else df
 
 
 def read_csv(spark: SparkSession, path: str, schema, columns: Sequence[str] | None = None,
