@@ -57,8 +57,8 @@ def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
 
 def _stat(stat: str, x: Column) -> Column:
     stat = stat.lower()
-    if stat == "mean":
-        return F.avg(x)
+    if stat == "mean":  # shares the buffers of the block's sum and count
+        return F.try_divide(F.sum(x).cast("double"), F.count(x))
     if stat == "max":
         return F.max(x)
     if stat == "min":
