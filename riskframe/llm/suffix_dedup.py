@@ -362,9 +362,10 @@ def repeated_spans(docs: DataFrame, named: DataFrame) -> tuple[DataFrame, tuple]
 
 
 def _hot_runs(docs: DataFrame, maps, hot: np.ndarray) -> DataFrame:
-    """(t1, t2, s, e) of the repeated windows whose anchors have a hot K-gram; one row per window.
+    """(t1, t2, s, e) of the repeated windows whose anchors have a hot K-gram, as runs of bytes.
 
-    Equal windows meet by digest after a partial aggregation, so no task holds a group.
+    Windows that are equal within a slice are settled there; one of them, and every single one, meets
+    those of other slices by digest.  So a digest has at most one row per slice, however often it stands.
     """
     second = 0xC2B2AE3D27D4EB4F
 
@@ -386,13 +387,34 @@ def _hot_runs(docs: DataFrame, maps, hot: np.ndarray) -> DataFrame:
                     inv = powers(pow(base, -1, 1 << 64), len(part) + 1)
                     digests.append(mix((h[start + LENGTH] - h[start]) * inv[start]).astype(np.int64))
             pos = start - po[np.repeat(text[use], n)] + at
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (*digests, own[:, 0].copy(), own[:, 1].copy(), pos)],
-                                             ["w1", "w2", "t1", "t2", "pos"])
-
-    rows = _scan(docs, maps, windows, "w1 bigint, w2 bigint, t1 bigint, t2 bigint, pos bigint")
-    place = F.xxhash64("t1", "t2", "pos")
-    twice = rows.groupBy("w1", "w2").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a != b").select("w1", "w2")
-    return rows.join(twice, ["w1", "w2"]).select("t1", "t2", F.col("pos").alias("s"), (F.col("pos") + LENGTH).alias("e"))
+            order = np.lexsort((start, digests[1], digests[0]))
+            w1, w2, own, pos = digests[0][order], digests[1][order], own[order], pos[order]
+            place = np.column_stack((own, pos))
+            new = np.ones(len(order), bool)
+            new[1:] = (w1[1:] != w1[:-1]) | (w2[1:] != w2[:-1])
+            group = np.cumsum(new) - 1
+            lead = np.flatnonzero(new)
+            many = np.zeros(len(lead), bool)
+            many[group[(place != place[lead[group]]).any(axis=1)]] = True
+            # windows that stand twice in this slice are known; the others wait for the other slices
+            found = np.flatnonzero(many[group])
+            found = found[np.lexsort((pos[found], own[found, 1], own[found, 0]))]
+            same = np.zeros(len(found), bool)
+            same[1:] = (own[found[1:]] == own[found[:-1]]).all(axis=1) & (pos[found[1:]] <= pos[found[:-1]] + 1)
+            first_, last_ = np.flatnonzero(~same), np.flatnonzero(~np.append(same[1:], False)) if len(found) else np.zeros(0, int)
+            keys = [np.concatenate((v[lead], np.zeros(len(first_), np.int64))) for v in (w1, w2)]
+            waits = np.arange(len(lead) + len(first_)) < len(lead)
+            pick = np.concatenate((lead, found[first_]))
+            end = np.concatenate((pos[lead], pos[found[last_]])) + LENGTH
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (
+                waits, *keys, own[pick, 0].copy(), own[pick, 1].copy(), pos[pick], end)], ["waits", "w1", "w2", "t1", "t2", "s", "e"])
+
+    rows = cut(_scan(docs, maps, windows, "waits boolean, w1 bigint, w2 bigint, t1 bigint, t2 bigint, s bigint, e bigint"))
+    single = rows.where("waits")
+    place = F.xxhash64("t1", "t2", "s")
+    twice = single.groupBy("w1", "w2").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a != b").select("w1", "w2")
+    return (single.join(twice, ["w1", "w2"]).select("t1", "t2", "s", "e")
+            .unionByName(rows.where("not waits").select("t1", "t2", "s", "e")))
 
 
 def without_spans(raw: bytes, spans) -> bytes:
