@@ -45,6 +45,9 @@ class Model:
     starts: np.ndarray
     dummy_prefix: bool
 
+    def __post_init__(self) -> None:
+        self.key_seen, self.pair_seen = seen_table(self.keys), seen_table(self.pair_keys)
+
     @property
     def size(self) -> int:
         return len(self.rank) - 1
@@ -55,6 +58,30 @@ class Model:
         return self.size
 
 
+#: Bits of the table that tells at once that a hash is none of the sorted keys.
+SEEN_BITS = 18
+
+
+def seen_table(keys: np.ndarray) -> np.ndarray:
+    out = np.zeros(1 << SEEN_BITS, bool)
+    out[slots(keys)] = True
+    return out
+
+
+def slots(keys: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return (keys.astype(np.uint64) * U(0x9E3779B97F4A7C15) >> U(64 - SEEN_BITS)).astype(np.int64)
+
+
+def probe(keys: np.ndarray, seen: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(places in ``wanted`` (flat) that are among the sorted keys, their positions in ``keys``)."""
+    at = np.flatnonzero(seen[slots(wanted)])
+    some = wanted.ravel()[at]
+    i = np.minimum(np.searchsorted(keys, some), len(keys) - 1)
+    ok = keys[i] == some
+    return at[ok], i[ok]
+
+
 def hash_text(codes: np.ndarray) -> np.ndarray:
     h = np.zeros(codes.shape[0], np.uint64)
     with np.errstate(over="ignore"):
@@ -129,8 +156,9 @@ def stays_apart(m: Model, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     limit = np.full(len(a), np.iinfo(np.int64).max)
     while len(at):
         key = a * (m.size + 1) + b
-        i = np.minimum(np.searchsorted(m.pair_keys, key), len(m.pair_keys) - 1)
-        merges = (m.pair_keys[i] == key) & (m.pair_rank[i] < limit)
+        hit, i = probe(m.pair_keys, m.pair_seen, key)
+        merges = np.zeros(len(key), bool)
+        merges[hit] = m.pair_rank[i] < limit[hit]
         ok[at[merges]] = False
         ra, rb = m.rank[a], m.rank[b]
         on = ~merges & ((ra >= 0) | (rb >= 0))
@@ -189,8 +217,10 @@ def lattice(m: Model, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         h = np.zeros((rows, n), np.uint64)
         for size in range(1, top + 1):
             h = h[:, :n - size + 1] * U(BASE) + codes[:, size - 1:].astype(np.uint64) + U(1)
-            i = np.minimum(np.searchsorted(m.keys, h), len(m.keys) - 1)
-            ids.append(np.where(m.keys[i] == h, m.key_ids[i], m.other if size == 1 else -1))
+            found = np.full(h.shape, m.other if size == 1 else -1, np.int32)
+            hit, i = probe(m.keys, m.key_seen, h)
+            found.ravel()[hit] = m.key_ids[i]
+            ids.append(found)
     last, back = np.full((rows, n + 1), -1), np.zeros((rows, n + 1), np.int64)
     for i in range(1, n + 1):
         reach = min(i, top)
