@@ -23,10 +23,6 @@ ROWS_PER_CELL = 1_000_000
 MIN_CELLS = 256
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
-
-
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder; a folder of our own only in local mode (tests, laptops)."""
     sc = spark.sparkContext

@@ -52,8 +52,8 @@ def signatures(docs: DataFrame, k: int = SKETCH_K) -> DataFrame:
         run, "doc_id bigint, text_hash bigint, n_shingles bigint, h1 bigint, h2 bigint, sketch binary")
 
 
-def wanted(size, n, k: int = SKETCH_K):
-    """Values that a sketch of ``size`` of n shingles shares at least with that of any linked text."""
+def wanted(n):
+    """Values that the sketch of a text of n shingles shares at least with that of any linked text."""
     return F.least(F.ceil(n * PERCENT / 100), F.lit(SHARED_LEAST)).cast("int")
 
 
@@ -80,7 +80,7 @@ def inverted_lists(nodes: DataFrame) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy("node").orderBy("df", "value"))
     alone = F.col("size") - F.count(F.lit(1)).over(Window.partitionBy("node"))
     held = held.select("node", "value", "n", "size", rank.alias("rank"), alone.alias("alone"))
-    return (held.where(F.col("alone") + F.col("rank") <= F.col("size") - wanted(F.col("size"), F.col("n")) + 1)
+    return (held.where(F.col("alone") + F.col("rank") <= F.col("size") - wanted(F.col("n")) + 1)
             .select("value", "node"))
 
 
