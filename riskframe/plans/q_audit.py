@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from riskframe.operators import audit as A
 from riskframe.operators import split as P
 from riskframe.plans import bindings as B

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from riskframe.operators import audit as A
 from riskframe.operators import bootstrap as BS
 from riskframe.operators import learners as L
-from riskframe.operators import rows as D
 from riskframe.operators import split as P
 from riskframe.operators import sweep as W
 from riskframe.operators import uncertainty as U

@@ -1,6 +1,5 @@
 import math
 
-import pytest
 from pyspark.sql import functions as F
 
 from riskframe.operators import audit as A

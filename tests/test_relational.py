@@ -1,6 +1,5 @@
 import math
 
-from pyspark.sql import functions as F
 
 from riskframe.operators import relational as R
 

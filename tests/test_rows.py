@@ -1,7 +1,5 @@
 import math
 
-from pyspark.sql import functions as F
-
 from riskframe.functions.exprs import clip_lower, flag_gt, ratio_plus_one
 from riskframe.operators import rows as D
 
