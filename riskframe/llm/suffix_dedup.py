@@ -10,6 +10,10 @@ so equal K-grams never lie on two sides of a bucket's boundary; the comparison a
 decided by the splitters themselves.  A K-gram that stands so often that its suffixes would not fit a
 bucket (HOT) is split further: its windows are dealt out one by one, by a 128-bit digest, and combined
 before the shuffle.
+
+The pipeline's stage judges repeats by WORDS words as well, however few bytes they take: windows of WORDS
+words are owned by their smallest gram of GRAM_WORDS words.  If all windows of a repeated gram's anchors
+agree, one row per anchor settles them; the windows of the other repeated grams meet by digest.
 """
 
 from __future__ import annotations
@@ -25,13 +29,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskframe.llm.common import byte_slices, cut, partitions, text_buffer
-from riskframe.llm.shingles import BASE, mix, powers
+from riskframe.llm.shingles import BASE, mix, powers, span_hashes, word_spans
 
 #: Bytes of a string that may not occur twice.
 LENGTH = 400
 #: Bytes of the K-gram at an anchor, and of the splitters.
 K = 160
 LEAD = 96
+#: Words (as in ``word_spans``) of a passage that the pipeline's stage does not keep twice, and of its anchors' grams.
+WORDS = 51
+GRAM_WORDS = 20
 #: A K-gram that more anchors than these have is split by the content of its windows.
 HOT = 100_000
 #: Bits of the maps by which a scan leaves out what cannot be repeated.
@@ -65,6 +72,18 @@ def text_ids(raw: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(hashlib.sha256(t).digest()[:16] for t in raw), "<i8").reshape(-1, 2)
 
 
+def owners(gram: np.ndarray, w: int) -> np.ndarray:
+    """Where the smallest of each ``w`` neighbouring hashes stands, the leftmost if equal."""
+    low = gram & ~np.uint64(0xFFFFFF) | np.arange(len(gram), dtype=np.uint64)
+    span = 1
+    while 2 * span <= w:
+        low = np.minimum(low[:-span], low[span:])
+        span *= 2
+    if w > span:
+        low = np.minimum(low[:len(low) - (w - span)], low[w - span:])
+    return (low & np.uint64(0xFFFFFF)).astype(np.int64)
+
+
 def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, k: int = K):
     """(text, first window, last window, anchor, K-gram hash) of all runs of windows with one anchor.
 
@@ -79,14 +98,7 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, k: int
         np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(BASE, n), out=h[1:])
         inv = powers(pow(BASE, -1, 1 << 64), n + 1)
         gram = mix((h[k:] - h[:-k]) * inv[:n - k + 1])
-    low = gram & ~np.uint64(0xFFFFFF) | np.arange(len(gram), dtype=np.uint64)
-    span = 1
-    while 2 * span <= w:
-        low = np.minimum(low[:-span], low[span:])
-        span *= 2
-    if w > span:
-        low = np.minimum(low[:len(low) - (w - span)], low[w - span:])
-    owner = (low & np.uint64(0xFFFFFF)).astype(np.int64)  # one for each window start 0 .. n - length
+    owner = owners(gram, w)  # one for each window start 0 .. n - length
     text = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))[:len(owner)]
     valid = np.arange(len(owner)) + length <= offsets[text + 1]
     at = np.flatnonzero(valid)
@@ -112,6 +124,41 @@ def pieces(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, limit: i
                 yield lo, part, np.array([0, len(part)]), c - a
 
 
+def word_anchors(data: np.ndarray, offsets: np.ndarray):
+    """(text, first window, last window, anchor, gram hash) of all runs, and start and end of each window.
+
+    As ``anchors``, for windows of WORDS words; windows and anchors are numbered by their first word.
+    """
+    z = np.zeros(0, np.int64)
+    text, start, end = word_spans(data, offsets)
+    m = len(text) - WORDS + 1
+    if m < 1:
+        return z, z, z, z, z.astype(np.uint64), z, z
+    gram = span_hashes(data, start[:len(start) - GRAM_WORDS + 1], end[GRAM_WORDS - 1:], fold=False)
+    owner = owners(gram, WORDS - GRAM_WORDS + 1)
+    at = np.flatnonzero(text[:m] == text[WORDS - 1:])
+    new = np.ones(len(at), bool)
+    new[1:] = (owner[at[1:]] != owner[at[:-1]]) | (text[at[1:]] != text[at[:-1]])
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(at))[:len(first)] - 1
+    a = owner[at[first]]
+    return text[at[first]], at[first], at[last], a, gram[a], start[:m], end[WORDS - 1:]
+
+
+def word_pieces(data: np.ndarray, offsets: np.ndarray, limit: int = SLICE):
+    """As ``pieces``, for windows of WORDS words: long texts are cut at words, with an overlap."""
+    for lo, hi in byte_slices(offsets, limit):
+        a, b = offsets[lo], offsets[hi]
+        if b - a <= 2 * limit:
+            yield lo, data[a:b], offsets[lo:hi + 1] - a, 0
+        else:
+            _, start, end = word_spans(data[a:b], np.array([0, b - a]))
+            step = max(1, limit // 8)
+            for c in range(0, len(start) - WORDS + 1, step):
+                part = data[a + start[c]:a + end[min(c + step + WORDS - 1, len(end)) - 1]]
+                yield lo, part, np.array([0, len(part)]), int(start[c])
+
+
 def word_sort(rows: np.ndarray, sizes: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(order, common): byte strings in order within groups, and the common prefix of neighbours.
 
@@ -220,8 +267,8 @@ def _kept_texts(keys: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return several, owners
 
 
-def _scan(docs: DataFrame, maps, emit, schema: str) -> DataFrame:
-    """Run ``emit(raw texts, ids, data, offsets)`` over one row per distinct text (or a few)."""
+def _scan(docs: DataFrame, maps, emit, schema: str, least: int = LENGTH) -> DataFrame:
+    """Run ``emit(ids, data, offsets)`` over one row per distinct text (or a few) of ``least`` bytes or more."""
     several, owners = maps
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -234,7 +281,7 @@ def _scan(docs: DataFrame, maps, emit, schema: str) -> DataFrame:
                 raw = [data[a:b].tobytes() for a, b in zip(o[:-1], o[1:])]
                 ids = text_ids(raw)
                 names = batch.column(0).slice(lo, hi - lo).fill_null(-1).to_numpy()
-                keep = np.flatnonzero((~has_bit(several, ids[:, 0]) | has_bit(owners, names)) & (np.diff(o) >= LENGTH))
+                keep = np.flatnonzero((~has_bit(several, ids[:, 0]) | has_bit(owners, names)) & (np.diff(o) >= least))
                 if len(keep) < len(raw):
                     raw, ids = [raw[i] for i in keep], ids[keep]
                     data = np.frombuffer(b"".join(raw), np.uint8)
@@ -260,12 +307,12 @@ def identify(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, n_bytes bigint, sha256 string, t1 bigint, t2 bigint")
 
 
-def repeated_spans(docs: DataFrame, named: DataFrame) -> tuple[DataFrame, tuple]:
+def repeated_spans(docs: DataFrame, named: DataFrame, words: bool = False) -> tuple[DataFrame, tuple]:
     """(t1, t2, spans) of every distinct text with repeated bytes, and the maps of its scan.
 
     Spans are maximal runs of bytes that are covered by a LENGTH-byte string which also starts
-    anywhere else.  Equal texts share every suffix: one of them is sorted, and if it has LENGTH bytes
-    or more, all of it is repeated.
+    anywhere else, or with ``words`` by such a string of WORDS whole words.  Equal texts share every
+    suffix: one of them is sorted, and if it has LENGTH bytes or more, all of it is repeated.
     """
     keys = cut(named.groupBy("t1", "t2").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("rep"),
                                              F.first("n_bytes").alias("n_bytes")))
@@ -352,6 +399,8 @@ def repeated_spans(docs: DataFrame, named: DataFrame) -> tuple[DataFrame, tuple]
         runs = runs.unionByName(_hot_runs(docs, maps, hot))
     runs = runs.unionByName(keys.where(f"copies > 1 and n_bytes >= {LENGTH}").select("t1", "t2", F.lit(0).cast("bigint").alias("s"),
                                                                                  F.col("n_bytes").alias("e")))
+    if words:
+        runs = runs.unionByName(_word_runs(docs, keys, maps))
     order = Window.partitionBy("t1", "t2").orderBy("s", "e")
     upto = F.max("e").over(order.rowsBetween(Window.unboundedPreceding, -1))
     island = F.sum(F.coalesce((F.col("s") > F.col("upto")).cast("int"), F.lit(0))).over(order.rowsBetween(Window.unboundedPreceding, 0))
@@ -362,33 +411,104 @@ def repeated_spans(docs: DataFrame, named: DataFrame) -> tuple[DataFrame, tuple]
 
 
 def _hot_runs(docs: DataFrame, maps, hot: np.ndarray) -> DataFrame:
-    """(t1, t2, s, e) of the repeated windows whose anchors have a hot K-gram, as runs of bytes.
+    """(t1, t2, s, e) of the repeated windows whose anchors have a hot K-gram, as runs of bytes."""
+
+    def chosen(data, o):
+        for lo, part, po, at in pieces(data, o):
+            text, first, last, _, gram = anchors(part, po)
+            use = np.flatnonzero(has_bit(hot, gram.astype(np.int64)))
+            start = _each(first[use], last[use])
+            text = np.repeat(text[use], last[use] - first[use] + 1)
+            yield part, lo + text, start, start + LENGTH, at - po[text]
+
+    return _equal_windows(docs, maps, chosen, LENGTH)
+
+
+def _each(first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """first[0] .. last[0], first[1] .. last[1], ..."""
+    n = last - first + 1
+    ends = np.cumsum(n)
+    return np.arange(n.sum()) + np.repeat(first - (ends - n), n)
+
+
+def _word_runs(docs: DataFrame, keys: DataFrame, maps) -> DataFrame:
+    """(t1, t2, s, e) of the strings of WORDS whole words that also start elsewhere, as runs of bytes."""
+    least = 2 * WORDS - 1
+    several = maps[0]
 
+    def grams(ids, data, o):
+        for lo, part, po, at in word_pieces(data, o):
+            text, first, last, a, gram, start, end = word_anchors(part, po)
+            place = np.zeros(0, np.uint64) if len(text) == 0 else start[first] - po[text] + at
+            with np.errstate(over="ignore"):
+                place = mix(ids[lo + text, 0].astype(np.uint64) + place.astype(np.uint64) * np.uint64(BASE))
+                run = mix(span_hashes(part, start[first], end[last], fold=False) + (a - first).astype(np.uint64))
+            yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in (gram, place, run)], ["gram", "place", "run"])
+
+    seen = cut(_scan(docs, maps, grams, "gram bigint, place bigint, run bigint", least).groupBy("gram").agg(
+        F.min("place").alias("a"), F.max("place").alias("b"), F.min("run").alias("r"), F.max("run").alias("q"))
+        .where("a != b").select("gram", F.expr("r = q").alias("agree")))
+    agree = bitmap(seen.where("agree"), F.col("gram"), GRAM_BITS)
+    mixed = bitmap(seen.where("not agree"), F.col("gram"), GRAM_BITS)
+
+    def settled(ids, data, o):
+        for lo, part, po, at in word_pieces(data, o):
+            text, first, last, _, gram, start, end = word_anchors(part, po)
+            use = np.flatnonzero(has_bit(agree, gram.astype(np.int64)))
+            own, shift = ids[lo + text[use]], at - po[text[use]]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (
+                gram[use].astype(np.int64), own[:, 0].copy(), own[:, 1].copy(), start[first[use]] + shift, end[last[use]] + shift)],
+                ["gram", "t1", "t2", "s", "e"])
+
+    def chosen(data, o):
+        for lo, part, po, at in word_pieces(data, o):
+            text, first, last, _, gram, start, end = word_anchors(part, po)
+            use = np.flatnonzero(has_bit(mixed, gram.astype(np.int64)))
+            w = _each(first[use], last[use])
+            text = np.repeat(text[use], last[use] - first[use] + 1)
+            yield part, lo + text, start[w], end[w], at - po[text]
+
+    def copied(ids, data, o):
+        text, start, end = word_spans(data, o)
+        n = np.bincount(text, minlength=len(o) - 1)
+        use = np.flatnonzero(has_bit(several, ids[:, 0]) & (n >= WORDS))
+        upto = np.cumsum(n)[use]
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (
+            ids[use, 0], ids[use, 1], start[upto - n[use]] - o[use], end[upto - 1] - o[use])], ["t1", "t2", "s", "e"])
+
+    runs = (_scan(docs, maps, settled, "gram bigint, t1 bigint, t2 bigint, s bigint, e bigint", least)
+            .join(seen.where("agree"), "gram", "left_semi").select("t1", "t2", "s", "e"))
+    if mixed.any():
+        runs = runs.unionByName(_equal_windows(docs, maps, chosen, least))
+    if several.any():
+        runs = runs.unionByName(_scan(docs, maps, copied, "t1 bigint, t2 bigint, s bigint, e bigint", least)
+                                .join(keys.where("copies > 1").select("t1", "t2"), ["t1", "t2"], "left_semi"))
+    return runs
+
+
+def _equal_windows(docs: DataFrame, maps, chosen, least: int) -> DataFrame:
+    """(t1, t2, s, e) of those windows that stand at several places, as runs of bytes.
+
+    ``chosen(data, offsets)`` yields (bytes, text, start, end, what to add for the place in the text).
     Windows that are equal within a slice are settled there; one of them, and every single one, meets
     those of other slices by digest.  So a digest has at most one row per slice, however often it stands.
     """
     second = 0xC2B2AE3D27D4EB4F
 
     def windows(ids, data, o):
-        for lo, part, po, at in pieces(data, o):
-            text, first, last, _, gram = anchors(part, po)
-            use = np.flatnonzero(has_bit(hot, gram.astype(np.int64)))
-            if len(use) == 0:
+        for part, text, start, end, shift in chosen(data, o):
+            if len(start) == 0:
                 continue
-            n = last[use] - first[use] + 1
-            ends = np.cumsum(n)
-            start = np.arange(ends[-1]) + np.repeat(first[use] - (ends - n), n)
-            own = ids[lo + np.repeat(text[use], n)]
+            own = ids[text]
             digests = []
             with np.errstate(over="ignore"):
                 for base in (BASE, second):
                     h = np.zeros(len(part) + 1, np.uint64)
                     np.cumsum((part.astype(np.uint64) + np.uint64(1)) * powers(base, len(part)), out=h[1:])
                     inv = powers(pow(base, -1, 1 << 64), len(part) + 1)
-                    digests.append(mix((h[start + LENGTH] - h[start]) * inv[start]).astype(np.int64))
-            pos = start - po[np.repeat(text[use], n)] + at
+                    digests.append(mix((h[end] - h[start]) * inv[start]).astype(np.int64))
             order = np.lexsort((start, digests[1], digests[0]))
-            w1, w2, own, pos = digests[0][order], digests[1][order], own[order], pos[order]
+            w1, w2, own, pos, stop = digests[0][order], digests[1][order], own[order], (start + shift)[order], (end + shift)[order]
             place = np.column_stack((own, pos))
             new = np.ones(len(order), bool)
             new[1:] = (w1[1:] != w1[:-1]) | (w2[1:] != w2[:-1])
@@ -400,16 +520,16 @@ def _hot_runs(docs: DataFrame, maps, hot: np.ndarray) -> DataFrame:
             found = np.flatnonzero(many[group])
             found = found[np.lexsort((pos[found], own[found, 1], own[found, 0]))]
             same = np.zeros(len(found), bool)
-            same[1:] = (own[found[1:]] == own[found[:-1]]).all(axis=1) & (pos[found[1:]] <= pos[found[:-1]] + 1)
+            same[1:] = (own[found[1:]] == own[found[:-1]]).all(axis=1) & (pos[found[1:]] <= stop[found[:-1]])
             first_, last_ = np.flatnonzero(~same), np.flatnonzero(~np.append(same[1:], False)) if len(found) else np.zeros(0, int)
             keys = [np.concatenate((v[lead], np.zeros(len(first_), np.int64))) for v in (w1, w2)]
             waits = np.arange(len(lead) + len(first_)) < len(lead)
             pick = np.concatenate((lead, found[first_]))
-            end = np.concatenate((pos[lead], pos[found[last_]])) + LENGTH
+            upto = np.concatenate((stop[lead], stop[found[last_]]))
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in (
-                waits, *keys, own[pick, 0].copy(), own[pick, 1].copy(), pos[pick], end)], ["waits", "w1", "w2", "t1", "t2", "s", "e"])
+                waits, *keys, own[pick, 0].copy(), own[pick, 1].copy(), pos[pick], upto)], ["waits", "w1", "w2", "t1", "t2", "s", "e"])
 
-    rows = cut(_scan(docs, maps, windows, "waits boolean, w1 bigint, w2 bigint, t1 bigint, t2 bigint, s bigint, e bigint"))
+    rows = cut(_scan(docs, maps, windows, "waits boolean, w1 bigint, w2 bigint, t1 bigint, t2 bigint, s bigint, e bigint", least))
     single = rows.where("waits")
     place = F.xxhash64("t1", "t2", "s")
     twice = single.groupBy("w1", "w2").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a != b").select("w1", "w2")
@@ -493,9 +613,9 @@ def whole_characters(raw: bytes, spans) -> list[dict]:
 def remove_repeated(docs: DataFrame) -> DataFrame:
     """``docs`` (all columns) with repeated strings taken out of ``text``, and ``n_chars`` adjusted.
 
-    A character that a span covers only in part stays.  Documents stay even if nothing is left.
+    Repeated: strings of LENGTH bytes, and passages of WORDS whole words however short.  A character that a span covers only in part stays.  Documents stay even if nothing is left.
     """
-    spans, _ = repeated_spans(docs, cut(identify(docs)))
+    spans, _ = repeated_spans(docs, cut(identify(docs)), words=True)
     kind = docs.schema
     at = docs.columns.index("text")
     marked = "struct<t1:bigint,t2:bigint>"

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -76,3 +77,52 @@ def test_long_texts_are_cut_with_overlap(monkeypatch):
     seen = [(lo, at + i) for lo, part, off, at in parts for t in range(len(off) - 1)
             for i in range(max(0, off[t + 1] - off[t] - sd.LENGTH + 1)) if len(off) == 2]
     assert sorted(p for lo, p in seen if lo == 0) == list(range(50_000 - sd.LENGTH + 1))
+
+
+def brute_words(texts: list[str], n: int = 51) -> list[str]:
+    """Texts without repeated strings of LENGTH bytes or of n whole words (ASCII texts)."""
+    windows = [[(m[i].start(), m[i + n - 1].end()) for i in range(len(m) - n + 1)]
+               for m in (list(re.finditer(r"[^\x20\x09-\x0d]+", t)) for t in texts)]
+    seen = Counter(t[a:b] for t, spans in zip(texts, windows) for a, b in spans)
+    long = Counter(t[i:i + sd.LENGTH] for t in texts for i in range(len(t) - sd.LENGTH + 1))
+    out = []
+    for t, spans in zip(texts, windows):
+        gone = bytearray(len(t))
+        for a, b in spans + [(i, i + sd.LENGTH) for i in range(len(t) - sd.LENGTH + 1)]:
+            if (long if (b - a == sd.LENGTH and (a, b) not in spans) else seen)[t[a:b]] > 1:
+                gone[a:b] = b"\1" * (b - a)
+        out.append("".join(c for c, g in zip(t, gone) if not g))
+    return out
+
+
+def test_long_texts_are_cut_at_words_with_overlap():
+    r = np.random.default_rng(2)
+    data = r.choice(np.frombuffer(b"abcd ", np.uint8), 40_000)
+    seen = []
+    for lo, part, off, at in sd.word_pieces(data, np.array([0, 30_000, 40_000]), limit=8_000):
+        text, first, last, _, _, start, end = sd.word_anchors(part, off)
+        for t, a, b in zip(text, first, last):
+            seen += [(lo + t, start[i] - off[t] + at, end[i] - off[t] + at) for i in range(a, b + 1)]
+    want = []
+    for t, (a, b) in enumerate([(0, 30_000), (30_000, 40_000)]):
+        m = list(re.finditer(rb"[^ ]+", data[a:b].tobytes()))
+        want += [(t, m[i].start(), m[i + 50].end()) for i in range(len(m) - 50)]
+    assert sorted(seen) == want
+
+
+def test_stage_takes_out_passages_of_51_short_words(spark, docs_of):
+    r = random.Random(8)
+    word = lambda n: "".join(r.choice("abcdefghij") for _ in range(r.randint(1, n)))
+    prose = lambda n: " ".join(word(8) for _ in range(n))
+    passages = {n: " ".join(word(4) for _ in range(n)) for n in (40, 50, 51, 52, 60, 300)}
+    tiny = " ".join(r.choice("abcdefghij") for _ in range(51))  # 101 bytes
+    rows = [prose(r.randint(20, 300)) for _ in range(20)]
+    for p in [*passages.values(), tiny]:
+        rows += [f"{prose(r.randint(1, 60))} {p}\n{prose(r.randint(1, 60))}" for _ in range(3)]
+    rows += [f"{prose(9)} {tiny} {prose(400)} {tiny}", f"{prose(30)} x{passages[51]} {prose(9)}"]  # only 50 whole words
+    rows += [f"  {passages[60][4:]} "] * 2 + [f"{prose(5)} {passages[60]} {passages[52]} {prose(5)}", tiny, prose(51)[:399], "", None]
+    got = {x["doc_id"]: x["text"] for x in sd.remove_repeated(docs_of(list(enumerate(rows)))).collect()}
+    want = brute_words([t or "" for t in rows])
+    assert [got[i] or "" for i in range(len(rows))] == want
+    assert not any(p in (t or "") for p in (passages[51], passages[52], passages[60], tiny) for t in got.values() if "x" + p not in (t or ""))
+    assert sum(passages[50] in (t or "") for t in got.values()) == 3
