@@ -22,8 +22,9 @@ RULES = (
 )
 #: Levels of the tree; deeper segments share one node.
 DEPTH = 4
-#: A parent with more children than this generalises those with less than RARE of its pages.
-MAX_CHILDREN = 20
+#: A parent generalises children with less than RARE of its pages if the entropy of its children is more
+#: than VARIED of the largest that so many pages can have.
+VARIED = 0.5
 RARE = 0.05
 #: Siblings are merged if their next level differs by at most so much (total variation) from the
 #: pooled siblings, and their smoothed block rate from the pooled one by at most RATE_GAP.
@@ -61,6 +62,8 @@ def rate(blocked: Column, labelled: Column) -> Column:
 def templates(shapes: DataFrame) -> DataFrame:
     """host, shape, template, n, labelled, blocked of each distinct (host, shape), level by level.
 
+    Generalised siblings share the segment ``*``.  Those whose labelled pages are mostly blocked never
+    share it with others: they keep their names, or share ``*!``.  So pooling alone never brings ``*`` to REJECT.
     ``shapes`` has host, shape, segs (array of DEPTH segments, null beyond the path's end), n,
     labelled, blocked: one row per distinct shape, so the loop never touches single pages again.
     """
@@ -69,10 +72,15 @@ def templates(shapes: DataFrame) -> DataFrame:
         tree = tree.withColumn("seg", F.col("segs")[level]).withColumn(
             "next", F.coalesce(F.col("segs")[level + 1], F.lit("")) if level + 1 < DEPTH else F.lit(""))
         # 1. variable segments: rare children of a parent with many children
-        child = tree.groupBy("host", "parent", "seg").agg(F.sum("n").alias("cn"))
-        parent = child.groupBy("host", "parent").agg(F.sum("cn").alias("pn"), F.count("seg").alias("kids"))
+        child = tree.groupBy("host", "parent", "seg").agg(
+            F.sum("n").alias("cn"), (F.sum("blocked") > F.sum("labelled") * REJECT).alias("lean"))
+        named = F.when(F.col("seg").isNotNull(), F.col("cn"))
+        parent = child.groupBy("host", "parent").agg(
+            F.sum("cn").alias("pn"), F.sum(named).alias("sn"), F.sum(named * F.log(named)).alias("nlogn"))
+        most = F.log("sn")
+        varied = most - F.col("nlogn") / F.col("sn") > most * VARIED + 1e-9
         wide = (child.join(parent, ["host", "parent"])
-                .where((F.col("kids") > MAX_CHILDREN) & (F.col("cn") < F.col("pn") * RARE) & F.col("seg").isNotNull())
+                .where(varied & (F.col("cn") < F.col("pn") * RARE) & F.col("seg").isNotNull() & ~F.col("lean"))
                 .select("host", "parent", "seg", F.lit(True).alias("rare")))
         tree = tree.join(wide, ["host", "parent", "seg"], "left")
         tree = tree.withColumn("seg", F.when(F.col("rare"), F.lit("*")).otherwise(F.col("seg"))).drop("rare")
@@ -96,11 +104,11 @@ def templates(shapes: DataFrame) -> DataFrame:
         alike = near.where(
             (F.col("shared") >= 1 - SHAPE_GAP)
             & (F.abs(rate(F.col("own_b"), F.col("own_l")) - pooled) <= RATE_GAP)
-        ).select("host", "parent", "seg", F.lit(True).alias("alike"))
-        several = alike.groupBy("host", "parent").agg(F.count(F.lit(1)).alias("k")).where("k > 1").drop("k")
-        alike = alike.join(several, ["host", "parent"], "left_semi")
+        ).select("host", "parent", "seg", F.when(F.col("own_b") > F.col("own_l") * REJECT, "*!").otherwise("*").alias("alike"))
+        several = alike.groupBy("host", "parent", "alike").agg(F.count(F.lit(1)).alias("k")).where("k > 1").drop("k")
+        alike = alike.join(several, ["host", "parent", "alike"], "left_semi")
         tree = tree.join(alike, ["host", "parent", "seg"], "left")
-        seg = F.when(F.col("alike"), F.lit("*")).otherwise(F.col("seg"))
+        seg = F.coalesce("alike", "seg")
         tree = tree.withColumn("parent", F.when(F.col("seg").isNull(), F.col("parent"))
                                .otherwise(F.concat("parent", F.lit("/"), seg))).drop("alike", "next", "seg")
         tree = cut(tree)  # each level reads the tree several times

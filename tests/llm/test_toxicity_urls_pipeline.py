@@ -102,6 +102,16 @@ def test_templates_generalise_and_reject(spark):
     assert {got[i]["template"] for i in range(83, 143)} == {"/*"}
 
 
+def test_blocked_sections_do_not_take_unlabelled_ones_along(spark):
+    sections = ["es", "fr"] + [f"part-{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(28)]
+    urls = [f"https://h{n}.net/{s}/{i}" for n in (1, 2, 3, 20, 200) for s in sections for i in range(n)]
+    urls += [f"https://few.net/{s}/{i}" for s in sections[:20] for i in range(20)]
+    urls += [f"https://uneven.net/{s}/{chr(97 + i % 7)}/{i}" for s in sections for i in range(40 if s < "part-am" else 3)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")
+    for r in url_filter.filter_urls(pages).collect():
+        assert r["verdict"] == ("block" if r["path"][:4] in ("/es/", "/fr/") else "allow"), (r["host"], r["path"], r["template"])
+
+
 @pytest.fixture(scope="module")
 def sf_dir(spark, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("sf"))
