@@ -27,6 +27,9 @@ from riskframe.operators.fit import class_weights
 from riskframe.operators.split import kfold_assign
 from riskframe.session import cut_lineage
 
+#: A limit of rounds that early stopping ends before, and the share of the loss that a round must gain.
+ROUNDS, LEAST_GAIN = 5000, 1e-4
+
 
 def fit_weighted_logit(train: DataFrame, features: Sequence[str], label: str,
                        reg: float = 0.0, max_iter: int = 100):
@@ -59,7 +62,7 @@ def fit_gbt(train: DataFrame, features: Sequence[str], label: str, *, id_col: st
     data = _filled(train, features).withColumn("_stop", F.pmod(F.xxhash64(id_col, F.lit(seed)), F.lit(inner)) == 0)
     va = VectorAssembler(inputCols=[f"_f_{c}" for c in features], outputCol="_x")
     gbt = GBTClassifier(featuresCol="_x", labelCol=label, maxIter=max_iter, maxDepth=depth, seed=seed,
-                        validationIndicatorCol="_stop", subsamplingRate=0.8)
+                        validationIndicatorCol="_stop", validationTol=LEAST_GAIN, subsamplingRate=0.8)
     return va, gbt.fit(va.transform(data.withColumn(label, F.col(label).cast("double"))))
 
 

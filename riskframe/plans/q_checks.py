@@ -106,10 +106,14 @@ TREE_FEATURES = ["AMT_CREDIT", "AMT_ANNUITY", "AMT_GOODS_PRICE", "EXT_SOURCE_1",
                  "EMPLOYED_YEARS", "CNT_CHILDREN", "REGION_CODE", "EXT_NULL_COUNT"]
 
 
+#: Folds and seeds of the boosted trees, as in the reference.
+FOLDS, SEEDS = 5, (SEED, SEED + 101)
+
+
 def _oof_gbt(spark, d):
     df = B.deterministic(spark, d).select("SK_ID_CURR", "TARGET", "SENSITIVE", *TREE_FEATURES)
-    return L.oof_gbt(df, TREE_FEATURES, "TARGET", id_col="SK_ID_CURR", strata=["TARGET", "SENSITIVE"], k=3, seeds=(SEED, SEED + 101),
-                     max_iter=8)
+    return L.oof_gbt(df, TREE_FEATURES, "TARGET", id_col="SK_ID_CURR", strata=["TARGET", "SENSITIVE"], k=FOLDS, seeds=SEEDS,
+                     max_iter=L.ROUNDS)
 
 
 @register("oof_gbt")

@@ -159,3 +159,19 @@ def test_oof_trees_score_every_row_once_per_seed(spark):
     assert len(rows) == 600 and len({(r["id"], r["seed"]) for r in rows}) == 600
     assert sum((r["p"] >= .5) == (r["y"] == 1) for r in rows) > 570
     assert imp.count() == 12
+
+
+def test_boosted_trees_run_until_the_inner_slice_stops_them(spark, monkeypatch):
+    from riskframe.operators import learners as L
+    from riskframe.plans import q_checks as Q
+
+    df = spark.range(4000).selectExpr("id", "cast(pmod(hash(id, 1), 1000) as double) as a", "cast(pmod(hash(id, 2), 1000) as double) as b",
+                                      "pmod(hash(id, 3), 1000) as c").selectExpr("id", "a", "b", "cast(a + b + c > 1500 as int) as y")
+    fitted = L.fit_gbt(df, ["a", "b"], "y", id_col="id", max_iter=L.ROUNDS)
+    assert 8 < fitted[1].getNumTrees < L.ROUNDS
+    asked = {}
+    monkeypatch.setattr(L, "oof_gbt", lambda *a, **k: asked.update(k))
+    monkeypatch.setattr(Q.B, "deterministic", lambda s, d: df.selectExpr("id as SK_ID_CURR", "y as TARGET", "0 as SENSITIVE", *(
+        f"a as {c}" for c in Q.TREE_FEATURES)))
+    Q._oof_gbt(spark, "")
+    assert asked["k"] == 5 and asked["max_iter"] == L.ROUNDS and len(asked["seeds"]) == 2
