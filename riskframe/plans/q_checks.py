@@ -131,14 +131,13 @@ def q_oof_gbt(spark, d):
 
 @register("importance_by_source")
 def q_importance_by_source(spark, d):
-    """Importance of boosted trees over the relational matrix, summed per source table."""
+    """Importance of boosted trees over the relational matrix, averaged over the models of all folds and
+    seeds and summed per source table."""
     from riskframe.plans.q_relational import q_relational_matrix
     m = cut_lineage(q_relational_matrix(spark, d))
     feats = [c for c, t in m.dtypes if c not in ("SK_ID_CURR", "TARGET") and t in ("int", "bigint", "double")]
-    fitted = L.fit_gbt(m, feats, "TARGET", id_col="SK_ID_CURR", max_iter=4)
-    imp = spark.createDataFrame([(f, float(v)) for f, v in zip(feats, fitted[1].featureImportances.toArray())],
-                                "feature string, importance double")
-    return W.importance_by_source(imp)
+    imp = L.oof_gbt(m, feats, "TARGET", id_col="SK_ID_CURR", strata=["TARGET"], k=FOLDS, seeds=SEEDS, max_iter=L.ROUNDS)[1]
+    return W.importance_by_source(imp.groupBy("feature").agg(F.avg("importance").alias("importance")))
 
 
 @register("uncertainty_gbt")

@@ -175,3 +175,22 @@ def test_boosted_trees_run_until_the_inner_slice_stops_them(spark, monkeypatch):
         f"a as {c}" for c in Q.TREE_FEATURES)))
     Q._oof_gbt(spark, "")
     assert asked["k"] == 5 and asked["max_iter"] == L.ROUNDS and len(asked["seeds"]) == 2
+
+
+def test_importance_is_the_mean_over_fold_and_seed_models(spark, monkeypatch):
+    from riskframe.operators import learners as L
+    from riskframe.plans import q_checks as Q, q_relational as R
+
+    m = spark.range(60).selectExpr("id as SK_ID_CURR", "cast(id % 2 as int) as TARGET", "cast(id as double) as BURO_A", "1.0D as PREV_B")
+    asked = {}
+
+    def models(df, features, label, **k):
+        asked.update(k)
+        rows = [(s, f, c, float(i == (f % 2))) for s in k["seeds"] for f in range(k["k"]) for i, c in enumerate(features)]
+        return None, spark.createDataFrame(rows, "seed int, fold int, feature string, importance double")
+
+    monkeypatch.setattr(R, "q_relational_matrix", lambda s, d: m)
+    monkeypatch.setattr(L, "oof_gbt", models)
+    got = {r["source"]: (round(r["importance"], 9), r["n_features"]) for r in Q.q_importance_by_source(spark, "").collect()}
+    assert sorted(got.values()) == [(0.4, 1), (0.6, 1)]
+    assert asked["k"] == 5 and len(asked["seeds"]) == 2 and asked["max_iter"] == L.ROUNDS
