@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskframe.llm import (embed_dedup, fingerprint, mixing, near_dedup, pieces, shards, suffix_dedup, token_files, toxicity,
-                           url_filter)
+from riskframe.llm import (conversation_repair, embed_dedup, fingerprint, language_id, mixing, near_dedup, pieces, shards,
+                           suffix_dedup, token_files, toxicity, url_filter, whitening)
 from riskframe.llm.common import prepare
 
 OPERATORS = {
@@ -21,6 +21,9 @@ OPERATORS = {
     "op8_byte_shards": shards.op8,
     "op9_mixing": mixing.op9,
     "op10_near_dedup": near_dedup.op10,
+    "op11_conversation_repair": conversation_repair.op11,
+    "op12_language_id": language_id.op12,
+    "op13_whitening": whitening.op13,
 }
 
 
