@@ -53,6 +53,18 @@ def delete_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each lengthened until no column of ``df`` is called so (in any case of its letters)."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def prepare(spark: SparkSession) -> None:
     """What all operators ask of a session: the package on the workers, and small batches of texts."""
     package_on_workers(spark)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import MIN_CELLS, ROWS_PER_CELL, cut, running_totals
+from riskframe.llm.common import MIN_CELLS, ROWS_PER_CELL, cut, running_totals, unused
 
 #: Weights of the sources in code-point order of their names, repeating.
 WEIGHTS = (5, 2, 1)
@@ -124,15 +124,18 @@ def mix(docs: DataFrame, weights=WEIGHTS, block_words: int = BLOCK_WORDS, max_ep
 def apply_mix(docs: DataFrame, **options) -> DataFrame:
     """``docs`` (all columns), each row as often as the schedule takes the block of its first word.
 
-    Documents that the mix does not take are left out; equal rows of an id stand equally often.
+    Documents that the mix does not take are left out; equal rows of an id stand equally often.  Null sources are
+    one source; null and empty texts are never taken.  Columns may have any names: inner ones are called otherwise.
     """
-    plan = cut(mix(docs, **options).groupBy("doc_id", "source", "text_hash").agg(F.max("copies").alias("_copies"))
-               .where("_copies > 0")
-               .select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("text_hash").alias("_hash"), "_copies"))
-    hit = (F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source"))
-           & (F.xxhash64("text") == F.col("_hash")))
-    rows = docs.join(plan, hit).select(*docs.columns, "_copies")
-    return rows.withColumn("_copies", F.explode(F.sequence(F.lit(1).cast("bigint"), "_copies"))).drop("_copies")
+    own, of, text, times = unused(docs, "own", "of", "hashed", "times")
+    plan = cut(mix(docs, **options).groupBy("doc_id", "source", "text_hash").agg(F.max("copies").alias("copies"))
+               .where("copies > 0"))
+    plan = plan.select(F.col("doc_id").alias(own), F.col("source").alias(of), F.col("text_hash").alias(text),
+                       F.col("copies").alias(times))
+    hit = (F.col("doc_id").eqNullSafe(F.col(own)) & F.col("source").eqNullSafe(F.col(of))
+           & (F.xxhash64("text") == F.col(text)))
+    rows = docs.join(plan, hit).select(*(F.col(f"`{c}`") for c in docs.columns), times)
+    return rows.withColumn(times, F.explode(F.sequence(F.lit(1).cast("bigint"), times))).drop(times)
 
 
 def op9(spark, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import byte_slices, cut, partitions, text_buffer
+from riskframe.llm.common import byte_slices, cut, partitions, text_buffer, unused
 from riskframe.llm.components import components, local_roots
 from riskframe.llm.shingles import shingle_sets
 
@@ -184,15 +184,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` (all columns) with one document of each group of near-duplicates.
 
-    Of equal rows (id and text), one stays.  Only the rows to leave are joined by id and text hash.
+    Of equal rows (id and text), one stays.  Only the rows to leave are joined by id and text hash.  Null and
+    empty texts are near no other text; null ids are ids like others.  Columns may have any names: inner ones are
+    called otherwise.
     """
+    own, text, hashed = unused(docs, "own", "hashed", "text_of")
     judged = cut(near_duplicates(docs).groupBy("doc_id", "text_hash").agg(
-        F.max("kept").alias("kept"), F.count(F.lit(1)).alias("rows")).where("not kept or rows > 1")
-                 .select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_text"), F.col("kept").alias("_kept")))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_text"))
-    once = docs.join(judged, same, "left_anti")
-    again = docs.join(judged.where("_kept"), same, "left_semi").withColumn("_hash", F.xxhash64("text"))
-    return once.unionByName(again.dropDuplicates(["doc_id", "_hash"]).drop("_hash"))
+        F.max("kept").alias("kept"), F.count(F.lit(1)).alias("rows")).where("not kept or rows > 1"))
+
+    def marked(which: str) -> DataFrame:
+        return judged.where(which).select(F.col("doc_id").alias(own), F.col("text_hash").alias(text))
+
+    same = F.col("doc_id").eqNullSafe(F.col(own)) & (F.xxhash64("text") == F.col(text))
+    once = docs.join(marked("true"), same, "left_anti")
+    again = docs.join(marked("kept"), same, "left_semi").withColumn(hashed, F.xxhash64("text"))
+    return once.unionByName(again.dropDuplicates(["doc_id", hashed]).drop(hashed))
 
 
 def link_nodes(docs: DataFrame, nodes: DataFrame) -> DataFrame:

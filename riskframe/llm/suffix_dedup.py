@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import byte_slices, cut, partitions, text_buffer
+from riskframe.llm.common import byte_slices, cut, partitions, text_buffer, unused
 from riskframe.llm.shingles import BASE, mix, powers, span_hashes, word_spans
 
 #: Bytes of a string that may not occur twice.
@@ -311,8 +311,16 @@ def repeated_spans(docs: DataFrame, named: DataFrame, words: bool = False) -> tu
     """(t1, t2, spans) of every distinct text with repeated bytes, and the maps of its scan.
 
     Spans are maximal runs of bytes that are covered by a LENGTH-byte string which also starts
-    anywhere else, or with ``words`` by such a string of WORDS whole words.  Equal texts share every
-    suffix: one of them is sorted, and if it has LENGTH bytes or more, all of it is repeated.
+    anywhere else, or with ``words`` by such a string of WORDS whole words.
+    """
+    runs, keys, maps = _byte_runs(docs, named)
+    return cut(_merged(runs.unionByName(_word_runs(docs, keys, maps)) if words else runs)), maps
+
+
+def _byte_runs(docs: DataFrame, named: DataFrame) -> tuple[DataFrame, DataFrame, tuple]:
+    """(t1, t2, s, e) of repeated strings of LENGTH bytes, runs that may overlap; distinct texts; maps of the scan.
+
+    Equal texts share every suffix: one of them is sorted, and if it has LENGTH bytes or more, all of it is repeated.
     """
     keys = cut(named.groupBy("t1", "t2").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("rep"),
                                              F.first("n_bytes").alias("n_bytes")))
@@ -399,15 +407,17 @@ def repeated_spans(docs: DataFrame, named: DataFrame, words: bool = False) -> tu
         runs = runs.unionByName(_hot_runs(docs, maps, hot))
     runs = runs.unionByName(keys.where(f"copies > 1 and n_bytes >= {LENGTH}").select("t1", "t2", F.lit(0).cast("bigint").alias("s"),
                                                                                  F.col("n_bytes").alias("e")))
-    if words:
-        runs = runs.unionByName(_word_runs(docs, keys, maps))
+    return runs, keys, maps
+
+
+def _merged(runs: DataFrame) -> DataFrame:
+    """(t1, t2, spans): the maximal runs of bytes that ``runs`` cover."""
     order = Window.partitionBy("t1", "t2").orderBy("s", "e")
     upto = F.max("e").over(order.rowsBetween(Window.unboundedPreceding, -1))
     island = F.sum(F.coalesce((F.col("s") > F.col("upto")).cast("int"), F.lit(0))).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    spans = (runs.withColumn("upto", upto).withColumn("island", island).groupBy("t1", "t2", "island")
-             .agg(F.min("s").alias("s"), F.max("e").alias("e"))
-             .groupBy("t1", "t2").agg(F.sort_array(F.collect_list(F.struct("s", "e"))).alias("spans")))
-    return cut(spans), maps
+    return (runs.withColumn("upto", upto).withColumn("island", island).groupBy("t1", "t2", "island")
+            .agg(F.min("s").alias("s"), F.max("e").alias("e"))
+            .groupBy("t1", "t2").agg(F.sort_array(F.collect_list(F.struct("s", "e"))).alias("spans")))
 
 
 def _hot_runs(docs: DataFrame, maps, hot: np.ndarray) -> DataFrame:
@@ -580,21 +590,28 @@ def op1(spark, sf_dir: str) -> DataFrame:
 
 
 def removed_bytes(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans.
+    """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_repeated, has_repeat, spans.
 
     Every whole text is judged as UTF-8 bytes (null: empty); strings are judged on the input.  Texts
     shorter than LENGTH lose nothing; an empty table gives an empty result; null and repeated ids
-    are rows like others.
+    are rows like others.  What is removed is judged by LENGTH bytes alone; ``n_repeated`` counts the bytes that
+    a repeated string of LENGTH bytes or a repeated passage of WORDS whole words covers, however few bytes that
+    passage has, and ``has_repeat`` tells whether there are any.
     """
     named = cut(identify(docs))
-    spans, maps = repeated_spans(docs, named)
+    runs, keys, maps = _byte_runs(docs, named)
+    spans = cut(_merged(runs))
     kept = kept_digests(docs, spans, maps)
-    found = spans.join(kept, ["t1", "t2"])
+    known = spans.select("t1", "t2", F.explode("spans").alias("x")).select("t1", "t2", "x.s", "x.e")
+    passages = _merged(known.unionByName(_word_runs(docs, keys, maps))).withColumnRenamed("spans", "repeats")
+    found = passages.join(spans.join(kept, ["t1", "t2"]), ["t1", "t2"], "left")
     out = named.join(found, ["t1", "t2"], "left")
-    removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda a, x: a + x["e"] - x["s"])
-    return out.select("doc_id", "n_bytes", F.coalesce(removed, F.lit(0).cast("bigint")).alias("n_removed"),
+    covered = lambda c: F.coalesce(F.aggregate(c, F.lit(0).cast("bigint"), lambda a, x: a + x["e"] - x["s"]),
+                                   F.lit(0).cast("bigint"))
+    return out.select("doc_id", "n_bytes", covered("spans").alias("n_removed"),
                       F.coalesce(F.size("spans").cast("bigint"), F.lit(0).cast("bigint")).alias("n_spans"),
-                      F.coalesce("kept_sha256", "sha256").alias("kept_sha256"), "spans")
+                      F.coalesce("kept_sha256", "sha256").alias("kept_sha256"), covered("repeats").alias("n_repeated"),
+                      F.col("repeats").isNotNull().alias("has_repeat"), "spans")
 
 
 def whole_characters(raw: bytes, spans) -> list[dict]:
@@ -613,7 +630,9 @@ def whole_characters(raw: bytes, spans) -> list[dict]:
 def remove_repeated(docs: DataFrame) -> DataFrame:
     """``docs`` (all columns) with repeated strings taken out of ``text``, and ``n_chars`` adjusted.
 
-    Repeated: strings of LENGTH bytes, and passages of WORDS whole words however short.  A character that a span covers only in part stays.  Documents stay even if nothing is left.
+    Repeated: strings of LENGTH bytes, and passages of WORDS whole words however short.  A character that a span
+    covers only in part stays.  Documents stay even if nothing is left; null texts stay null, empty ones empty,
+    and repeated rows are cut alike.  Columns may have any names: inner ones are called otherwise.
     """
     spans, _ = repeated_spans(docs, cut(identify(docs)), words=True)
     kind = docs.schema
@@ -641,7 +660,8 @@ def remove_repeated(docs: DataFrame) -> DataFrame:
                 columns[j] = pa.array(now, batch.column(j).type)
             yield pa.RecordBatch.from_arrays(columns, kind.names)
 
-    named = docs.withColumn("_id", ids(F.coalesce("text", F.lit(""))))
-    found = spans.select(F.col("t1").alias("_1"), F.col("t2").alias("_2"), F.col("spans").alias("_spans"))
-    joined = named.join(found, (F.col("_id.t1") == F.col("_1")) & (F.col("_id.t2") == F.col("_2")), "left")
-    return joined.select(*(F.col(c) for c in docs.columns), "_spans").mapInArrow(strip, kind)
+    own, h1, h2, found = unused(docs, "own", "h1", "h2", "found")
+    named = docs.withColumn(own, ids(F.coalesce("text", F.lit(""))))
+    spans = spans.select(F.col("t1").alias(h1), F.col("t2").alias(h2), F.col("spans").alias(found))
+    joined = named.join(spans, (F.col(f"{own}.t1") == F.col(h1)) & (F.col(f"{own}.t2") == F.col(h2)), "left")
+    return joined.select(*(F.col(f"`{c}`") for c in docs.columns), found).mapInArrow(strip, kind)

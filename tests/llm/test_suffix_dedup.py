@@ -95,6 +95,20 @@ def brute_words(texts: list[str], n: int = 51) -> list[str]:
     return out
 
 
+def test_repeats_of_bytes_or_words_are_counted(spark, docs_of):
+    r = random.Random(4)
+    prose = lambda n: " ".join("".join(r.choice("abcdefghij") for _ in range(r.randint(1, 5))) for _ in range(n))
+    short, long = prose(53), prose(150)
+    assert len(short) < sd.LENGTH < len(long)
+    rows = [prose(70), f"{prose(9)} {short} {prose(60)}", f"{prose(30)} {short}", f"{long} {prose(20)}", f"{prose(80)} {long}",
+            f"{short} {prose(5)} {long}", prose(60), short[:200], "", None]
+    got = {x["doc_id"]: x for x in sd.removed_bytes(docs_of(list(enumerate(rows)))).collect()}
+    want = [len(t or "") - len(k) for t, k in zip(rows, brute_words([t or "" for t in rows]))]
+    assert [got[i]["n_repeated"] for i in range(len(rows))] == want
+    assert [got[i]["has_repeat"] for i in range(len(rows))] == [n > 0 for n in want]
+    assert got[1]["n_removed"] == 0 < got[1]["n_repeated"]
+
+
 def test_long_texts_are_cut_at_words_with_overlap():
     r = np.random.default_rng(2)
     data = r.choice(np.frombuffer(b"abcd ", np.uint8), 40_000)
