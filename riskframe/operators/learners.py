@@ -1,10 +1,7 @@
-"""Learners (W6, W7, W9-W11, U2): Spark ML fits, and a fair linear sweep.
+"""Linear learners (W10, W11): a Spark ML fit, and a fair sweep.  Boosted trees are in ``boosting.py``.
 
 * W10: a class-weighted linear scorer, ``LogisticRegression`` with balanced
   weights (F7) as ``weightCol``.
-* W6 / W7: ``GBTClassifier`` per seed and fold, early stopping on an inner slice
-  of the training folds; every row is scored by a model that did not see it.
-* U2: ``GBTRegressor`` of |p - y| fitted on validation rows.
 * W11: logistic scorers under BCE + lambda * rho^2 (rho: correlation of score
   and sensitive attribute).  All lambdas train together: one pass over the
   training rows per step returns the sums that both gradients need.
@@ -16,20 +13,15 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.operators.fit import class_weights
-from riskframe.operators.split import kfold_assign
 from riskframe.session import cut_lineage
 
-#: A limit of rounds that early stopping ends before, and the share of the loss that a round must gain.
-ROUNDS, LEAST_GAIN = 5000, 1e-4
-
 
 def fit_weighted_logit(train: DataFrame, features: Sequence[str], label: str,
                        reg: float = 0.0, max_iter: int = 100):
@@ -51,64 +43,6 @@ def score(df: DataFrame, fitted, out: str = "p") -> DataFrame:
         "_x", "rawPrediction", "probability", "prediction")
 
 
-def _filled(df: DataFrame, features: Sequence[str], missing: float = -1e6) -> DataFrame:
-    """Copies ``_f_*`` of the features: trees split a missing value off by one number outside the data's range."""
-    return df.withColumns({f"_f_{c}": F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(missing)), F.lit(missing)) for c in features})
-
-
-def fit_gbt(train: DataFrame, features: Sequence[str], label: str, *, id_col: str, max_iter: int = 20,
-            depth: int = 3, seed: int = 42, inner: int = 8):
-    """Boosted trees; every ``inner``-th row (by hash of the id) decides when to stop."""
-    data = _filled(train, features).withColumn("_stop", F.pmod(F.xxhash64(id_col, F.lit(seed)), F.lit(inner)) == 0)
-    va = VectorAssembler(inputCols=[f"_f_{c}" for c in features], outputCol="_x")
-    gbt = GBTClassifier(featuresCol="_x", labelCol=label, maxIter=max_iter, maxDepth=depth, seed=seed,
-                        validationIndicatorCol="_stop", validationTol=LEAST_GAIN, subsamplingRate=0.8)
-    return va, gbt.fit(va.transform(data.withColumn(label, F.col(label).cast("double"))))
-
-
-def gbt_score(df: DataFrame, fitted, features: Sequence[str], out: str = "p") -> DataFrame:
-    return score(_filled(df, features), fitted, out).drop(*(f"_f_{c}" for c in features))
-
-
-def oof_gbt(df: DataFrame, features: Sequence[str], label: str, *, id_col: str, strata: Sequence[str], k: int = 3,
-            seeds: Sequence[int] = (42,), **options) -> tuple[DataFrame, DataFrame]:
-    """(id, seed, fold, label, p) of every row and seed, and (seed, fold, feature, importance).
-
-    k x seeds models; each scores the fold that it was not fitted on.
-    """
-    spark = df.sparkSession
-    df = cut_lineage(df)
-    folds = cut_lineage(kfold_assign(df, id_col=id_col, strata=list(strata), k=k, seeds=list(seeds)).select(id_col, "seed", "fold"))
-    parts, importance = [], []
-    for seed in seeds:
-        rows = df.join(folds.where(F.col("seed") == seed), id_col)
-        for fold in range(k):
-            fitted = fit_gbt(rows.where(F.col("fold") != fold), features, label, id_col=id_col, seed=seed, **options)
-            held = gbt_score(rows.where(F.col("fold") == fold), fitted, features)
-            parts.append(held.select(id_col, "seed", "fold", label, "p"))
-            importance += [(seed, fold, f, float(v)) for f, v in zip(features, fitted[1].featureImportances.toArray())]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out, spark.createDataFrame(importance, "seed int, fold int, feature string, importance double")
-
-
-def fit_error_gbt(validation: DataFrame, features: Sequence[str], *, score: str = "p", label: str = "y",
-                  max_iter: int = 20, depth: int = 3, seed: int = 42):
-    """Boosted regressor of |score - label|; the score is one of its features."""
-    data = _filled(validation, features).withColumn("_e", F.abs(F.col(score) - F.col(label).cast("double")))
-    va = VectorAssembler(inputCols=[*(f"_f_{c}" for c in features), score], outputCol="_x")
-    return va, GBTRegressor(featuresCol="_x", labelCol="_e", maxIter=max_iter, maxDepth=depth, seed=seed).fit(va.transform(data))
-
-
-def predict_error(df: DataFrame, fitted, features: Sequence[str], out: str = "uncertainty") -> DataFrame:
-    """Predicted error, clipped to [0, 1]."""
-    va, model = fitted
-    u = model.transform(va.transform(_filled(df, features)))
-    return u.withColumn(out, F.least(F.greatest(F.col("prediction"), F.lit(0.0)), F.lit(1.0))).drop(
-        "_x", "prediction", *(f"_f_{c}" for c in features))
-
-
 def fair_gradients(x: np.ndarray, y: np.ndarray, s: np.ndarray, w: np.ndarray, beta: np.ndarray) -> np.ndarray:
     """Sums of one block of rows for all models: one row per model."""
     p = 1 / (1 + np.exp(-np.clip(x @ beta.T, -30, 30)))

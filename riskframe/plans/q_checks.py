@@ -1,5 +1,5 @@
 """Registered source checks (S5, S6, S9), bootstrap intervals (M10, M16) and
-the importance table (W9)."""
+linear learners (W10, W11)."""
 
 from __future__ import annotations
 
@@ -10,7 +10,6 @@ from riskframe.operators import bootstrap as BS
 from riskframe.operators import learners as L
 from riskframe.operators import split as P
 from riskframe.operators import sweep as W
-from riskframe.operators import uncertainty as U
 from riskframe.plans import bindings as B
 from riskframe.plans.q_prep import SEED
 from riskframe.plans.registry import register
@@ -102,54 +101,6 @@ def q_final_results(spark, d):
     return point.join(wide, "model_id")
 
 
-TREE_FEATURES = ["AMT_CREDIT", "AMT_ANNUITY", "AMT_GOODS_PRICE", "EXT_SOURCE_1", "EXT_SOURCE_2", "EXT_SOURCE_3", "AGE_YEARS",
-                 "EMPLOYED_YEARS", "CNT_CHILDREN", "REGION_CODE", "EXT_NULL_COUNT"]
-
-
-#: Folds and seeds of the boosted trees, as in the reference.
-FOLDS, SEEDS = 5, (SEED, SEED + 101)
-
-
-def _oof_gbt(spark, d):
-    df = B.deterministic(spark, d).select("SK_ID_CURR", "TARGET", "SENSITIVE", *TREE_FEATURES)
-    return L.oof_gbt(df, TREE_FEATURES, "TARGET", id_col="SK_ID_CURR", strata=["TARGET", "SENSITIVE"], k=FOLDS, seeds=SEEDS,
-                     max_iter=L.ROUNDS)
-
-
-@register("oof_gbt")
-def q_oof_gbt(spark, d):
-    """Boosted trees per fold and seed; AUC of every fold, of every
-    seed, and of the score averaged over seeds with its accuracy at 0.5."""
-    oof = cut_lineage(_oof_gbt(spark, d)[0].withColumnRenamed("TARGET", "y"))
-    fold = A.roc_auc(oof, ["seed", "fold"]).select(F.concat_ws("/", F.lit("fold"), "seed", "fold").alias("part"), "auc")
-    seed = A.roc_auc(oof, ["seed"]).select(F.concat_ws("/", F.lit("seed"), "seed").alias("part"), "auc")
-    mean = W.oof_average(oof, id_col="SK_ID_CURR").withColumn("part", F.lit("mean"))
-    accuracy = A.binary_metrics(A.apply_threshold(mean, 0.5), ["part"]).select("part", "accuracy")
-    rows = fold.unionByName(seed).withColumn("accuracy", F.lit(None).cast("double"))
-    return rows.unionByName(A.roc_auc(mean, ["part"]).join(accuracy, "part"))
-
-
-@register("importance_by_source")
-def q_importance_by_source(spark, d):
-    """Importance of boosted trees over the relational matrix, averaged over the models of all folds and
-    seeds and summed per source table."""
-    from riskframe.plans.q_relational import q_relational_matrix
-    m = cut_lineage(q_relational_matrix(spark, d))
-    feats = [c for c, t in m.dtypes if c not in ("SK_ID_CURR", "TARGET") and t in ("int", "bigint", "double")]
-    imp = L.oof_gbt(m, feats, "TARGET", id_col="SK_ID_CURR", strata=["TARGET"], k=FOLDS, seeds=SEEDS, max_iter=L.ROUNDS)[1]
-    return W.importance_by_source(imp.groupBy("feature").agg(F.avg("importance").alias("importance")))
-
-
-@register("uncertainty_gbt")
-def q_uncertainty_gbt(spark, d):
-    """U2 + U4: a boosted error regressor fitted on validation rows, applied to test rows."""
-    sp = P.stratified_split(B.scored(spark, d), id_col="id", strata=["y", "s"], seed=SEED)
-    val = cut_lineage(sp.where("split = 'validation'"))
-    fitted = L.fit_error_gbt(val, ["s"], max_iter=8)
-    rows = L.predict_error(sp.where("split = 'test'"), fitted, ["s"])
-    return U.prediction_table(rows, threshold=A.youden(val).first()["threshold"])
-
-
 FAIR_LAMBDAS = tuple(lam for lam, _ in B.LAMBDA_SHIFTS)
 
 

@@ -147,50 +147,3 @@ def test_penalty_lowers_the_correlation(spark):
     assert rho["lam=5"] < rho["lam=0"] / 2 and auc["lam=0"] > .8
     with pytest.raises(ValueError):
         L.fit_fair_sweep(df, ["a"], "y", "s", (1.0,))
-
-
-def test_oof_trees_score_every_row_once_per_seed(spark):
-    from riskframe.operators import learners as L
-
-    df = spark.range(300).selectExpr("id", "cast((id * 37) % 100 as double) as a", "cast(null as double) as b",
-                                     "cast((id * 37) % 100 > 60 as int) as y", "cast(id % 2 as int) as s")
-    oof, imp = L.oof_gbt(df, ["a", "b"], "y", id_col="id", strata=["y"], k=3, seeds=(1, 2), max_iter=3)
-    rows = oof.collect()
-    assert len(rows) == 600 and len({(r["id"], r["seed"]) for r in rows}) == 600
-    assert sum((r["p"] >= .5) == (r["y"] == 1) for r in rows) > 570
-    assert imp.count() == 12
-
-
-def test_boosted_trees_run_until_the_inner_slice_stops_them(spark, monkeypatch):
-    from riskframe.operators import learners as L
-    from riskframe.plans import q_checks as Q
-
-    df = spark.range(4000).selectExpr("id", "cast(pmod(hash(id, 1), 1000) as double) as a", "cast(pmod(hash(id, 2), 1000) as double) as b",
-                                      "pmod(hash(id, 3), 1000) as c").selectExpr("id", "a", "b", "cast(a + b + c > 1500 as int) as y")
-    fitted = L.fit_gbt(df, ["a", "b"], "y", id_col="id", max_iter=L.ROUNDS)
-    assert 8 < fitted[1].getNumTrees < L.ROUNDS
-    asked = {}
-    monkeypatch.setattr(L, "oof_gbt", lambda *a, **k: asked.update(k))
-    monkeypatch.setattr(Q.B, "deterministic", lambda s, d: df.selectExpr("id as SK_ID_CURR", "y as TARGET", "0 as SENSITIVE", *(
-        f"a as {c}" for c in Q.TREE_FEATURES)))
-    Q._oof_gbt(spark, "")
-    assert asked["k"] == 5 and asked["max_iter"] == L.ROUNDS and len(asked["seeds"]) == 2
-
-
-def test_importance_is_the_mean_over_fold_and_seed_models(spark, monkeypatch):
-    from riskframe.operators import learners as L
-    from riskframe.plans import q_checks as Q, q_relational as R
-
-    m = spark.range(60).selectExpr("id as SK_ID_CURR", "cast(id % 2 as int) as TARGET", "cast(id as double) as BURO_A", "1.0D as PREV_B")
-    asked = {}
-
-    def models(df, features, label, **k):
-        asked.update(k)
-        rows = [(s, f, c, float(i == (f % 2))) for s in k["seeds"] for f in range(k["k"]) for i, c in enumerate(features)]
-        return None, spark.createDataFrame(rows, "seed int, fold int, feature string, importance double")
-
-    monkeypatch.setattr(R, "q_relational_matrix", lambda s, d: m)
-    monkeypatch.setattr(L, "oof_gbt", models)
-    got = {r["source"]: (round(r["importance"], 9), r["n_features"]) for r in Q.q_importance_by_source(spark, "").collect()}
-    assert sorted(got.values()) == [(0.4, 1), (0.6, 1)]
-    assert asked["k"] == 5 and len(asked["seeds"]) == 2 and asked["max_iter"] == L.ROUNDS
