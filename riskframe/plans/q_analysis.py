@@ -526,3 +526,36 @@ def q_winsor_long(spark, d):
 def q_histogram_by_class(spark, d):
     """80-bin histogram of log1p(credit) per target class."""
     return E.histogram_by_class(B.deterministic(spark, d), "AMT_CREDIT", "TARGET", 80, log1p=True)
+
+
+HEX = 40
+
+
+@register("hexagon_rate", B.with_roles("deterministic", extra=f"""r AS (SELECT coalesce(EXT_SOURCE_2, 0)::DOUBLE AS hx, coalesce(EXT_SOURCE_3, 0)::DOUBLE AS hy,
+        TARGET::DOUBLE AS t FROM deterministic),
+    m AS (SELECT min(hx) AS lx, min(hy) AS ly, (max(hx) - min(hx)) / {HEX} AS sx, (max(hy) - min(hy)) / {int(HEX / 3 ** 0.5)} AS sy FROM r),
+    p AS (SELECT t, (hx - lx) / sx AS u, (hy - ly) / sy AS v FROM r, m),
+    c AS (SELECT t, pow(u - floor(u + 0.5), 2) + 3 * pow(v - floor(v + 0.5), 2) < pow(u - floor(u) - 0.5, 2) + 3 * pow(v - floor(v) - 0.5, 2) AS a, u, v FROM p),
+    h AS (SELECT t, CASE WHEN a THEN 1 ELSE 2 END AS lattice, CASE WHEN a THEN floor(u + 0.5) ELSE floor(u) END::BIGINT AS ix,
+                 CASE WHEN a THEN floor(v + 0.5) ELSE floor(v) END::BIGINT AS iy FROM c),
+    g AS (SELECT lattice, ix, iy, count(*) AS n, avg(t) AS rate FROM h GROUP BY ALL)""")
+          + """SELECT lattice, ix, iy, n, rate, lx + (ix + CASE WHEN lattice = 2 THEN 0.5::DOUBLE ELSE 0 END) * sx AS centre_x,
+                  ly + (iy + CASE WHEN lattice = 2 THEN 0.5::DOUBLE ELSE 0 END) * sy AS centre_y FROM g, m""")
+def q_hexagon_rate(spark, d):
+    """Hexagonal bins of two external scores with the mean target."""
+    return E.hexagon_rate(B.deterministic(spark, d), "EXT_SOURCE_2", "EXT_SOURCE_3", "TARGET", HEX)
+
+
+@register("density_by_class", B.with_roles("deterministic", extra="""r AS (SELECT TARGET AS cls, AGE_YEARS::DOUBLE AS v FROM deterministic WHERE AGE_YEARS IS NOT NULL),
+    s0 AS (SELECT cls, count(*) AS size, stddev_samp(v) * pow(count(*)::DOUBLE, -0.2) AS bw, min(v) AS low, max(v) AS high FROM r GROUP BY cls),
+    s AS (SELECT cls, size, bw, low - 4 * bw AS lo, (high + 4 * bw - (low - 4 * bw)) / 199 AS step FROM s0 WHERE bw > 0),
+    a AS (SELECT cls, (v - lo) / step AS pos FROM r JOIN s USING (cls)),
+    b AS (SELECT cls, floor(pos)::BIGINT AS i, sum(floor(pos) + 1 - pos) AS w FROM a GROUP BY ALL
+          UNION ALL SELECT cls, floor(pos)::BIGINT + 1, sum(pos - floor(pos)) FROM a GROUP BY ALL),
+    w AS (SELECT cls, i, sum(w) AS w FROM b GROUP BY ALL),
+    g AS (SELECT s.*, unnest(range(200))::INTEGER AS point FROM s)""")
+          + """SELECT cls, point, lo + point * step AS x, sum(w * exp(-0.5 * pow((point - i) * step / bw, 2))) / (size * bw * sqrt(2 * pi())) AS density, step
+               FROM g JOIN w USING (cls) GROUP BY cls, point, lo, step, size, bw""")
+def q_density_by_class(spark, d):
+    """Kernel density of the age per target class on a grid of 200 points."""
+    return E.density_by_class(B.deterministic(spark, d), "AGE_YEARS", "TARGET", 200)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import replace
 
 from pyspark.sql import functions as F
@@ -14,14 +15,17 @@ from riskframe.operators import uncertainty as U
 from riskframe.plans import bindings as B
 from riskframe.plans.q_prep import SEED
 from riskframe.plans.registry import ORACLE, register
-from riskframe.session import cut_lineage
+from riskframe.session import checkpoint_dir, cut_lineage
+from riskframe.sources.runs import read_run, write_run
 
 ID, TARGET, STRATA = "SK_ID_CURR", "TARGET", ["TARGET", "SENSITIVE"]
 TREE_FEATURES = ["AMT_CREDIT", "AMT_ANNUITY", "AMT_GOODS_PRICE", "EXT_SOURCE_1", "EXT_SOURCE_2", "EXT_SOURCE_3", "AGE_YEARS",
                  "EMPLOYED_YEARS", "CNT_CHILDREN", "REGION_CODE", "EXT_NULL_COUNT"]
 #: Folds and seeds of the boosted trees, as in the reference.
 FOLDS, SEEDS = 5, (SEED, SEED + 101)
-DEPTH_WISE = {"depth_wise": O.DEPTH_WISE}
+#: The learners with smaller least nodes: the test tables have some thousand customers, not hundreds of thousands.
+LEARNERS = {"depth_wise": replace(O.DEPTH_WISE, min_weight=4), "leaf_wise": replace(O.LEAF_WISE, min_weight=4, min_rows=20)}
+DEPTH_WISE = {"depth_wise": LEARNERS["depth_wise"]}
 #: Refits of a bagged scorer.
 REPLICATES = 20
 TOP = 25
@@ -60,14 +64,14 @@ def q_oof_gbt(spark, d):
 @register("oof_ab")
 def q_oof_ab(spark, d):
     """Depth-wise against leaf-wise trees on the same folds, grown in the same passes."""
-    return _parts(O.run(_customers(spark, d), TREE_FEATURES, TARGET, id_col=ID, strata=STRATA, k=FOLDS, seeds=SEEDS).oof)
+    return _parts(O.run(_customers(spark, d), TREE_FEATURES, TARGET, id_col=ID, strata=STRATA, k=FOLDS, seeds=SEEDS, learners=LEARNERS).oof)
 
 
 @register("gbt_test_scores")
 def q_gbt_test_scores(spark, d):
     """W6, test side: scores of rows that no model saw, averaged over all folds and seeds of a learner."""
     known, test = _split_customers(spark, d)
-    run = O.run(known, TREE_FEATURES, TARGET, id_col=ID, strata=STRATA, k=FOLDS, seeds=SEEDS)
+    run = O.run(known, TREE_FEATURES, TARGET, id_col=ID, strata=STRATA, k=FOLDS, seeds=SEEDS, learners=LEARNERS)
     return O.score_table(test, run.forest, [ID, TARGET])
 
 
@@ -108,7 +112,7 @@ def q_ablation_gain(spark, d):
     wide = cut_lineage(base.join(block.select(ID, *extra), ID))
     aucs = []
     for features in (TREE_FEATURES, TREE_FEATURES + extra):
-        run = O.run(wide, features, TARGET, id_col=ID, strata=STRATA, k=FOLDS, seeds=SEEDS[:1])
+        run = O.run(wide, features, TARGET, id_col=ID, strata=STRATA, k=FOLDS, seeds=SEEDS[:1], learners=LEARNERS)
         aucs.append(A.roc_auc(run.oof.withColumnRenamed(TARGET, "y"), ["learner"]).withColumnRenamed("learner", "model"))
     return W.ablation_gain(*aucs)
 
@@ -168,6 +172,33 @@ def q_uncertainty_mae(spark, d):
 def q_bagged_variance(spark, d):
     """U8: mean and variance of every test row's score over refits on bootstrap weights."""
     known, test = _split_customers(spark, d)
-    forest = O.bagged(known, TREE_FEATURES, TARGET, id_col=ID, params=replace(O.DEPTH_WISE, columns=1.0), replicates=REPLICATES, seed=SEED)
+    forest = O.bagged(known, TREE_FEATURES, TARGET, id_col=ID, params=replace(DEPTH_WISE["depth_wise"], columns=1.0), replicates=REPLICATES, seed=SEED)
     return O.score_table(test, forest, [ID, TARGET]).select(
         F.col(ID).alias("id"), F.col(TARGET).alias("y"), F.col("p").alias("mean_p"), "var_p", F.col("n_models").alias("n_passes"))
+
+
+def _root(spark) -> str:
+    """A new folder for runs below the cluster's shared one."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/runs-{uuid.uuid4().hex}"
+
+
+@register("committed_run", ORACLE["evaluate_models"])
+def q_committed_run(spark, d):
+    """Sweep metrics and fold summary written as one committed run, the metrics read back by the manifest."""
+    from riskframe.plans.q_analysis import q_oof_metrics
+    from riskframe.plans.q_audit import q_evaluate_models
+    root = _root(spark)
+    write_run(spark, root, "sweep", {"metrics": q_evaluate_models(spark, d), "folds": q_oof_metrics(spark, d)}, {"seed": SEED})
+    return read_run(spark, root, "sweep")["metrics"]
+
+
+@register("gbt_run_tables")
+def q_gbt_run_tables(spark, d):
+    """All tables of an out-of-fold run of both learners, committed and read back; one row per table."""
+    known, test = _split_customers(spark, d)
+    run = O.run(known, TREE_FEATURES, TARGET, id_col=ID, strata=STRATA, k=FOLDS, seeds=SEEDS[:1], learners=LEARNERS)
+    tables = O.result_tables(run, id_col=ID, label=TARGET, test=O.score_table(test, run.forest, [ID]))
+    root = _root(spark)
+    manifest = write_run(spark, root, "gbt", tables, {"folds": FOLDS, "seeds": list(SEEDS[:1])})
+    read_run(spark, root, "gbt")
+    return manifest.select("run_id", F.explode("tables").alias("table_name", "n_rows"))
