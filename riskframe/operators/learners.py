@@ -3,16 +3,18 @@
 * W10: a class-weighted linear scorer, ``LogisticRegression`` with balanced
   weights (F7) as ``weightCol``.
 * W11: logistic scorers under BCE + lambda * rho^2 (rho: correlation of score
-  and sensitive attribute).  All lambdas train together: one pass over the
-  training rows per step returns the sums that both gradients need.
+  and sensitive attribute).  All lambdas train together by L-BFGS: one pass over the
+  training rows returns the sums that objective and gradient of all need.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -22,6 +24,9 @@ from pyspark.sql import functions as F
 from riskframe.operators.fit import class_weights
 from riskframe.session import cut_lineage
 
+#: Sums of tasks that meet in one step.
+FAN = 64
+
 
 def fit_weighted_logit(train: DataFrame, features: Sequence[str], label: str,
                        reg: float = 0.0, max_iter: int = 100):
@@ -68,39 +73,117 @@ def fair_step(sums: np.ndarray, lambdas: np.ndarray, eps: float = 1e-8) -> tuple
     return loss / sw + lambdas * rho ** 2, g / sw[:, None] + (2 * lambdas * rho)[:, None] * drho
 
 
-def fit_fair_sweep(train: DataFrame, features: Sequence[str], label: str, sensitive: str, lambdas: Sequence[float],
-                   steps: int = 40, rate: float = 0.2) -> np.ndarray:
-    """Coefficients (bias last) of one scorer per lambda.
+@dataclass
+class FairFit:
+    """One scorer per lambda: coefficients (bias last), objective, largest gradient entry, steps and passes."""
+
+    lambdas: list[float]
+    beta: np.ndarray
+    objective: np.ndarray
+    gradient: np.ndarray
+    steps: np.ndarray
+    passes: int
+
+
+def _fair_pass(rows: DataFrame, beta: dict[int, np.ndarray], lambdas: np.ndarray, d: int, n_tasks: int) -> dict[int, tuple]:
+    """{model: (objective, gradient)} at the points ``beta`` in one pass; tasks' sums are added on the executors."""
+    index, points = list(beta), np.array(list(beta.values()))
+    block = fair_gradients
 
-    ``features`` are scaled and complete.  Each step is one job over the
-    checkpointed training rows; a task returns one row of sums per model.
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((len(points), 8 + 4 * d))
+        for batch in batches:
+            x = batch.column(0).flatten().to_numpy().reshape(-1, d)
+            total += block(x, *(batch.column(i).to_numpy() for i in (1, 2, 3)), points)
+        task = TaskContext.get().partitionId()
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(index, pa.int32()), pa.array([task] * len(index), pa.int32()), pa.array([t.tobytes() for t in total], pa.binary())],
+            ["model", "task", "sums"])
+
+    def add(table: pa.Table) -> pa.Table:
+        total = np.zeros(8 + 4 * d)
+        for i in np.argsort(table["task"].to_numpy(), kind="stable"):
+            total += np.frombuffer(table["sums"][int(i)].as_buffer(), np.float64)
+        return table.slice(0, 1).set_column(2, "sums", pa.array([total.tobytes()], pa.binary()))
+
+    kind = "model int, task int, sums binary"
+    parts = rows.mapInArrow(sums, kind)
+    step = n_tasks
+    while step > FAN:  # sums of many tasks meet in several steps
+        step = -(-step // FAN)
+        parts = parts.groupBy("model", (F.col("task") % step).alias("part")).applyInArrow(add, kind)
+    got = parts.groupBy("model").applyInArrow(add, kind).collect()  # one row a model
+    at = [r["model"] for r in got]
+    value, grad = fair_step(np.array([np.frombuffer(r["sums"], np.float64) for r in got]), lambdas[at])
+    return {m: (float(v), g) for m, v, g in zip(at, value, grad)}
+
+
+def _direction(grad: np.ndarray, history: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """Minus the inverse Hessian, as known from the last moves, times the gradient (two loops)."""
+    q, alphas = grad.copy(), []
+    for s, y in reversed(history):
+        a = (s @ q) / (s @ y)
+        alphas.append(a)
+        q = q - a * y
+    if history:
+        s, y = history[-1]
+        q = q * ((s @ y) / (y @ y))
+    for (s, y), a in zip(history, reversed(alphas)):
+        q = q + s * (a - (y @ q) / (s @ y))
+    return -q
+
+
+def fit_fair(train: DataFrame, features: Sequence[str], label: str, sensitive: str, lambdas: Sequence[float], *,
+             tolerance: float = 1e-5, steps: int = 200, memory: int = 10) -> FairFit:
+    """One scorer per lambda by L-BFGS, all lambdas in shared passes over the checkpointed training rows.
+
+    ``features`` are scaled and complete.  A pass evaluates each lambda at its own trial point: it moves there
+    if the objective falls enough (Armijo), else it tries half the way.  A lambda leaves the passes as soon as no
+    entry of its gradient exceeds ``tolerance``, or no step lowers its objective any more; ``steps`` is a limit that
+    it does not reach on data that can be fitted, and the result tells the gradient that is left.
     """
     if 0.0 not in [float(v) for v in lambdas]:
         raise ValueError("the grid must contain 0.0 (the baseline)")
     lam = np.array(lambdas, float)
     w = class_weights(train, label).select(F.col("label").alias(label), F.col("weight").alias("_w"))
+    # the class table has two rows
     rows = cut_lineage(train.join(F.broadcast(w), label).select(
         F.array(*[F.col(c).cast("double") for c in features], F.lit(1.0)).alias("x"),
         F.col(label).cast("double").alias("y"), F.col(sensitive).cast("double").alias("s"), F.col("_w").alias("w")))
-    d = len(features) + 1
-    beta, m, v = np.zeros((len(lam), d)), np.zeros((len(lam), d)), np.zeros((len(lam), d))
-    block = fair_gradients
-
-    for step in range(1, steps + 1):
-        now = beta.copy()
-
-        def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            total = np.zeros((len(now), 8 + 4 * d))
-            for batch in batches:
-                x = batch.column(0).flatten().to_numpy().reshape(-1, d)
-                total += block(x, *(batch.column(i).to_numpy() for i in (1, 2, 3)), now)
-            yield pa.RecordBatch.from_arrays([pa.array([total.ravel().tolist()], pa.list_(pa.float64()))], ["sums"])
-
-        got = rows.mapInArrow(sums, "sums array<double>").collect()  # one row per task
-        _, grad = fair_step(np.sum([np.reshape(r["sums"], (len(lam), -1)) for r in got], axis=0), lam)
-        m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad ** 2
-        beta = beta - rate * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.99 ** step)) + 1e-8)
-    return beta
+    n_tasks = (rows.select(F.spark_partition_id().alias("task")).agg(F.max("task")).head()[0] or 0) + 1
+    d, k = len(features) + 1, len(lam)
+    at = _fair_pass(rows, {i: np.zeros(d) for i in range(k)}, lam, d, n_tasks)
+    out = FairFit([float(v) for v in lam], np.zeros((k, d)), np.array([at[i][0] for i in range(k)]), np.zeros(k), np.zeros(k, int), 1)
+    grad = [at[i][1] for i in range(k)]
+    history: list[list] = [[] for _ in range(k)]
+    go = [-g / max(1.0, np.linalg.norm(g)) for g in grad]
+    length, open_ = np.ones(k), {i for i in range(k) if np.abs(grad[i]).max() > tolerance}
+    while open_:
+        trial = {i: out.beta[i] + length[i] * go[i] for i in sorted(open_)}
+        out.passes += 1
+        for i, (value, g) in _fair_pass(rows, trial, lam, d, n_tasks).items():
+            if not np.isfinite(value) or value > out.objective[i] + 1e-4 * length[i] * (grad[i] @ go[i]):
+                length[i] /= 2
+                if length[i] < 1e-10:  # rounding: nothing lower is near
+                    open_.discard(i)
+                continue
+            s, y = trial[i] - out.beta[i], g - grad[i]
+            if s @ y > 1e-12:
+                history[i] = [*history[i], (s, y)][-memory:]
+            out.beta[i], out.objective[i], grad[i] = trial[i], value, g
+            out.steps[i] += 1
+            if np.abs(g).max() <= tolerance or out.steps[i] >= steps:
+                open_.discard(i)
+            go[i], length[i] = _direction(g, history[i]), 1.0
+            if g @ go[i] >= 0:
+                go[i], history[i] = -g, []
+    out.gradient = np.array([np.abs(g).max() for g in grad])
+    return out
+
+
+def fit_fair_sweep(train: DataFrame, features: Sequence[str], label: str, sensitive: str, lambdas: Sequence[float], **options) -> np.ndarray:
+    """Coefficients (bias last) of one scorer per lambda (see ``fit_fair``)."""
+    return fit_fair(train, features, label, sensitive, lambdas, **options).beta
 
 
 def fair_scores(df: DataFrame, beta: np.ndarray, lambdas: Sequence[float], features: Sequence[str], keep: Sequence[str]) -> DataFrame:

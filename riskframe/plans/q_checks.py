@@ -104,10 +104,7 @@ def q_final_results(spark, d):
 FAIR_LAMBDAS = tuple(lam for lam, _ in B.LAMBDA_SHIFTS)
 
 
-@register("fair_sweep")
-def q_fair_sweep(spark, d):
-    """W11 + W1-W3 + M11: one scorer per lambda trained with the fairness penalty;
-    chosen and thresholded on validation rows, measured on test rows."""
+def _fair_fit(spark, d):
     from riskframe.operators import fit as FT
     from riskframe.plans.q_prep import SPEC, _det_split
     df = _det_split(spark, d)
@@ -115,9 +112,21 @@ def q_fair_sweep(spark, d):
     feats = [c for c in prep.columns if c not in ("SK_ID_CURR", "TARGET", "SENSITIVE", "split")]
     scale = FT.fit_standard(prep, feats)
     prep = cut_lineage(FT.apply_standard(prep, scale))
-    beta = L.fit_fair_sweep(prep.where("split = 'train'"), feats, "TARGET", "SENSITIVE", FAIR_LAMBDAS)
+    return prep, feats, L.fit_fair(prep.where("split = 'train'"), feats, "TARGET", "SENSITIVE", FAIR_LAMBDAS)
+
+
+@register("fair_sweep")
+def q_fair_sweep(spark, d):
+    """W11 + W1-W3 + M11: one scorer per lambda trained with the fairness penalty;
+    chosen and thresholded on validation rows, measured on test rows, with steps and gradient of the fit."""
+    prep, feats, fit = _fair_fit(spark, d)
     keep = [F.col("SK_ID_CURR").alias("id"), F.col("TARGET").alias("y"), F.col("SENSITIVE").alias("s"), "split"]
-    return validated(L.fair_scores(prep, beta, FAIR_LAMBDAS, feats, keep))[0]
+    table = validated(L.fair_scores(prep, fit.beta, FAIR_LAMBDAS, feats, keep))[0]
+    # one row a lambda
+    told = spark.createDataFrame([(f"lam={lam:g}", float(o), float(g), int(n)) for lam, o, g, n in
+                                  zip(fit.lambdas, fit.objective, fit.gradient, fit.steps)],
+                                 "model_id string, objective double, gradient double, steps int")
+    return table.join(told, "model_id")
 
 
 @register("score_logit")

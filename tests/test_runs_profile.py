@@ -43,8 +43,8 @@ def test_hexagons_take_the_nearest_centre(spark):
     sx, sy = 1 / 10, 1 / int(10 / 3 ** .5)
     for x, y, t in rows:
         x, y = x or 0.0, y or 0.0
-        near = min(((x / sx - i - h) ** 2 + 3 * (y / sy - j - h) ** 2, -h, i, j) for h in (0, .5) for i in range(-1, 12) for j in range(-1, 8))
-        key = (2 if near[1] else 1, near[2], near[3])
+        near = min(((x / sx - i - h) ** 2 + 3 * (y / sy - j - h) ** 2, -h, -i, -j) for h in (0, .5) for i in range(-1, 12) for j in range(-1, 8))
+        key = (2 if near[1] else 1, -near[2], -near[3])
         cells.setdefault(key, []).append(t)
     assert {(c["lattice"], c["ix"], c["iy"]): (c["n"], round(c["rate"], 9)) for c in got} == {
         k: (len(v), round(sum(v) / len(v), 9)) for k, v in cells.items()}

@@ -140,7 +140,16 @@ def test_penalty_lowers_the_correlation(spark):
     a, b = r.standard_normal(n) + s, r.standard_normal(n)
     y = (a + b + .5 * r.standard_normal(n) > .8).astype(int)
     df = spark.createDataFrame([(i, int(y[i]), int(s[i]), float(a[i]), float(b[i])) for i in range(n)], "id long, y int, s int, a double, b double")
-    beta = L.fit_fair_sweep(df, ["a", "b"], "y", "s", (0.0, 5.0), steps=40)
+    fit = L.fit_fair(df.repartition(5), ["a", "b"], "y", "s", (0.0, 5.0))
+    assert (fit.gradient <= 1e-5).all() and (0 < fit.steps).all() and (fit.steps < 60).all() and fit.passes < 150
+    x, w = np.column_stack((a, b, np.ones(n))), np.where(y == 1, n / (2 * y.sum()), n / (2 * (n - y.sum())))
+    old, m, v = np.zeros((2, 3)), np.zeros((2, 3)), np.zeros((2, 3))
+    for step in range(1, 401):  # plain Adam, many steps
+        value, grad = L.fair_step(L.fair_gradients(x, y, s, w, old), np.array([0.0, 5.0]))
+        m, v = .9 * m + .1 * grad, .99 * v + .01 * grad ** 2
+        old = old - .2 * (m / (1 - .9 ** step)) / (np.sqrt(v / (1 - .99 ** step)) + 1e-8)
+    assert (fit.objective <= value + 1e-9).all()
+    beta = fit.beta
     sc = L.fair_scores(df, beta, (0.0, 5.0), ["a", "b"], ["id", "y", "s"])
     rho = {x["model_id"]: x["abs_rho"] for x in A.abs_rho(sc, ["model_id"]).collect()}
     auc = {x["model_id"]: x["auc"] for x in A.roc_auc(sc, ["model_id"]).collect()}
