@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 
 from riskframe.operators import audit as A
 from riskframe.operators import oof as O
+from riskframe.operators import relational as R
 from riskframe.operators import split as P
 from riskframe.operators import sweep as W
 from riskframe.operators import uncertainty as U
 from riskframe.plans import bindings as B
-from riskframe.plans.q_prep import SEED
+from riskframe.plans.q_prep import SEED, det_split_ctes
 from riskframe.plans.registry import ORACLE, register
 from riskframe.session import checkpoint_dir, cut_lineage
 from riskframe.sources.runs import read_run, write_run
@@ -31,6 +32,11 @@ REPLICATES = 20
 TOP = 25
 
 
+def _root(spark) -> str:
+    """A new folder for runs below the cluster's shared one."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/runs-{uuid.uuid4().hex}"
+
+
 def _customers(spark, d):
     return B.deterministic(spark, d).select(ID, *STRATA, *TREE_FEATURES)
 
@@ -130,6 +136,22 @@ def q_experiment_table(spark, d):
     return W.experiment_table([sweep, folds])
 
 
+@register("matrix_test_side", f"""WITH m AS ({ORACLE['relational_matrix']}),
+    t AS ({B.with_roles("deterministic", extra=det_split_ctes())} SELECT SK_ID_CURR FROM dsp WHERE split = 'test')
+    SELECT * EXCLUDE (TARGET) FROM m WHERE SK_ID_CURR IN (SELECT SK_ID_CURR FROM t)""")
+def q_matrix_test_side(spark, d):
+    """R12 + R14, test side: the wide matrix of rows without a target, joined from the same bucketed blocks and with the same
+    codes as the training side, its columns in the training side's order."""
+    from riskframe.plans import q_relational as Q
+    application = Q.application_block(spark, d)  # codes are fitted on both sides together
+    split = cut_lineage(P.stratified_split(B.deterministic(spark, d), id_col=ID, strata=STRATA, seed=SEED).select(ID, "split"))
+    known = application.join(split.where("split != 'test'"), ID, "left_semi")
+    test = application.join(split.where("split = 'test'"), ID, "left_semi").drop(TARGET)
+    blocks = [Q._bureau_block(spark, d), Q._previous_block(spark, d), Q._instalment_block(spark, d), Q._pos_block(spark, d), Q._card_block(spark, d)]
+    train, test = R.matrix_sides([known, test], blocks, _root(spark))
+    return R.align_columns(train, test, R.feature_columns(train.columns, sensitive=None))[1]
+
+
 def _errors(spark, d):
     """(errors of out-of-fold scores on the rows to learn from, with their features; test rows with the mean score)."""
     known, test = _split_customers(spark, d)
@@ -177,11 +199,6 @@ def q_bagged_variance(spark, d):
         F.col(ID).alias("id"), F.col(TARGET).alias("y"), F.col("p").alias("mean_p"), "var_p", F.col("n_models").alias("n_passes"))
 
 
-def _root(spark) -> str:
-    """A new folder for runs below the cluster's shared one."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/runs-{uuid.uuid4().hex}"
-
-
 @register("committed_run", ORACLE["evaluate_models"])
 def q_committed_run(spark, d):
     """Sweep metrics and fold summary written as one committed run, the metrics read back by the manifest."""

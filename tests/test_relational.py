@@ -82,3 +82,18 @@ def test_merge_blocks_rejects_a_key_that_stands_twice(spark):
     assert R.merge_blocks([good, good.withColumnRenamed("a", "c")]).count() == 2
     with pytest.raises(Exception, match="duplicated SK_ID_CURR"):
         R.merge_blocks([good, bad]).collect()
+
+
+def test_sides_join_bucketed_blocks_without_an_exchange(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    blocks = [spark.range(40).select((F.col("id") % 20).alias("SK_ID_CURR"), F.col("id").alias(f"v{i}")).groupBy("SK_ID_CURR")
+              .agg(F.sum(f"v{i}").alias(f"B{i}")) for i in range(5)]
+    train = spark.range(15).selectExpr("id as SK_ID_CURR", "cast(id % 2 as int) as TARGET")
+    test = spark.range(10, 30).selectExpr("id as SK_ID_CURR")
+    sides = R.matrix_sides([train, test], blocks, str(tmp_path))
+    for side, plain in zip(sides, (train, test)):
+        plan = side._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("SortMergeJoin") == 5 and "Exchange" not in plan
+        want = R.relational_matrix(plain, blocks)
+        assert sorted(map(str, side.collect())) == sorted(map(str, want.select(side.columns).collect()))
