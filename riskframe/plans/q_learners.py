@@ -27,6 +27,8 @@ FOLDS, SEEDS = 5, (SEED, SEED + 101)
 #: The learners with smaller least nodes: the test tables have some thousand customers, not hundreds of thousands.
 LEARNERS = {"depth_wise": replace(O.DEPTH_WISE, min_weight=4), "leaf_wise": replace(O.LEAF_WISE, min_weight=4, min_rows=20)}
 DEPTH_WISE = {"depth_wise": LEARNERS["depth_wise"]}
+#: Over the many columns of the matrix: larger least nodes and steps.
+WIDE = {"depth_wise": replace(O.DEPTH_WISE, min_weight=20, rate=0.4, patience=5)}
 #: Refits of a bagged scorer.
 REPLICATES = 20
 TOP = 25
@@ -86,7 +88,7 @@ def _matrix_importance(spark, d):
     from riskframe.plans.q_relational import q_relational_matrix
     m = q_relational_matrix(spark, d)
     features = [c for c, t in m.dtypes if c not in (ID, TARGET) and t in ("int", "bigint", "double")]
-    return O.run(m, features, TARGET, id_col=ID, strata=[TARGET], k=FOLDS, seeds=SEEDS, learners=DEPTH_WISE).mean_importance()
+    return O.run(m, features, TARGET, id_col=ID, strata=[TARGET], k=FOLDS, seeds=SEEDS, learners=WIDE).mean_importance()
 
 
 @register("importance_by_source")
