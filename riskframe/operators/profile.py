@@ -10,6 +10,10 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -157,12 +161,59 @@ def pearson_target(df: DataFrame, cols: Sequence[str], target: str = "TARGET") -
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pairwise Pearson matrix in long form (pairwise-complete rows)."""
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    arr = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(a).cast("double").alias("x"),
-                             F.col(b).cast("double").alias("y")) for a, b in pairs])
-    long = df.select(F.inline(arr)).filter(F.col("x").isNotNull() & F.col("y").isNotNull())
-    return long.groupBy("a", "b").agg(_pearson(F.col("x"), F.col("y")).alias("pearson"))
+    """Pairwise Pearson matrix in long form (a <= b in the order of ``cols``), each pair over the rows
+    that have both values; NaN counts as missing, and a pair without spread has 0.
+
+    Every task adds up four products of the masked, shifted values (counts, sums, squares, cross
+    products), so a row costs no more rows; the sums of a column meet in two steps.
+    """
+    cols, d = list(cols), len(cols)
+    num = [F.col(c).cast("double") for c in cols]
+    num = [F.when(~F.isnan(x), x) for x in num]
+    # any shift is right; the mean keeps the products from cancelling
+    mean = df.agg(*(F.avg(x).alias(f"m{i}") for i, x in enumerate(num))).first()
+    shift = np.array([0.0 if m is None else m for m in mean])
+
+    def products(batches):
+        n, sx, sxx, sxy = (np.zeros((d, d)) for _ in range(4))
+        for batch in batches:
+            x = np.column_stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(d)]).astype(float)
+            have = ~np.isnan(x)
+            x = np.where(have, x - shift, 0.0)
+            mask = have.astype(float)
+            n += mask.T @ mask
+            sx += x.T @ mask
+            sxx += (x * x).T @ mask
+            sxy += x.T @ x
+        # row i: its sums over the rows that have j too, and those of j over the rows that have i
+        rows = np.stack((n, sx, sx.T, sxx, sxx.T, sxy), axis=1)
+        salt = TaskContext.get().partitionId() % 32
+        yield pa.RecordBatch.from_pydict({
+            "i": pa.array(np.arange(d, dtype=np.int32)), "salt": pa.array(np.full(d, salt, np.int32)),
+            "sums": pa.array([row.tobytes() for row in rows], pa.binary())})
+
+    def total(part):
+        out = np.zeros(6 * d)
+        for sums in part["sums"]:
+            out += np.frombuffer(sums)
+        return out
+
+    def add(part):
+        return pd.DataFrame({"i": part["i"].iloc[:1], "sums": [total(part).tobytes()]})
+
+    def pearson(part):
+        i = int(part["i"].iloc[0])
+        n, sx, sy, sxx, syy, sxy = total(part).reshape(6, d)[:, i:]
+        with np.errstate(all="ignore"):
+            vx, vy = sxx / n - (sx / n) ** 2, syy / n - (sy / n) ** 2
+            # what rounding leaves of a constant is no spread
+            spread = (vx > 1e-14 * sxx / n) & (vy > 1e-14 * syy / n)
+            r = np.where(spread, (sxy / n - sx / n * sy / n) / np.sqrt(vx * vy), 0.0)
+        return pd.DataFrame({"a": cols[i], "b": cols[i:], "pearson": r})[n > 0]
+
+    sums = df.select(*(x.alias(f"x{i}") for i, x in enumerate(num))).mapInArrow(products, "i int, salt int, sums binary")
+    sums = sums.groupBy("i", "salt").applyInPandas(add, "i int, sums binary")
+    return sums.groupBy("i").applyInPandas(pearson, "a string, b string, pearson double")
 
 
 def spearman_target(df: DataFrame, cols: Sequence[str], target: str = "TARGET",

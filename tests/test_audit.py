@@ -71,3 +71,20 @@ def test_auc_and_youden_of_ten_billion_rows(spark):
     rows = df.selectExpr("score as p", "explode(array(struct(1 as y, pos as w), struct(0 as y, neg as w))) as e").select("p", "e.*")
     assert abs(A.roc_auc(rows, [], weight="w").first()["auc"] - .5) < 1e-12
     assert with_cumulative(df, []).count() == 3
+
+
+def test_large_ranges_are_cut_again(spark):
+    import random
+
+    from riskframe.operators.ranked import score_counts, with_cumulative
+
+    r = random.Random(4)
+    rows = [(m, r.choice([0.5, r.random(), 1e-9 * r.random()]), int(r.random() < .3)) for m in range(2) for _ in range(1500)]
+    counts = score_counts(spark.createDataFrame(rows, "m int, p double, y int"), ["m"])
+    want = {(m, p): (sum(1 for a, b, y in rows if a == m and b > p and y == 1), sum(1 for a, b, y in rows if a == m and b > p and y == 0))
+            for m, p in {(a, b) for a, b, _ in rows}}
+    for grid in (True, False):
+        for bucket_rows in (5, 10**6):
+            got = with_cumulative(counts, ["m"], n_buckets=8, bucket_rows=bucket_rows, grid=grid).collect()
+            assert {(g["m"], g["score"]): (g["tp_above"], g["fp_above"]) for g in got} == want
+            assert len(got) == len(want)

@@ -64,3 +64,28 @@ def test_densities_integrate_to_one_and_match_the_plain_sum(spark):
         bw = xs.std(ddof=1) * len(xs) ** -.2
         plain = np.exp(-.5 * ((own["x"].to_numpy()[:, None] - xs) / bw) ** 2).sum(axis=1) / (len(xs) * bw * math.sqrt(2 * math.pi))
         assert np.abs(own["density"] - plain).max() < 2e-3 * plain.max()
+
+
+def test_correlations_of_pairs_with_gaps(spark):
+    import numpy as np
+    import pandas as pd
+
+    from riskframe.operators import profile as E
+
+    r = np.random.default_rng(8)
+    x = r.normal(1e6, 1.0, (700, 5))
+    x[:, 1] += x[:, 0]
+    x[:, 3] = 7.25
+    x[r.random(x.shape) < .3] = np.nan
+    x[:, 4] = np.nan
+    cols = list("abcde")
+    frame = pd.DataFrame(x, columns=cols)
+    rows = [[None if np.isnan(v) else float(v) for v in row] for row in x]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in cols)).repartition(5)
+    got = {(g["a"], g["b"]): g["pearson"] for g in E.corr_matrix(df, cols).collect()}
+    want = frame[list("abc")].corr()
+    for i, a in enumerate("abcd"):
+        for b in "abcd"[i:]:
+            assert abs(got.pop((a, b)) - (0.0 if b == "d" else want.loc[a, b])) < 1e-9
+    assert not got  # no rows hold the column without values
+    assert E.corr_matrix(df.limit(0), cols).count() == 0

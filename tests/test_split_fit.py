@@ -121,3 +121,15 @@ def test_one_pass_fit_equals_imputed_quantiles(spark):
         assert abs(got.robust.iqr["x"] - ((q75 - q25) or 1.0)) < 1e-12
         values, counts = np.unique(v, return_counts=True)
         assert got.modes["x"] == values[counts.argmax()]
+
+
+def test_codes_over_ranges_of_values_with_a_common_beginning(spark):
+    from riskframe.operators.encode import dense_index
+
+    values = [("a", f"https://host/user_{i * 7919 % 100003:06d}") for i in range(3000)] + [("b", "x"), ("b", ""), ("b", "Ä")]
+    df = spark.createDataFrame(values, "column string, value string")
+    want = {(k, v): i for k in "ab" for i, v in enumerate(sorted((x for c, x in values if c == k), key=str.encode))}
+    for cell_rows in (50, 20_000):
+        got = dense_index(df, "column", "value", cell_rows=cell_rows).collect()
+        assert len(got) == len(values) and {(g["column"], g["value"]): g["code"] for g in got} == want
+    assert dense_index(df.limit(0), "column", "value").count() == 0
