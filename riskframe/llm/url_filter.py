@@ -67,15 +67,16 @@ def rate(blocked: Column, labelled: Column, prior: Column) -> Column:
 def parent_rates(shapes: DataFrame) -> DataFrame:
     """``shapes`` with ``prior``: the smoothed block rate of the same shape in the host's parent domain.
 
-    The parent of a.b.c is b.c, its parent c; every one is smoothed by the next, the last by PRIOR.  Domains
+    The parent of a.b.c is b.c, its parent c; every one is smoothed by the next, the last by PRIOR.  A domain's
+    rate is over its labelled hosts, whatever their size, so no single host speaks for a domain.  Domains
     without labelled pages of the shape change nothing, so only labelled ones meet.
     """
     labels = F.split("host", r"\.")
     above = F.transform(F.sequence(F.lit(2), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, 10**6), "."))
     ancestors = F.when(F.size(labels).between(2, MAX_LABELS), above).otherwise(F.array().cast("array<string>"))
     salt = F.pmod(F.xxhash64("host"), F.lit(SALTS)).cast("int")
-    known = (shapes.where("labelled > 0").select(F.explode(ancestors).alias("domain"), "shape", "labelled", "blocked")
-             .groupBy("domain", "shape").agg(F.sum("labelled").alias("l"), F.sum("blocked").alias("b"))
+    known = (shapes.where("labelled > 0").select(F.explode(ancestors).alias("domain"), "shape", (F.col("blocked") / F.col("labelled")).alias("share"))
+             .groupBy("domain", "shape").agg(F.count(F.lit(1)).alias("l"), F.sum("share").alias("b"))
              .withColumn("salt", F.explode(F.array(*(F.lit(i) for i in range(SALTS))))))
     rates = (shapes.select("host", "shape", salt.alias("salt"), F.explode(ancestors).alias("domain"))
              .join(known, ["domain", "shape", "salt"])

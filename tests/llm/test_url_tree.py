@@ -91,10 +91,10 @@ def brute(pages):
     domains = defaultdict(lambda: [0, 0])
     for (h, s), (_, l, b) in counts.items():
         labels = h.split(".")
-        for i in range(1, len(labels)):
+        for i in range(1, len(labels) if l else 0):
             d = domains[".".join(labels[i:]), s]
-            d[0] += l
-            d[1] += b
+            d[0] += 1
+            d[1] += b / l
     hosts = defaultdict(list)
     for (h, s), (n, l, b) in counts.items():
         labels, prior = h.split("."), U.PRIOR
