@@ -18,6 +18,7 @@ from riskframe.plans.q_prep import SEED, det_split_ctes
 from riskframe.plans.registry import ORACLE, register
 from riskframe.session import checkpoint_dir, cut_lineage
 from riskframe.sources.runs import read_run, write_run
+from riskframe.sources.tables import read_csv_apart, read_table
 
 ID, TARGET, STRATA = "SK_ID_CURR", "TARGET", ["TARGET", "SENSITIVE"]
 TREE_FEATURES = ["AMT_CREDIT", "AMT_ANNUITY", "AMT_GOODS_PRICE", "EXT_SOURCE_1", "EXT_SOURCE_2", "EXT_SOURCE_3", "AGE_YEARS",
@@ -211,6 +212,27 @@ def q_committed_run(spark, d):
     return read_run(spark, root, "sweep")["metrics"]
 
 
+@register("csv_apart", """
+SELECT c_nationkey, count(*) AS n_rows, sum(c_acctbal) AS balance, count(c_mktsegment) AS n_segments FROM customer
+WHERE c_custkey % 10 NOT IN (1, 2, 3) GROUP BY c_nationkey
+UNION ALL SELECT CAST(NULL AS INTEGER), count(*), CAST(NULL AS DOUBLE), CAST(0 AS BIGINT) FROM customer WHERE c_custkey % 10 IN (1, 2, 3)""")
+def q_csv_apart(spark, d):
+    """Customers written as CSV, some lines with a word for a number, a field too few or too many; totals of the
+    rows that fit, and (without nation) the number of lines that do not."""
+    path = f"{_root(spark)}/customer.csv"
+    fields = read_table(spark, d, "customer", ["c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment"])
+    kind, text = F.col("c_custkey") % 10, [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in fields.columns]
+    line = F.when(kind == 1, F.concat_ws(",", F.lit("none"), *text[1:])).when(kind == 2, F.concat_ws(",", *text[:3]))
+    line = line.when(kind == 3, F.concat_ws(",", *text, F.lit("more"))).otherwise(F.concat_ws(",", *text))
+    fields.select(line.alias("value")).write.text(path)
+    good, bad = read_csv_apart(spark, path, "c_custkey long, c_nationkey int, c_acctbal double, c_mktsegment string", header=False)
+    whole = good.groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("c_acctbal").alias("balance"),
+                                            F.count("c_mktsegment").alias("n_segments"))
+    return whole.unionByName(bad.agg(F.count(F.lit(1)).alias("n_rows")).select(
+        F.lit(None).cast("int").alias("c_nationkey"), "n_rows", F.lit(None).cast("double").alias("balance"),
+        F.lit(0).cast("bigint").alias("n_segments")))
+
+
 @register("gbt_run_tables")
 def q_gbt_run_tables(spark, d):
     """All tables of an out-of-fold run of both learners, committed and read back; one row per table."""

@@ -44,6 +44,22 @@ def read_csv(spark: SparkSession, path: str, schema, columns: Sequence[str] | No
     return df.select(*columns) if columns else df
 
 
+def read_csv_apart(spark: SparkSession, path: str, schema: str, header: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(rows that fit ``schema``, malformed lines) of a CSV scan.
+
+    A line is malformed if a field does not parse as its type, or if it has more or fewer fields than the
+    schema; all lines are in exactly one of the two tables (``line`` holds them as they stand).  Fields are parsed
+    whatever columns are read later, so what counts as malformed does not depend on the query.
+    """
+    df = (spark.read.schema(f"{schema}, _malformed string").option("header", header).option("nanValue", "NaN")
+          .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_malformed")
+          .option("columnPruning", False).csv(path))
+    # the scan refuses plans that read nothing but the malformed line: this is always true and reads a column
+    reads = F.pmod(F.xxhash64(df.columns[0]), F.lit(2)) < 2
+    good = df.where(F.col("_malformed").isNull() & reads).drop("_malformed")
+    return good, df.where(F.col("_malformed").isNotNull() & reads).select(F.col("_malformed").alias("line"))
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a path exists in whatever store its scheme names."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -23,6 +23,16 @@ def test_csv_nan_becomes_null(spark, tmp_path):
     assert got.columns == ["v"] and got.count() == 3
 
 
+def test_malformed_csv_lines_are_kept_apart(spark, tmp_path):
+    lines = ["1,2.5,a", "2,,b", "3,NaN,", "x,1.0,c", "4,1.0", "5,1.0,d,e", "6,-1e3,f g"]
+    (tmp_path / "x.csv").write_text("id,v,s\n" + "\n".join(lines) + "\n")
+    good, bad = T.read_csv_apart(spark, str(tmp_path / "x.csv"), "id long, v double, s string")
+    assert good.columns == ["id", "v", "s"]
+    assert sorted(r["id"] for r in good.collect()) == [1, 2, 3, 6] == sorted(r["id"] for r in good.select("id").collect())
+    assert sorted(r["line"] for r in bad.collect()) == sorted(lines[3:6])
+    assert (good.count(), bad.count()) == (4, 3)
+
+
 def test_feature_set_checks_names(spark):
     df = spark.createDataFrame([(1, 2, 3)], "id int, a int, TARGET int")
     assert D.feature_set(df, ["a"], keep=["id"], forbidden=["TARGET"]).columns == ["id", "a"]
