@@ -94,7 +94,8 @@ def fit(features: list[np.ndarray], owners: list[np.ndarray], labels: np.ndarray
     order = np.argsort(word, kind="stable")
     word, sent = word[order], sent[order]
     cols, at = np.unique(word, return_index=True)
-    v, m, s = w[cols], np.zeros(len(cols) + 1), np.zeros(len(cols) + 1)
+    prior = w[cols]
+    v, m, s = prior.copy(), np.zeros(len(cols) + 1), np.zeros(len(cols) + 1)
     col = np.repeat(np.arange(len(cols)), np.diff(np.concatenate((at, [len(word)]))))
     for step in range(1, ROUNDS + 1):
         z = np.bincount(sent, weights=v[col], minlength=n_sent) + b
@@ -103,7 +104,7 @@ def fit(features: list[np.ndarray], owners: list[np.ndarray], labels: np.ndarray
         pos = -np.expm1(none)
         g = np.where(y[doc_of], -np.exp(none[doc_of]) / np.maximum(pos[doc_of], 1e-9), 1.0) * p
         grad = np.append(np.bincount(col, weights=g[sent], minlength=len(cols)), g.sum()) / n_doc
-        grad[:-1] += DECAY * v
+        grad[:-1] += DECAY * (v - prior)
         m, s = 0.9 * m + 0.1 * grad, 0.99 * s + 0.01 * grad ** 2
         move = RATE * (m / (1 - 0.9 ** step)) / (np.sqrt(s / (1 - 0.99 ** step)) + 1e-8)
         v, b = v - move[:-1], b - move[-1]

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 import zlib
 
 import numpy as np
@@ -53,6 +54,43 @@ def test_toxic_documents_and_sentences_are_found(spark, docs_of):
     assert clean.count() == sum(r["score"] < toxicity.THRESHOLD for r in got)
 
 
+def test_few_labels_teach_every_frequent_word(spark, docs_of):
+    """Words that a document does not need for its label keep the weight that they have alone."""
+    docs, labels, where = labelled(500, seed=8)
+    w, b = toxicity.train(docs_of(docs), spark.createDataFrame(labels, "doc_id bigint, toxic int"))
+    got = toxicity.score(docs_of(docs), w, b).collect()
+    held = [r for r in got if zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1]
+    caught = [r["score"] >= toxicity.THRESHOLD for r in held if r["doc_id"] in where]
+    assert len(caught) > 10 and np.mean(caught) >= 0.9
+    assert np.mean([r["score"] >= toxicity.THRESHOLD for r in held if r["doc_id"] not in where]) < 0.03
+
+
+def test_score_is_the_noisy_or_of_the_sentences(spark, docs_of):
+    """Recomputed word by word and sentence by sentence, a text of a megabyte included."""
+    r = random.Random(9)
+    weights = np.random.default_rng(9).normal(0, 1.5, 1 << toxicity.FEATURE_BITS).astype("f4")
+    texts = ["One two. three! Four", "", "...", "same SAME same", "a\nb\nc", " ".join(r.choice(["ab", "cde", "fghijk."]) for _ in range(250_000))]
+
+    def feature(word):
+        data = np.frombuffer(word.encode(), np.uint8)
+        f = toxicity.sentences(data, np.array([0, len(data)]))[0]
+        assert len(f) == len(toxicity.STEMS)
+        return sum(float(weights[i]) for i in f)
+
+    known = {}
+    for text, got in zip(texts, sorted(toxicity.score(docs_of(list(enumerate(texts))), weights, -3.0).collect(), key=lambda x: x["doc_id"])):
+        none = 1.0
+        n = 0
+        for sentence in re.split(r"[.!?\n]", text):
+            words = [x for x in re.split(r"[\s!-/:-@\[-`{-~]+", sentence) if x]
+            if words:
+                n += 1
+                z = -3.0 + sum(known.setdefault(x, feature(x)) if x not in known else known[x] for x in words)
+                none *= 1 - 1 / (1 + np.exp(-z))
+        assert got["n_sentences"] == n
+        assert got["score"] == pytest.approx(1 - none, abs=1e-9)
+
+
 def test_labels_of_one_kind_and_none(spark, docs_of):
     df = docs_of([(1, "a b"), (2, "c")])
     none = spark.createDataFrame([], "doc_id bigint, toxic int")
