@@ -143,8 +143,27 @@ def overlaps(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.
     return out
 
 
-def sketch_overlap(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, k: int = SKETCH_K) -> np.ndarray:
-    return overlaps([s[:k] for s in sets], left, right)
+def sketch_counts(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, k: int = SKETCH_K) -> tuple[np.ndarray, np.ndarray]:
+    """For all pairs of different sets of left x right: (values both sketches retain, size of the pair's union sketch).
+
+    The union sketch holds what either sketch retains up to the smaller of their largest values: both
+    are complete up to there, so shared / size estimates the likeness.  A sketch of fewer than k values is
+    its whole set and complete everywhere.  The union sketch has k values or more unless both are whole sets.
+    """
+    sketches = [s[:k] for s in sets]
+    shared = overlaps(sketches, left, right)
+    end = np.array([s[-1] if len(s) == k else np.uint64(2 ** 64 - 1) for s in sketches], np.uint64)
+    rows = np.stack([np.searchsorted(sketches[i], np.minimum(end[i], end[right]), side="right") for i in left])
+    cols = np.stack([np.searchsorted(sketches[j], np.minimum(end[j], end[left]), side="right") for j in right], axis=1)
+    return shared, rows + cols - shared
+
+
+def alike(shared: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether the estimate from the union sketch is SHARED_LEAST of SKETCH_K or more.
+
+    A pair of likeness 0.75 fails with a probability below 2e-8, whatever the size of its union sketch.
+    """
+    return shared * SKETCH_K >= SHARED_LEAST * size
 
 
 def _empty(**kinds: str) -> pd.DataFrame:
@@ -161,9 +180,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     Equal sets are one node (copies are never paired).  Each node's sketch is its 64 smallest
     hashes.  Inverted lists of retained values join nodes to clusters; within a cluster nodes are
-    verified on full sets, first against a pivot, and only what the pivot leaves open in blocks of
-    pairs, where the sketches' overlap filters before the exact comparison.  Links that exist are
-    missed only if two sketches share less than 26 values at a likeness of 0.75 (below 1e-9).
+    verified on full sets, first against a pivot.  What the pivot leaves open is compared in blocks:
+    the lists of the block's retained values give the overlaps of its sketches, the estimate from
+    the union sketch filters, full sets verify.  Links that exist are missed only if two sketches
+    share less than 26 values at a likeness of 0.75, or 26/64 of their union sketch (below 2e-8).
     Null ids take part (a set that only null ids have is a node without links); repeated rows of an
     id have the same component if their texts do.  An empty table gives an empty result.
     """
@@ -268,7 +288,8 @@ def link_nodes(docs: DataFrame, nodes: DataFrame) -> DataFrame:
             if near.all() or not len(left) or not len(right):
                 continue
             least = np.minimum(np.minimum(-(-size[left][:, None] * PERCENT // 100), -(-size[right][None, :] * PERCENT // 100)), SHARED_LEAST)
-            maybe = sketch_overlap(sets_, left, right) >= least
+            shared, union_size = sketch_counts(sets_, left, right)
+            maybe = (shared >= least) & alike(shared, union_size)
             maybe &= ~(near[left][:, None] & near[right][None, :])
             if i == j:
                 maybe &= left[:, None] < right[None, :]

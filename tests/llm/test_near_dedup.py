@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -102,3 +103,36 @@ def test_components_of_paths_stars_and_loops(spark):
     want = {i: 100 for i in range(100, 161)} | {i: 9 for i in range(9, 60)} | {299: 299, 300: 299}
     assert got == want
     assert components(edges.where(F.lit(False))).count() == 0
+
+
+def test_union_sketches_count_what_plain_sets_count():
+    r = np.random.default_rng(3)
+    pool = np.unique(r.integers(0, 1 << 63, 4000, dtype=np.uint64) * np.uint64(2))
+    sets = [np.sort(r.choice(pool[:n], m, replace=False)) for n, m in
+            ((100, 80), (100, 90), (4000, 3000), (4000, 3000), (30, 20), (30, 25), (500, 64), (500, 63), (70, 1))]
+    left, right = np.arange(4), np.arange(len(sets))
+    shared, size = near_dedup.sketch_counts(sets, left, right)
+    for i in left:
+        for j in right[right != i]:
+            a, b = sets[i], sets[j]
+            end = min(s[63] if len(s) >= 64 else np.uint64(2 ** 64 - 1) for s in (a, b))
+            a, b = (set(s[s <= end][:64].tolist()) for s in (a, b))
+            assert (shared[i, j], size[i, j]) == (len(a & b), len(a | b))
+            assert size[i, j] >= 64 or max(len(sets[i]), len(sets[j])) < 64
+
+
+def test_estimate_lets_every_linked_pair_pass():
+    """Pairs of likeness 0.75 to 0.80, of many sizes: none fails the filter; pairs of 0.2 mostly do."""
+    r = np.random.default_rng(4)
+    passed, low = [], []
+    for n in (4, 20, 63, 64, 65, 90, 300, 2000):
+        for _ in range(60):
+            for likeness, out in ((0.75, passed), (0.8, passed), (0.2, low)):
+                values = np.unique(r.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2))
+                both = int(np.ceil(likeness * len(values)))
+                only = r.integers(0, 2, len(values) - both).astype(bool)
+                mixed = r.permutation(values)
+                a, b = np.sort(np.r_[mixed[:both], mixed[both:][only]]), np.sort(np.r_[mixed[:both], mixed[both:][~only]])
+                out.append(bool(near_dedup.alike(*near_dedup.sketch_counts([a, b], np.array([0]), np.array([1])))[0, 0]))
+    assert all(passed)
+    assert np.mean(low) < 0.1
