@@ -11,7 +11,9 @@ from riskframe.operators import learners as L
 from riskframe.operators import split as P
 from riskframe.operators import sweep as W
 from riskframe.plans import bindings as B
-from riskframe.plans.q_prep import SEED
+from riskframe.plans.q_analysis import STATUS_SQL, pareto_sql
+from riskframe.plans.q_audit import ap_cte, auc_cte, binary_cte, cum_cte, fair_cte, rho_cte, youden_cte
+from riskframe.plans.q_prep import SEED, split_sql
 from riskframe.plans.registry import register
 from riskframe.session import cut_lineage
 from riskframe.sources import contract as C
@@ -90,6 +92,29 @@ def validated(scored):
     return chosen.join(metrics, key), test.join(fit.select("model_id", "threshold"), key)
 
 
+FINAL_SQL = B.with_roles("scored", "scored_models", extra=",\n".join([
+    split_sql("scored", "id", ["y", "s"], "ssp"),
+    "part AS (SELECT m.*, ssp.split FROM scored_models m JOIN ssp USING (id))",
+    "val AS (SELECT * FROM part WHERE split = 'validation')",
+    cum_cte("val", name="vcum"), youden_cte(cum="vcum"),
+    auc_cte(cum="vcum").replace("auc_t AS", "val_auc AS"), rho_cte("val").replace("rho_t AS", "val_rho AS"),
+    """sw AS (SELECT model_id, threshold, auc, abs_rho, lam, score_std FROM youden_t JOIN val_auc USING (model_id) JOIN val_rho USING (model_id)
+       JOIN (SELECT model_id, max(lam) AS lam, stddev_pop(p) AS score_std FROM val GROUP BY model_id) USING (model_id))""",
+    STATUS_SQL, pareto_sql("st", True),
+    "test AS (SELECT p.*, CAST(p.p >= t.threshold AS INTEGER) AS y_hat FROM part p JOIN youden_t t USING (model_id) WHERE p.split = 'test')",
+    cum_cte("test", name="tcum"), auc_cte(cum="tcum"), ap_cte(cum="tcum"), rho_cte("test"), binary_cte("test"), fair_cte("test")])) + """
+SELECT model_id, p.lam, p.status, p.selected, p.auc AS val_auc, p.abs_rho AS val_abs_rho, p.threshold, auc_t.auc, ap, rho_t.abs_rho,
+  accuracy, precision, recall, f1, dpd, eod
+FROM pareto p JOIN auc_t USING (model_id) JOIN ap_t USING (model_id) JOIN rho_t USING (model_id)
+  JOIN bin_t USING (model_id) JOIN fair_t USING (model_id)"""
+
+
+@register("final_points", FINAL_SQL)
+def q_final_points(spark, d):
+    """M16 without its intervals: selection and thresholds from validation rows, point metrics of the test rows."""
+    return validated(sweep_split(spark, d))[0]
+
+
 @register("final_results")
 def q_final_results(spark, d):
     """All sweep models, chosen and thresholded on validation rows; test
