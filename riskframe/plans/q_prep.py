@@ -11,6 +11,7 @@ from riskframe.operators import split as P
 from riskframe.operators.encode import label_encode
 from riskframe.plans import bindings as B
 from riskframe.plans.registry import register
+from riskframe.sources import contract as C
 
 SEED = 42
 FOLD_SEEDS = P.repeat_seeds(SEED, 2)
@@ -297,6 +298,27 @@ def q_preprocess_full(spark, d):
     return FT.apply_preprocess(df, fitted, raw_copies={"EXT_NULL_COUNT": "EXT_NULL_COUNT_RAW"})
 
 
+PREPROCESSED_SQL = B.with_roles("deterministic", extra=",\n".join(
+    [det_split_ctes(), med_cte(FIN), robust_ctes(), mode_cte(), f"prepared AS ({preprocess_select()})"]))
+
+
+@register("preprocess_nulls", PREPROCESSED_SQL + "SELECT " + ", ".join(
+    f"count_if({c} IS NULL) AS {c}" for c in FIN + SCALED + BINARY) + " FROM prepared")
+def q_preprocess_nulls(spark, d):
+    """F6 check: values still missing in every model input after fitting on train and applying to all splits."""
+    return FT.null_violations(q_preprocess_full(spark, d), FIN + SCALED + BINARY)
+
+
+@register("finite_checks", PREPROCESSED_SQL + " UNION ALL ".join(
+    f"SELECT '{t}.{c}' AS rule, count_if({c} IS NULL OR NOT isfinite(CAST({c} AS DOUBLE))) AS violations FROM {src}"
+    for t, src in (("raw", "deterministic"), ("prepared", "prepared")) for c in FIN + SCALED))
+def q_finite_checks(spark, d):
+    """Rows whose model input is missing or not finite, before and after preprocessing."""
+    def checks(df, name):
+        return C.domain_checks(df, {f"{name}.{c}": C.finite_rule(c) for c in FIN + SCALED})
+    return checks(B.deterministic(spark, d), "raw").unionByName(checks(q_preprocess_full(spark, d), "prepared"))
+
+
 @register("class_weights", B.with_roles("deterministic", extra=det_split_ctes())
           + """SELECT TARGET AS label, count(*) AS n_c,
                  CAST(sum(count(*)) OVER () AS DOUBLE) / (2.0 * count(*)) AS weight
