@@ -207,19 +207,22 @@ def evaluate_models(df: DataFrame, keys: Sequence[str] = ("model_id",),
                     thresholds: DataFrame | None = None, score: str = "p", label: str = "y",
                     sensitive: str = "s") -> DataFrame:
     """One evaluation row per model: AUC, AP, |rho|, threshold (given per
-    model or chosen by Youden on the same rows), binary and fairness metrics."""
+    model or chosen by Youden on the same rows), binary and fairness metrics.
+
+    Every joined table has one row per model and is broadcast by hint: left to its estimates, which do not know
+    how many models a row was exploded to, the planner may broadcast the scored rows instead."""
     keys = list(keys)
     # one row per (model, distinct score): the ranking metrics share its prefix sums
     cum = cut_lineage(cumulative(df, keys, score, label))
     auc, ap = _auc_of(cum, keys), _ap_of(cum, keys)
     rho = abs_rho(df, keys, score, sensitive)
     thr = cut_lineage((thresholds if thresholds is not None else _youden_of(cum, keys)).select(*keys, "threshold"))
-    scored = apply_threshold(df.join(thr, keys), "threshold", score)
+    scored = apply_threshold(df.join(F.broadcast(thr), keys), "threshold", score)
     bm = binary_metrics(scored, keys, label)
     fm = fairness(scored, keys, label, "y_hat", sensitive).drop("n_groups")
     out = auc
     for t in (ap, rho, thr.select(*keys, "threshold"), bm, fm):
-        out = out.join(t, keys)
+        out = out.join(F.broadcast(t), keys)
     return out
 
 

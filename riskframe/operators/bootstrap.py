@@ -77,7 +77,7 @@ def replicate_metrics(df: DataFrame, keys: Sequence[str] = (), *, n_boot: int =
     groups = cut_lineage(groups)
     n_buckets = max(1, int((groups.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0) // BUCKET_GROUPS))
     cuts = groups.groupBy(*keys).agg(F.percentile_approx("p", [(i + 1) / n_buckets for i in range(n_buckets)], 10_000).alias("cuts"))
-    dealt = groups.join(cuts, keys).withColumn("bucket", F.size(F.filter("cuts", lambda x: x < F.col("p")))).drop("cuts")
+    dealt = groups.join(F.broadcast(cuts), keys).withColumn("bucket", F.size(F.filter("cuts", lambda x: x < F.col("p")))).drop("cuts")
     sums = [*CELLS, *MOMENTS, "pos", "neg", "twice"]
     schema = dealt.select(*keys).schema
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)

@@ -93,8 +93,8 @@ def with_cumulative(counts: DataFrame, keys: Sequence[str], n_buckets: int = 64,
     local = b.select("*",
                      F.coalesce(F.sum("pos").over(inner), F.lit(0)).alias("_lp"),
                      F.coalesce(F.sum("neg").over(inner), F.lit(0)).alias("_ln"))
-    # the window has partitioned and sorted the scores by these keys already: only the offsets move
-    j = local.join(offsets, [*keys, "_bucket"])
+    # the window has partitioned the scores by these keys already: only the offsets move, and no side is broadcast
+    j = local.join(offsets.hint("merge"), [*keys, "_bucket"])
     out_keys = [] if drop_all else keys
     return j.select(*out_keys, "score", "pos", "neg",
                     (F.col("_op") + F.col("_lp")).alias("tp_above"),

@@ -295,18 +295,27 @@ def model_name(lam: float) -> str:
     return f"lam={lam:g}"
 
 
-def scored_models(spark: SparkSession, d: str) -> DataFrame:
-    """The scored table under every lambda of the sweep grid: (model_id, lam, id, y, s, p).
-    The grid is a literal array exploded per row (no join)."""
+def scored_base(spark: SparkSession, d: str) -> DataFrame:
+    """Rows that the sweep grid is laid over: (id, y, s, p1000), p1000 the score in thousandths at lambda 0."""
     o = read_table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
     y, s, p1000 = _scored_parts()
+    return o.select(F.col("o_orderkey").alias("id"), y.alias("y"), s.alias("s"), p1000.alias("p1000"))
+
+
+def on_grid(base: DataFrame, *more: str) -> DataFrame:
+    """``base`` (see ``scored_base``) under every lambda of the sweep grid: (model_id, lam, id, y, s, p, more...).
+    The grid is a literal array exploded per row (no join)."""
     grid = F.array(*[F.struct(F.lit(model_name(lam)).alias("model_id"),
                               F.lit(lam).alias("lam"), F.lit(sh).alias("shift"))
                      for lam, sh in LAMBDA_SHIFTS])
-    base = o.select(F.col("o_orderkey").alias("id"), y.alias("y"), s.alias("s"),
-                    p1000.alias("p1000"), F.inline(grid))
-    return base.select("model_id", "lam", "id", "y", "s",
-                       ((F.col("p1000") - F.col("shift") * F.col("s")).cast("double") / 1000).alias("p"))
+    return base.select("id", "y", "s", "p1000", *more, F.inline(grid)).select(
+        "model_id", "lam", "id", "y", "s",
+        ((F.col("p1000") - F.col("shift") * F.col("s")).cast("double") / 1000).alias("p"), *more)
+
+
+def scored_models(spark: SparkSession, d: str) -> DataFrame:
+    """The scored table under every lambda of the sweep grid: (model_id, lam, id, y, s, p)."""
+    return on_grid(scored_base(spark, d))
 
 
 def _grid_values() -> str:

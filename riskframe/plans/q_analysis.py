@@ -109,7 +109,8 @@ def _seed_test_rows(spark, d):
         part = sp.filter(F.col("split") == "test").select("id", F.lit(seed).alias("seed"))
         out = part if out is None else out.unionByName(part)
     # (id, seed) of 15 % of the rows per seed; read once by the join
-    return B.scored_models(spark, d).join(out.groupBy("id").agg(F.collect_list("seed").alias("seeds")), "id").select(
+    chosen = out.groupBy("id").agg(F.collect_list("seed").alias("seeds"))
+    return B.on_grid(B.scored_base(spark, d).join(chosen.hint("merge"), "id"), "seeds").select(
         "*", F.explode("seeds").alias("seed")).drop("seeds")
 
 

@@ -70,9 +70,10 @@ def q_bootstrap_ci(spark, d):
 
 
 def sweep_split(spark, d):
-    """Every sweep model's scores with the split of the row."""
+    """Every sweep model's scores with the split of the row; the grid is laid over the joined rows, and neither
+    side is broadcast."""
     sp = P.stratified_split(B.scored(spark, d), id_col="id", strata=["y", "s"], seed=SEED).select("id", "split")
-    return B.scored_models(spark, d).join(sp, "id")
+    return B.on_grid(B.scored_base(spark, d).join(sp.hint("merge"), "id"), "split")
 
 
 def validated(scored):
@@ -89,7 +90,7 @@ def validated(scored):
     fit = cut_lineage(W.pareto_select(W.collapse_status(fit), status="status"))
     metrics = A.evaluate_models(test, key, thresholds=fit.select("model_id", "threshold"))
     chosen = fit.select("model_id", "lam", "status", "selected", F.col("auc").alias("val_auc"), F.col("abs_rho").alias("val_abs_rho"))
-    return chosen.join(metrics, key), test.join(fit.select("model_id", "threshold"), key)
+    return chosen.join(F.broadcast(metrics), key), test.join(F.broadcast(fit.select("model_id", "threshold")), key)
 
 
 FINAL_SQL = B.with_roles("scored", "scored_models", extra=",\n".join([

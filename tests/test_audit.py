@@ -88,3 +88,23 @@ def test_large_ranges_are_cut_again(spark):
             got = with_cumulative(counts, ["m"], n_buckets=8, bucket_rows=bucket_rows, grid=grid).collect()
             assert {(g["m"], g["score"]): (g["tp_above"], g["fp_above"]) for g in got} == want
             assert len(got) == len(want)
+
+
+def test_scored_rows_are_never_broadcast(spark):
+    """The rows of a model grid are more than the planner's estimate of them; only one row a model is broadcast."""
+    rows = spark.range(400).select(F.col("id"), (F.col("id") % 3 == 0).cast("int").alias("y"), (F.col("id") % 2).cast("int").alias("s"),
+                                   F.explode(F.array(F.lit("a"), F.lit("b"))).alias("model_id"))
+    out = A.evaluate_models(rows.withColumn("p", F.col("id") / 400.0))
+    assert "BuildLeft" not in out._jdf.queryExecution().executedPlan().toString()
+    assert out.count() == 2
+
+
+def test_split_of_the_sweep_is_joined_without_a_broadcast(spark, tmp_path):
+    from riskframe.plans import q_analysis as Q
+    from riskframe.plans.q_checks import sweep_split
+    spark.range(300).select(F.col("id").alias("o_orderkey"), (F.col("id") % 40).alias("o_custkey"),
+                            F.when(F.col("id") % 3 == 0, "F").otherwise("O").alias("o_orderstatus")).write.parquet(f"{tmp_path}/orders.parquet")
+    for rows, n in ((sweep_split(spark, str(tmp_path)), 300 * 9), (Q._seed_test_rows(spark, str(tmp_path)), None)):
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin [id" not in plan and "SortMergeJoin [id" in plan
+        assert n is None or rows.count() == n
