@@ -97,3 +97,19 @@ def test_sides_join_bucketed_blocks_without_an_exchange(spark, tmp_path):
         assert plan.count("SortMergeJoin") == 5 and "Exchange" not in plan
         want = R.relational_matrix(plain, blocks)
         assert sorted(map(str, side.collect())) == sorted(map(str, want.select(side.columns).collect()))
+
+
+def test_codes_are_broadcast_and_rows_grouped_where_their_key_is(spark):
+    """Few values a column: rows are not shuffled by value; hundreds of aggregates: partial rows are not shuffled."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        prev = spark.createDataFrame([(i % 5, i, "Approved" if i % 3 else None, float(i)) for i in range(60)],
+                                     "SK_ID_CURR long, SK_ID_PREV long, NAME_CONTRACT_STATUS string, AMT_CREDIT double")
+        out = R.previous_features(prev)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+        assert plan.count("Exchange hashpartitioning(SK_ID_CURR") == 1 and "REPARTITION_BY_COL" in plan
+        assert {r["SK_ID_CURR"]: r["PREV_N_APPS"] for r in out.collect()} == dict.fromkeys(range(5), 12)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
