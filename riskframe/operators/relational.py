@@ -76,14 +76,27 @@ def _stat(stat: str, x: Column) -> Column:
     raise RelationalError(f"unknown statistic: {stat}")
 
 
+def _stat_of_halves(stat: str, x: Column, half: Column) -> Column:
+    """The statistic over all rows; all but the sum from the buffers of the two halves."""
+    a, b = F.when(half, x), F.when(~half, x)
+    if stat == "mean":
+        return F.try_divide(F.sum(x).cast("double"), F.count(a) + F.count(b))
+    join = {"max": F.greatest, "min": F.least, "count": lambda m, n: m + n}.get(stat)
+    return join(_stat(stat, a), _stat(stat, b)) if join else _stat(stat, x)
+
+
 def numeric_block(prefix: str, cols: Sequence[str], stats: Sequence[str],
-                  cond: Column | None = None) -> list[Column]:
-    """``{prefix}_{col}_{STAT}`` aggregate expressions, optionally over a subset."""
+                  cond: Column | None = None, halves: Column | None = None) -> list[Column]:
+    """``{prefix}_{col}_{STAT}`` aggregate expressions, optionally over a subset.
+
+    ``halves``: a condition, never NULL, whose two subsets have blocks of their own in the same ``groupBy``: counts
+    and extremes over all rows are put together from theirs.  Sums are not: doubles would be added in another order.
+    """
     out = []
     for c in cols:
         x = F.col(c) if cond is None else F.when(cond, F.col(c))
         for s in stats:
-            e = _stat(s, x)
+            e = _stat(s, x) if halves is None else _stat_of_halves(s, x, halves)
             if cond is not None:
                 e = gated(cond, e)
             out.append(e.alias(f"{prefix}_{c}_{s.upper()}"))
@@ -140,12 +153,11 @@ def bureau_features(bureau: DataFrame, balance: DataFrame | None = None, *,
         frame = frame.join(status_history(balance), "SK_ID_BUREAU", "left")
     cols = numeric_columns(frame, [KEY, "SK_ID_BUREAU", "CREDIT_ACTIVE_BIN"])
     stats = ("mean", "max", "min", "sum", "count")
-    exprs = numeric_block("BUR", cols, stats)
+    active = F.col("CREDIT_ACTIVE_BIN") == 1 if has_active else None
+    exprs = numeric_block("BUR", cols, stats, halves=active)
     if has_active:
-        active = F.col("CREDIT_ACTIVE_BIN") == 1
-        closed = F.col("CREDIT_ACTIVE_BIN") == 0
         exprs += numeric_block("BUR_ACT", cols, stats, active)
-        exprs += numeric_block("BUR_CLS", cols, stats, closed)
+        exprs += numeric_block("BUR_CLS", cols, stats, ~active)
     required = {"SK_ID_BUREAU", "CREDIT_ACTIVE_BIN", "AMT_CREDIT_SUM_DEBT", "AMT_CREDIT_SUM",
                 "AMT_CREDIT_SUM_OVERDUE", "CNT_CREDIT_PROLONG", "AMT_CREDIT_MAX_OVERDUE"}
     named = required.issubset(frame.columns)
@@ -217,7 +229,7 @@ def previous_features(prev: DataFrame, *, encode: bool = True) -> DataFrame:
     cols = numeric_columns(frame, [KEY, "SK_ID_PREV", "_APPROVED"])
     stats = ("mean", "max", "min", "sum", "count")
     appr = F.col("_APPROVED") == 1
-    exprs = (numeric_block("PREV", cols, stats)
+    exprs = (numeric_block("PREV", cols, stats, halves=appr)
              + numeric_block("PREV_APPR", cols, stats, appr)
              + numeric_block("PREV_REF", cols, stats, ~appr))
     if "SK_ID_PREV" in frame.columns:
@@ -418,12 +430,16 @@ def bucketed(df: DataFrame, root: str, *, key: str = KEY, buckets: int | None =
     """``df`` written once below ``root``, bucketed and sorted by ``key``, and read back as a table.
 
     With as many buckets as shuffle partitions (the default) a frame that leaves a ``groupBy(key)`` is
-    written as it is dealt, one file a bucket.  Frames bucketed alike join on ``key`` without another shuffle.
+    written as it is dealt, one file a bucket; any other frame is dealt by ``key`` first, so that it is not written
+    by the few tasks that scan it.  Frames bucketed alike join on ``key`` without another shuffle.
+    Dictionaries are left out: sums and means of customers seldom repeat, and to look for repeats in hundreds
+    of columns takes a large part of the writing.
     """
     spark = df.sparkSession
     name = f"bucketed_{uuid.uuid4().hex}"
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    df.write.format("parquet").bucketBy(n, key).sortBy(key).option("path", f"{root.rstrip('/')}/{name}").saveAsTable(name)
+    writer = df.repartition(key).write.format("parquet").option("parquet.enable.dictionary", "false")
+    writer.bucketBy(n, key).sortBy(key).option("path", f"{root.rstrip('/')}/{name}").saveAsTable(name)
     return spark.table(name)
 
 

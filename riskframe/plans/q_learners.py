@@ -146,10 +146,11 @@ def q_matrix_test_side(spark, d):
     """R12 + R14, test side: the wide matrix of rows without a target, joined from the same bucketed blocks and with the same
     codes as the training side, its columns in the training side's order."""
     from riskframe.plans import q_relational as Q
-    application = Q.application_block(spark, d)  # codes are fitted on both sides together
+    application = Q.application_block(spark, d, deal=True)  # codes are fitted on both sides together
     split = cut_lineage(P.stratified_split(B.deterministic(spark, d), id_col=ID, strata=STRATA, seed=SEED).select(ID, "split"))
-    known = application.join(split.where("split != 'test'"), ID, "left_semi")
-    test = application.join(split.where("split = 'test'"), ID, "left_semi").drop(TARGET)
+    # a side's ids grow with the customers: they are not broadcast
+    known = application.join(split.where("split != 'test'").hint("merge"), ID, "left_semi")
+    test = application.join(split.where("split = 'test'").hint("merge"), ID, "left_semi").drop(TARGET)
     blocks = [Q._bureau_block(spark, d), Q._previous_block(spark, d), Q._instalment_block(spark, d), Q._pos_block(spark, d), Q._card_block(spark, d)]
     train, test = R.matrix_sides([known, test], blocks, _root(spark))
     return R.align_columns(train, test, R.feature_columns(train.columns, sensitive=None))[1]

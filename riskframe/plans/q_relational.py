@@ -260,10 +260,11 @@ def _card_block(spark, d):
     return R.card_features(B.credit_card(spark, d))
 
 
-def application_block(spark, d):
+def application_block(spark, d, deal: bool = False):
     """Application rows (sentinel gender dropped) with engineered features and
-    label-encoded categoricals."""
+    label-encoded categoricals; with ``deal`` the rows are dealt by customer before the features are built."""
     app = D.filter_not_sentinel(B.application(spark, d), "CODE_GENDER", "XNA")
+    app = app.repartition(R.KEY) if deal else app
     feat = D.application_features(app)
     return label_encode(feat, string_columns(feat))
 

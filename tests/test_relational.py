@@ -113,3 +113,43 @@ def test_codes_are_broadcast_and_rows_grouped_where_their_key_is(spark):
         assert {r["SK_ID_CURR"]: r["PREV_N_APPS"] for r in out.collect()} == dict.fromkeys(range(5), 12)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_a_frame_of_one_task_is_bucketed_by_many_and_without_dictionaries(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    one = spark.range(0, 50_000, 1, 1).selectExpr("nullif(id % 25000, 7) as SK_ID_CURR", "cast(id % 3 as double) as v")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # the rows are few
+    try:
+        table = R.bucketed(one, str(tmp_path))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    files = list(tmp_path.glob("*/*.parquet"))
+    assert len({f.name[:10] for f in files}) > 1  # part-00000, part-00001, ...: the tasks that wrote
+    encodings = {e for f in files for e in pq.ParquetFile(f).metadata.row_group(0).column(1).encodings}
+    assert encodings and not any("DICTIONARY" in e for e in encodings)
+    rows = "SK_ID_CURR, count(*) as n, sum(v) as s"
+    one.createOrReplaceTempView("one_task")
+    table.createOrReplaceTempView("dealt")
+    got, want = (spark.sql(f"select {rows} from {t} group by SK_ID_CURR").collect() for t in ("dealt", "one_task"))
+    assert sorted(map(str, got)) == sorted(map(str, want)) and len(got) == 25_000
+
+
+def test_whole_statistics_come_from_their_halves(spark):
+    """Counts and extremes are kept for the halves only; a half or a column without values changes nothing."""
+    from pyspark.sql import functions as F
+
+    rows = [(1, 1, 4, 2.5), (1, 0, None, -1.0), (1, 0, 7, None), (2, 1, 3, None), (3, 0, None, None), (None, 1, 9, 0.5), (None, 1, 9, 0.5)]
+    df = spark.createDataFrame(rows, "SK_ID_CURR long, f int, i int, x double")
+    stats, half = ("mean", "max", "min", "sum", "count"), F.col("f") == 1
+    plain = df.groupBy("SK_ID_CURR").agg(*R.numeric_block("A", ["i", "x"], stats))
+    blocks = R.numeric_block("A", ["i", "x"], stats, halves=half) + R.numeric_block("P", ["i", "x"], stats, half) + R.numeric_block("Q", ["i", "x"], stats, ~half)
+    both = df.groupBy("SK_ID_CURR").agg(*blocks)
+    assert both.select(plain.columns).schema.simpleString() == plain.schema.simpleString()
+    assert sorted(map(str, both.select(plain.columns).collect())) == sorted(map(str, plain.collect()))
+    plan = both._jdf.queryExecution().optimizedPlan().toString()
+    # without halves: max(i), not only max of each half
+    assert "max(i#" not in plan and "count(x#" not in plan
+    prev = df.withColumn("NAME_CONTRACT_STATUS", F.when(half, "Approved")).withColumnsRenamed({"x": "AMT_CREDIT", "f": "SK_ID_PREV"})
+    plan = R.previous_features(prev).select("SK_ID_CURR", "PREV_AMT_CREDIT_MAX")._jdf.queryExecution().optimizedPlan().toString()
+    assert "max(AMT_CREDIT#" not in plan
